@@ -2,7 +2,14 @@
 
 from __future__ import annotations
 
+from . import decontam
+from .decontam import op6_benchmark_decontamination
+from .editprint import op3_edit_fingerprints
 from .langid import op1_language_id
+from .packing import op4_harmonic_packing
+from .pii import op7_pseudonyms
+from .secrets import op9_secret_ownership
+from .urls import op10_url_filter
 
-QUERIES = {f.__name__: f for f in (op1_language_id,)}
-ORACLES: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (op1_language_id, op3_edit_fingerprints, op4_harmonic_packing, op6_benchmark_decontamination, op7_pseudonyms, op9_secret_ownership, op10_url_filter)}
+ORACLES = {"op6_benchmark_decontamination": decontam.ORACLE}
