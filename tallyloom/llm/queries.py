@@ -2,14 +2,29 @@
 
 from __future__ import annotations
 
-from . import decontam
+from . import decontam, ngramjoin
 from .decontam import op6_benchmark_decontamination
 from .editprint import op3_edit_fingerprints
+from .katz import op2_katz_backoff
 from .langid import op1_language_id
+from .ngramjoin import op8_ngram_jaccard
 from .packing import op4_harmonic_packing
 from .pii import op7_pseudonyms
 from .secrets import op9_secret_ownership
 from .urls import op10_url_filter
 
-QUERIES = {f.__name__: f for f in (op1_language_id, op3_edit_fingerprints, op4_harmonic_packing, op6_benchmark_decontamination, op7_pseudonyms, op9_secret_ownership, op10_url_filter)}
-ORACLES = {"op6_benchmark_decontamination": decontam.ORACLE}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_language_id,
+        op2_katz_backoff,
+        op3_edit_fingerprints,
+        op4_harmonic_packing,
+        op6_benchmark_decontamination,
+        op7_pseudonyms,
+        op8_ngram_jaccard,
+        op9_secret_ownership,
+        op10_url_filter,
+    )
+}
+ORACLES = {"op6_benchmark_decontamination": decontam.ORACLE, "op8_ngram_jaccard": ngramjoin.ORACLE}
