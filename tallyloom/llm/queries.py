@@ -7,6 +7,7 @@ from .decontam import op6_benchmark_decontamination
 from .editprint import op3_edit_fingerprints
 from .katz import op2_katz_backoff
 from .langid import op1_language_id
+from .licenses import op5_license_scan
 from .ngramjoin import op8_ngram_jaccard
 from .packing import op4_harmonic_packing
 from .pii import op7_pseudonyms
@@ -20,6 +21,7 @@ QUERIES = {
         op2_katz_backoff,
         op3_edit_fingerprints,
         op4_harmonic_packing,
+        op5_license_scan,
         op6_benchmark_decontamination,
         op7_pseudonyms,
         op8_ngram_jaccard,
