@@ -1 +1,222 @@
-"""Queries."""
+"""Queries on conversations: classification, gates, routing, carried headings, pairs within a window."""
+
+from __future__ import annotations
+
+from pyspark.sql import Window
+from pyspark.sql import functions as F
+
+from ..functions import patterns as P
+from ..functions import scoring as S
+from ..functions import text as X
+from ..operators import prompts as R
+from .registry import query, table
+
+# Keywords that the invented prose has; a deployment passes its own.
+KINDS = {"strategy": ("thing", "ention"), "research": ("and", "the.*of"), "code": ("ering", "para"), "simple": ("une", "der")}
+DOMAINS = {"writing": ("the", "thing", "ing"), "code": ("of", "er", "tion"), "audio": ("eau", "oi", "la")}
+
+
+def _turns(spark, sf_dir):
+    return table(spark, sf_dir, "conversations")
+
+
+def _any(column: str, found) -> str:
+    return "(" + " OR ".join("regexp_matches({}, '{}')".format(column, p.replace("'", "''")) for p in found) + ")"
+
+
+_KIND = "CASE " + " ".join(f"WHEN {_any('lower(text)', [k if '.*' in k else chr(92) + 'b' + k + chr(92) + 'b' for k in ks])} THEN '{n}'" for n, ks in KINDS.items()) + " ELSE 'other' END"
+
+
+@query(f"""
+WITH a AS (SELECT conv_id, turn, role, translate(text, 'éèêëàâäáíïîóôöúûüçñßÉÈÊÀÂÄÁÍÓÖÚÜÇÑ', 'xxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxx') AS text FROM conversations)
+SELECT role, {_KIND} AS kind, count(*) AS n FROM a GROUP BY ALL
+""")
+def prompt_classification(spark, sf_dir):
+    """The first kind, in order of priority, one of whose keywords stands in the turn as a word."""
+    return _turns(spark, sf_dir).groupBy("role", R.kind_of(F.col("text"), KINDS, "other").alias("kind")).agg(F.count("*").alias("n"))
+
+
+def _hits(words) -> str:
+    return " + ".join(f"CASE WHEN contains(lower(text), '{w}') THEN 1 ELSE 0 END" for w in words)
+
+
+@query(f"""
+WITH s AS (SELECT conv_id, turn, {", ".join(f"{_hits(ws)} AS {d}" for d, ws in DOMAINS.items())} FROM conversations)
+SELECT conv_id, turn, CASE WHEN greatest({", ".join(DOMAINS)}) = 0 THEN 'all' {" ".join(f"WHEN {d} = greatest({', '.join(DOMAINS)}) THEN '{d}'" for d in DOMAINS)} END AS domain FROM s
+""")
+def keyword_domain_argmax(spark, sf_dir):
+    from ..operators import rules
+
+    return _turns(spark, sf_dir).select("conv_id", "turn", rules.best({d: rules.keyword_hits(F.col("text"), w) for d, w in DOMAINS.items()}, "all").alias("domain"))
+
+
+_HEDGES, _REFUSALS = ("thing", "possibly", "and the"), ("ention", "i cannot")
+
+
+@query(f"""
+SELECT conv_id, turn, CAST(greatest(0, 100 - ({" + ".join(f"CASE WHEN contains(lower(text), '{w}') THEN 20 ELSE 0 END" for w in _HEDGES)}) - ({" + ".join(f"CASE WHEN contains(lower(text), '{w}') THEN 30 ELSE 0 END" for w in _REFUSALS)})) AS BIGINT) AS confidence FROM conversations WHERE role = 'assistant'
+""")
+def response_confidence(spark, sf_dir):
+    return _turns(spark, sf_dir).where("role = 'assistant'").select("conv_id", "turn", X.confidence(F.col("text"), _HEDGES, _REFUSALS).alias("confidence"))
+
+
+@query("""
+SELECT role, CASE WHEN text IS NULL OR trim(text) = '' THEN 'empty' WHEN length(text) > 400 THEN 'oversized' ELSE 'ok' END AS size, count(*) AS n, CAST(sum(length(text)) AS BIGINT) AS chars FROM conversations GROUP BY ALL
+""")
+def size_gate(spark, sf_dir):
+    return _turns(spark, sf_dir).groupBy("role", F.coalesce(X.size_issue(F.col("text"), 400), F.lit("ok")).alias("size")).agg(F.count("*").alias("n"), F.sum(F.length("text")).alias("chars"))
+
+
+@query(f"SELECT role, count(*) AS n, count(*) FILTER ({_any('text', P.FOLLOW_UPS)}) AS follow_ups, count(*) FILTER (contains(lower(text), 'thing') OR contains(lower(text), 'para el')) AS blocked FROM conversations GROUP BY role")
+def follow_up_and_blocklist(spark, sf_dir):
+    """ASCII words only, on which both sides agree."""
+    low = F.lower("text")
+    return _turns(spark, sf_dir).groupBy("role").agg(F.count("*").alias("n"), F.count_if(X.is_follow_up(F.col("text"))).alias("follow_ups"), F.count_if(X.any_contained(low, ("thing", "para el"))).alias("blocked"))
+
+
+@query("""
+SELECT conv_id, turn, left(trim(text), 2000) AS text FROM conversations WHERE role = 'user' AND length(trim(text)) > 10 QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY turn) <= 2
+""")
+def user_messages(spark, sf_dir):
+    """The first two messages of each conversation's user."""
+    rows = _turns(spark, sf_dir).where("role = 'user'").select("conv_id", "turn", F.trim("text").alias("text")).where(F.length("text") > 10)
+    place = F.row_number().over(Window.partitionBy("conv_id").orderBy("turn"))
+    return rows.withColumn("p", place).where("p <= 2").select("conv_id", "turn", F.left("text", F.lit(2000)).alias("text"))
+
+
+@query("SELECT a.conv_id, count(*) AS pairs FROM conversations a JOIN conversations u ON u.conv_id = a.conv_id AND u.turn > a.turn AND u.turn < a.turn + 3 WHERE a.role = 'assistant' AND u.role = 'user' GROUP BY a.conv_id")
+def interval_pairs(spark, sf_dir):
+    """User turns within three turns after an assistant's; counted in a window, so no pair is made."""
+    w = Window.partitionBy("conv_id").orderBy("turn").rangeBetween(-2, -1)
+    rows = _turns(spark, sf_dir).withColumn("before", F.count(F.when(F.col("role") == "assistant", 1)).over(w)).where("role = 'user'")
+    return rows.groupBy("conv_id").agg(F.sum("before").alias("pairs")).where("pairs > 0")
+
+
+@query("SELECT conv_id, turn, last_value(CASE WHEN role = 'user' THEN turn END IGNORE NULLS) OVER (PARTITION BY conv_id ORDER BY turn) AS asked, coalesce(left(last_value(CASE WHEN role = 'user' THEN text END IGNORE NULLS) OVER (PARTITION BY conv_id ORDER BY turn), 40), '') AS question FROM conversations QUALIFY asked IS NOT NULL")
+def carry_forward_header(spark, sf_dir):
+    """Each turn with the user's question that it belongs to."""
+    w = Window.partitionBy("conv_id").orderBy("turn")
+    is_user = F.col("role") == "user"
+    rows = _turns(spark, sf_dir).select("conv_id", "turn", F.last(F.when(is_user, F.col("turn")), True).over(w).alias("asked"), F.last(F.when(is_user, F.left("text", F.lit(40))), True).over(w).alias("question"))
+    return rows.where("asked IS NOT NULL").withColumn("question", F.coalesce("question", F.lit("")))
+
+
+_VALID = "CASE WHEN length(trim(text)) < 20 THEN 'too short' WHEN length(text) > 700 THEN 'too long' WHEN starts_with(lower(trim(text)), 'le ') THEN 'error prefix' WHEN turn % 2 = 1 AND NOT contains(text, '.') THEN 'no sentence' ELSE 'ok' END"
+
+
+@query(f"SELECT {_VALID} AS reason, count(*) AS n FROM conversations WHERE role = 'assistant' GROUP BY 1")
+def output_validation(spark, sf_dir):
+    """The first reason to reject an output."""
+    reason = R.rejection(F.col("text"), least=20, most=700, prefixes=("le ",), needed=F.when((F.col("turn") % 2 == 1) & ~F.col("text").contains("."), "no sentence"))
+    return _turns(spark, sf_dir).where("role = 'assistant'").groupBy(F.coalesce(reason, F.lit("ok")).alias("reason")).agg(F.count("*").alias("n"))
+
+
+@query("""
+SELECT conv_id, turn, array_to_string(list_filter([CASE WHEN length(text) > 600 THEN 'large' END, CASE WHEN regexp_matches(text, '(?i)ignore (all )?previous') THEN 'injection' END, CASE WHEN regexp_matches(text, '(/etc/|[.]ssh|[.]env)') THEN 'path' END, CASE WHEN list_bool_or(list_transform(regexp_extract_all(text, '[0-9]+')[1:20], lambda x: TRY_CAST(x AS HUGEINT) > 1000000)) THEN 'number' END], lambda x: x IS NOT NULL), ',') AS warnings FROM conversations
+""")
+def delegated_output_flags(spark, sf_dir):
+    return _turns(spark, sf_dir).select("conv_id", "turn", F.array_join(R.warnings(F.col("text"), 600), ",").alias("warnings"))
+
+
+_ROUTE = f"CASE WHEN trim(text) = '' THEN 'reject' WHEN length(text) > 500000 THEN 'split' WHEN {_any('text', P.SECRETS)} THEN 'local' WHEN {_any('text', P.FOLLOW_UPS)} THEN 'previous' ELSE CASE {_KIND} WHEN 'other' THEN 'first' WHEN 'strategy' THEN 'first' WHEN 'research' THEN 'wide' WHEN 'code' THEN 'coder' ELSE 'fast' END END"
+
+
+@query(f"""
+WITH a AS (SELECT conv_id, turn, translate(text, 'éèêëàâäáíïîóôöúûüçñßÉÈÊÀÂÄÁÍÓÖÚÜÇÑ', 'xxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxx') AS text FROM conversations WHERE role = 'user'), r AS (SELECT conv_id, turn, text, {_ROUTE} AS route FROM a)
+SELECT conv_id, turn, route, CASE WHEN route IN ('first', 'reject', 'local', 'previous', 'split') THEN '' WHEN contains(lower(text), 'and') THEN array_to_string(list_filter(['wide', 'fast', 'deep', 'local'], lambda x: x <> route), ',')
+  WHEN contains(lower(text), 'para') THEN array_to_string(list_filter(['coder', 'fast', 'local'], lambda x: x <> route), ',') ELSE array_to_string(list_filter(['wide', 'fast', 'local', 'deep'], lambda x: x <> route), ',') END AS fallback FROM r
+""")
+def routing_decision(spark, sf_dir):
+    """Gates in order, then the kind; without a kind, confidence is too low and the first choice stays."""
+    rows = _turns(spark, sf_dir).where("role = 'user'")
+    routes = {"strategy": "first", "research": "wide", "code": "coder", "simple": "fast"}
+    route = R.route(F.col("text"), KINDS, routes, otherwise="first")
+    chains = ((("and",), ("wide", "fast", "deep", "local")), (("para",), ("coder", "fast", "local")), ((), ("wide", "fast", "local", "deep")))
+    return rows.select("conv_id", "turn", "text", route.alias("route")).select("conv_id", "turn", "route", F.array_join(R.fallback(F.col("text"), F.col("route"), chains, ("first", "reject", "local", "previous", "split")), ",").alias("fallback"))
+
+
+_RULES = [
+    # id, name, domains, tools, consequence, links, reminder, spike, dormant, order
+    ("r1", "short", ["writing"], ["read"], 0.30, {"r3": 0.9, "r5": 0.5}, "keep it short", 0.0, False, 1),
+    ("r2", "sources", ["all"], ["search"], 0.20, {"r3": 0.4}, "name sources", 0.0, False, 2),
+    ("r3", "tests", ["code"], ["edit"], 0.15, {}, "test first", 0.05, False, 3),
+    ("r4", "gain", ["audio"], [], 0.10, {"r2": 1.0}, "watch the gain", 0.15, False, 4),
+    ("r5", "old", ["all"], [], 0.30, {}, "old rule", 0.0, True, 5),
+    ("r6", "care", ["all"], ["read"], 0.25, {"r1": 0.2}, "take care", 0.0, False, 6),
+]
+
+
+@query(f"""
+WITH s AS (SELECT conv_id * 1000 + turn AS prompt_id, {", ".join(f"{_hits(ws)} AS {d}" for d, ws in DOMAINS.items())} FROM conversations WHERE role = 'user'),
+p AS (SELECT prompt_id, CASE WHEN greatest({", ".join(DOMAINS)}) = 0 THEN 'all' {" ".join(f"WHEN {d} = greatest({', '.join(DOMAINS)}) THEN '{d}'" for d in DOMAINS)} END AS domain, 'read' AS tool FROM s),
+r(id, domains, tools, consequence, spike, dormant, ord) AS (VALUES ('r1', ['writing'], ['read'], CAST(0.30 AS DOUBLE), CAST(0.0 AS DOUBLE), false, 1), ('r2', ['all'], ['search'], 0.20, 0.0, false, 2), ('r3', ['code'], ['edit'], 0.15, 0.05, false, 3), ('r4', ['audio'], CAST([] AS VARCHAR[]), 0.10, 0.15, false, 4), ('r5', ['all'], CAST([] AS VARCHAR[]), 0.30, 0.0, true, 5), ('r6', ['all'], ['read'], 0.25, 0.0, false, 6)),
+l(id, other, weight) AS (VALUES ('r1', 'r3', CAST(0.9 AS DOUBLE)), ('r1', 'r5', 0.5), ('r2', 'r3', 0.4), ('r4', 'r2', 1.0), ('r6', 'r1', 0.2)),
+c AS (SELECT prompt_id, domain, r.id, r.ord, dormant, CASE WHEN dormant THEN 0.0 ELSE CASE WHEN list_contains(domains, domain) THEN CAST(0.4 AS DOUBLE) WHEN list_contains(domains, 'all') THEN 0.3 ELSE 0.0 END + consequence + CASE WHEN list_contains(tools, tool) THEN CAST(0.2 AS DOUBLE) ELSE 0.0 END + least(spike, CAST(0.15 AS DOUBLE)) END AS score,
+  CASE WHEN list_contains(domains, domain) THEN 1 WHEN list_contains(domains, 'all') THEN 0 ELSE -1 END AS spec FROM p, r),
+f AS (SELECT *, row_number() OVER (PARTITION BY prompt_id ORDER BY score DESC, spec DESC, ord) AS place FROM c WHERE score >= 0.5 QUALIFY place <= 5),
+n AS (SELECT c.prompt_id, c.id, max(c.score + weight * CAST(0.2 AS DOUBLE)) AS score, min(f.place) AS fp, min(c.ord) AS ord FROM f JOIN l ON l.id = f.id JOIN c ON c.prompt_id = f.prompt_id AND c.id = l.other WHERE NOT c.dormant AND NOT EXISTS (SELECT 1 FROM f g WHERE g.prompt_id = c.prompt_id AND g.id = c.id) AND c.score + weight * CAST(0.2 AS DOUBLE) >= 0.5 GROUP BY ALL),
+t AS (SELECT prompt_id, count(*) AS taken FROM f GROUP BY 1),
+m AS (SELECT n.*, taken + row_number() OVER (PARTITION BY prompt_id ORDER BY score DESC, fp, ord) AS place FROM n JOIN t USING (prompt_id))
+SELECT prompt_id, id, round(score, 6) AS score, place, false AS spread FROM f UNION ALL SELECT prompt_id, id, round(score, 6), place, true FROM m WHERE place <= 5
+""")
+def rule_scoring_topk(spark, sf_dir):
+    """Up to five rules for each prompt: those at the threshold, then those linked from them."""
+    from ..operators import rules
+
+    table_ = spark.createDataFrame(_RULES, rules.RULE)
+    prompts = _turns(spark, sf_dir).where("role = 'user'").select((F.col("conv_id") * 1000 + F.col("turn")).alias("prompt_id"), rules.best({d: rules.keyword_hits(F.col("text"), w) for d, w in DOMAINS.items()}, "all").alias("domain"), F.lit("read").alias("tool"))
+    return rules.activated(prompts, table_).withColumn("score", F.round("score", 6))
+
+
+@query("""
+WITH s AS (SELECT conv_id, least(100, length(text) / 10.0) AS a, least(100, 20.0 * len(regexp_extract_all(text, '[.]'))) AS b, CASE WHEN contains(lower(text), 'the') THEN 80 ELSE 50 END AS c, CASE WHEN contains(text, chr(10)) THEN 100 ELSE 60 END AS d FROM conversations WHERE role = 'assistant'),
+p AS (SELECT conv_id, avg(a * 0.40 + b * 0.25 + c * 0.20 + d * 0.15) AS s FROM s GROUP BY conv_id)
+SELECT conv_id, round(s, 4) AS composite, CASE WHEN s >= 90 THEN 'A' WHEN s >= 80 THEN 'B' WHEN s >= 70 THEN 'C' WHEN s >= 60 THEN 'D' ELSE 'F' END AS grade FROM p
+""")
+def report_card(spark, sf_dir):
+    """Mean composite of each conversation's answers, with its grade."""
+    a = F.least(F.lit(100.0), F.length("text") / 10.0)
+    b = F.least(F.lit(100.0), 20.0 * F.regexp_count("text", F.lit("[.]")))
+    c = F.when(F.lower("text").contains("the"), 80).otherwise(50)
+    d = F.when(F.col("text").contains("\n"), 100).otherwise(60)
+    rows = _turns(spark, sf_dir).where("role = 'assistant'").groupBy("conv_id").agg(F.avg(S.composite(a, b, c, d)).alias("s"))
+    return rows.select("conv_id", F.round("s", 4).alias("composite"), S.grade(F.col("s")).alias("grade"))
+
+
+@query("""
+SELECT conv_id, turn, CAST(25 * (CASE WHEN len(regexp_extract_all(lower(text), 'and')) > 2 THEN 1 ELSE 0 END + CASE WHEN len(regexp_extract_all(text, '[.]')) >= 3 THEN 1 ELSE 0 END + CASE WHEN regexp_matches(text, '^[A-Z]') THEN 1 ELSE 0 END + CASE WHEN length(text) > 250 THEN 1 ELSE 0 END) AS BIGINT) AS strength FROM conversations WHERE role = 'assistant'
+""")
+def opinion_strength(spark, sf_dir):
+    """Four signs of conviction, 25 each."""
+    one = lambda c: F.when(c, 1).otherwise(0)
+    n = lambda p, x="text": F.regexp_count(x, F.lit(p))
+    score = 25 * (one(F.regexp_count(F.lower("text"), F.lit("and")) > 2) + one(n("[.]") >= 3) + one(F.col("text").rlike("^[A-Z]")) + one(F.length("text") > 250))
+    return _turns(spark, sf_dir).where("role = 'assistant'").select("conv_id", "turn", score.cast("long").alias("strength"))
+
+
+@query("""
+WITH m AS (SELECT conv_id, unnest(regexp_extract_all(lower(text), '[a-z]{6,}')) AS term FROM conversations)
+SELECT term, count(*) AS mentions, count(DISTINCT conv_id) AS conversations FROM m GROUP BY term HAVING count(*) >= 3 AND count(DISTINCT conv_id) >= 2
+""")
+def mention_counts(spark, sf_dir):
+    rows = _turns(spark, sf_dir).select("conv_id", F.explode(F.regexp_extract_all(F.lower("text"), F.lit("[a-z]{6,}"), F.lit(0))).alias("term"))
+    by = rows.groupBy("term", "conv_id").agg(F.count("*").alias("n"))
+    return by.groupBy("term").agg(F.sum("n").alias("mentions"), F.count("*").alias("conversations")).where("mentions >= 3 AND conversations >= 2")
+
+
+@query("""
+WITH u AS (SELECT conv_id, turn, lower(string_split(text, ' ')[1]) AS ref FROM conversations WHERE role = 'user'), a AS (SELECT conv_id, string_agg(lower(text), chr(10) ORDER BY turn) AS said FROM conversations WHERE role = 'assistant' GROUP BY conv_id)
+SELECT conv_id, turn, ref, coalesce(contains(said, ref), false) AS answered FROM u LEFT JOIN a USING (conv_id) WHERE ref <> ''
+""")
+def reference_containment(spark, sf_dir):
+    """Whether what a user names occurs in any answer of the conversation."""
+    rows = _turns(spark, sf_dir)
+    asked = rows.where("role = 'user'").select("conv_id", "turn", F.lower(F.split("text", " ")[0]).alias("ref")).where("ref != ''")
+    answers = rows.where("role = 'assistant'").select("conv_id", F.lower("text").alias("said"))
+    found = asked.join(answers, "conv_id", "left").groupBy("conv_id", "turn", "ref").agg(F.coalesce(F.bool_or(F.expr("contains(said, ref)")), F.lit(False)).alias("answered"))
+    return found
+
+
+@query("SELECT role, count(*) AS n, count(DISTINCT conv_id) AS conversations, round(avg(length(text)), 4) AS mean_chars FROM conversations GROUP BY ROLLUP (role)")
+def turn_statistics(spark, sf_dir):
+    return _turns(spark, sf_dir).select("role", "conv_id", F.length("text").alias("c")).rollup("role").agg(F.count("*").alias("n"), F.countDistinct("conv_id").alias("conversations"), F.round(F.avg("c"), 4).alias("mean_chars"))
