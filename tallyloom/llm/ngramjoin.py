@@ -9,13 +9,16 @@ shingles of each document in one global order (common ones last), two sets that
 n - ceil(t n) + 1 shingles. Each such shingle is a neighbourhood. The steps:
 
 1. Equal sets become one class.
-2. In each neighbourhood, the class whose shingles are most common becomes the pivot, and all others are compared with
+2. A class also has a sketch: how many of its shingles fall into each of PARTS parts by hash. The sum of the smaller
+   counts of two sketches is never less than the intersection: the distance of sketches (Ruzicka's) never exceeds that
+   of the sets. So pairs whose sketches are too far apart are dismissed without reading their sets.
+3. In each neighbourhood, the class whose shingles are most common becomes the pivot, and all others are compared with
    it, if sizes and the shingle's places in both sets allow a link. A link joins the region of the pivot; the rest
    stays to be done.
-3. Neighbourhoods with members left to be done recurse with a new pivot from these. Members that are already in its
+4. Neighbourhoods with members left to be done recurse with a new pivot from these. Members that are already in its
    component, or outside the window that the triangle inequality leaves them by their distances to the last pivot,
    are not compared.
-4. After ROUNDS pivots, the pairs that are still open in small remainders are compared one by one, under the same
+5. After ROUNDS pivots, the pairs that are still open in small remainders are compared one by one, under the same
    tests.
 
 So a group of thousands of near copies costs a comparison with its pivot for each member, not all pairs; and a link
@@ -40,12 +43,15 @@ SHINGLE = 4
 #: Links have PERCENT * union <= 100 * intersection.
 PERCENT = 85
 ROUNDS = 2
-#: Common shingles whose counts order the rest, at most; which ones are known changes costs, not results.
-COMMON = 1 << 18
-#: Shingles that a task gathers before it looks for common ones.
-GATHER = 4_000_000
-#: Bits of the map of classes whose sets are wanted.
+#: Share of documents in which shingles are counted, and how many of the most frequent ones order the rest. Which ones are
+#: known changes costs, not results.
+COUNTED, COMMON = 0.1, 1 << 20
+#: Shingles that a task gathers before it counts them.
+GATHER = 2_000_000
+#: Bits of the map of documents whose sets are wanted.
 BITS = 1 << 24
+#: Parts of a sketch.
+PARTS = 256
 
 
 def sets(data: np.ndarray, offs: np.ndarray, n: int = SHINGLE) -> list[np.ndarray]:
@@ -72,100 +78,177 @@ def class_of(own: np.ndarray) -> int:
     return int(C.mix(np.array([C.mix(own ^ np.uint64(0x5851F42D4C957F2D)).sum(dtype=np.uint64) + np.uint64(len(own))], np.uint64)).view(np.int64)[0])
 
 
+def sketch_of(own: np.ndarray) -> bytes | None:
+    """The counts of the set's parts, a byte each; null if one doesn't fit."""
+    count = np.bincount((own >> np.uint64(56)).astype(np.int64), minlength=PARTS)
+    return count.astype(np.uint8).tobytes() if count.max() < 256 else None
+
+
 def batches_of_sets(batches):
     for batch in batches:
         for part in C.slices(batch):
             yield part, sets(*C.utf8(part.column("text")))
 
 
-def described(docs: DataFrame) -> DataFrame:
-    """Written: a row (0, doc_id, n, class) for each document, and rows (1, null, count, shingle) of shingles that a task saw in several."""
+def common_shingles(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """The most frequent shingles, sorted, and their counts; at most COMMON of them, whatever the corpus holds."""
 
-    def run(batches):
+    def count(batches):
         held, size = [], 0
 
-        def common():
+        def out():
             values, n = np.unique(np.concatenate(held), return_counts=True)
-            values, n = values[n > 1], n[n > 1]
-            return pa.RecordBatch.from_arrays([pa.array(np.ones(len(n), np.int8)), pa.nulls(len(n), pa.int64()), pa.array(n, pa.int32()), pa.array(C.signed(values))], names=["kind", "doc_id", "n", "key"])
+            return pa.RecordBatch.from_arrays([pa.array(C.signed(values)), pa.array(n, pa.int64())], names=["shingle", "n"])
 
-        for part, own in batches_of_sets(batches):
-            keys = [class_of(x) if len(x) else None for x in own]
-            yield pa.RecordBatch.from_arrays([pa.array(np.zeros(len(own), np.int8)), part.column("doc_id"), pa.array([len(x) for x in own], pa.int32()), pa.array(keys, pa.int64())], names=["kind", "doc_id", "n", "key"])
+        for _, own in batches_of_sets(batches):
             held += own
             size += sum(map(len, own))
             if size > GATHER:
-                yield common()
+                yield out()
                 held, size = [], 0
         if held:
-            yield common()
+            yield out()
+
+    counts = docs.select("text").sample(COUNTED, seed=8).mapInArrow(count, "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("n")).where("n > 1")
+    counts = C.written(counts)
+    level = F.least(F.col("n"), F.lit(1 << 16))
+    least, size = 2, 0
+    for r in sorted(counts.groupBy(level.alias("level")).agg(F.count("*").alias("v")).collect(), key=lambda r: -r["level"]):
+        size += r["v"]
+        if size > COMMON:
+            least = r["level"] + 1
+            break
+    top = counts.where(F.col("n") >= least).toPandas()
+    key, n = top["shingle"].to_numpy(np.int64).view(np.uint64), top["n"].to_numpy(np.int64)
+    order = np.argsort(key)
+    return key[order], n[order]
+
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return C.written(rows.mapInArrow(run, "kind byte, doc_id long, n int, key long"))
+#: kind 0: a document (doc_id, n, x, sketch); kind 1: prefix shingles of a slice's classes that fall into a bucket; kind 2: those
+#: that are known to be common.
+SCANNED = "kind byte, doc_id long, n int, x long, sketch binary, bucket int, shingles array<long>, xs array<long>, ns array<int>, ats array<int>, pops array<float>"
+MEMBER = "shingle long, x long, n int, at int, pop float"
 
 
-def prefixes(docs: DataFrame, common: tuple[np.ndarray, np.ndarray]) -> DataFrame:
-    """Written: (shingle, x, n, at, pop) for the first n - ceil(t n) + 1 shingles of each class; at: its place; pop: how common the class's shingles are."""
+def scanned(docs: DataFrame, common: tuple[np.ndarray, np.ndarray]) -> DataFrame:
+    """Written: SCANNED rows; the prefix of a class are its first n - ceil(t n) + 1 shingles; at: a shingle's place; pop: how common the class's shingles are."""
     shared = docs.sparkSession.sparkContext.broadcast(common)
+    n_buckets = C.partitions(docs.sparkSession)
+    lists = {"shingles": pa.int64(), "xs": pa.int64(), "ns": pa.int32(), "ats": pa.int32(), "pops": pa.float32()}
 
     def run(batches):
         known, count = shared.value
         done: set[int] = set()
-        for _, own in batches_of_sets(batches):
-            columns: list[list] = [[], [], [], [], []]
-            for x in own:
-                n = len(x)
-                if not n or (key := class_of(x)) in done:
+        for part, own in batches_of_sets(batches):
+            keys = [class_of(x) if len(x) else None for x in own]
+            n_docs = len(own)
+            columns: list[list] = [[], [], [], [], [], []]
+            for x, key in zip(own, keys, strict=True):
+                if key is None or key in done:
                     continue
                 done.add(key)
+                n = len(x)
                 first = n + (-PERCENT * n) // 100 + 1
-                pop = 0.0
+                c = np.zeros(n, np.int64)
                 if len(known):
                     at = np.minimum(np.searchsorted(known, x), len(known) - 1)
                     c = np.where(known[at] == x, count[at], 0)
-                    if c.any():
-                        x = x[np.argsort(c, kind="stable")]
-                        pop = float(np.log1p(c).mean())
-                for column, value in zip(columns, (x[:first], np.full(first, key), np.full(first, n), np.arange(first), np.full(first, pop)), strict=True):
+                order = np.argsort(c, kind="stable")[:first] if c.any() else np.arange(first)
+                for column, value in zip(columns, (x[order], np.full(first, key), np.full(first, n), np.arange(first), np.full(first, np.log1p(c).mean()), c[order] > 0), strict=True):
                     column.append(value)
             if len(done) > 1 << 20:
                 done.clear()
+            rows = [pa.array(np.zeros(n_docs, np.int8)), part.column("doc_id"), pa.array([len(x) for x in own], pa.int32()), pa.array(keys, pa.int64()), pa.array([sketch_of(x) for x in own], pa.binary()), pa.nulls(n_docs, pa.int32()), *(pa.nulls(n_docs, pa.list_(t)) for t in lists.values())]
+            names = [f.split(" ")[0] for f in SCANNED.split(", ")]
+            yield pa.RecordBatch.from_arrays(rows, names=names)
             if columns[0]:
-                s, key, n, at, pop = (np.concatenate(c) for c in columns)
-                yield pa.RecordBatch.from_arrays([pa.array(C.signed(s)), pa.array(key, pa.int64()), pa.array(n, pa.int32()), pa.array(at, pa.int32()), pa.array(pop, pa.float32())], names=["shingle", "x", "n", "at", "pop"])
-
-    return C.written(docs.select("text").mapInArrow(run, "shingle long, x long, n int, at int, pop float"))
-
-
-def wanted_sets(docs: DataFrame, pairs: DataFrame) -> DataFrame:
-    """(x, set) of the classes that stand in pairs (x, y), and of a few others."""
-    bit = F.pmod(F.col("x"), F.lit(BITS))
-    both = pairs.select("x").unionByName(pairs.select(F.col("y").alias("x")))
-    rows = both.groupBy(F.shiftright(bit, 6).alias("word")).agg(F.bit_or(F.expr(f"shiftleft(1L, cast(pmod(x, {BITS}) % 64 as int))")).alias("bits")).toPandas()
+                s, key, n, at, pop, hot = (np.concatenate(c) for c in columns)
+                bucket = np.where(hot, n_buckets, (C.mix(s) % np.uint64(n_buckets)).astype(np.int64))
+                order = np.argsort(bucket, kind="stable")
+                used, edges = np.unique(bucket[order], return_index=True)
+                edges = pa.array(np.append(edges, len(order)), pa.int32())
+                flat = [C.signed(s), key, n, at, pop]
+                m = len(used)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.where(used == n_buckets, 2, 1), pa.int8()), pa.nulls(m, pa.int64()), pa.nulls(m, pa.int32()), pa.nulls(m, pa.int64()), pa.nulls(m, pa.binary()), pa.array(used, pa.int32())]
+                    + [pa.ListArray.from_arrays(edges, pa.array(v[order], t)) for v, t in zip(flat, lists.values(), strict=True)],
+                    names=names,
+                )
+
+    return C.written(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, SCANNED), partition_by="kind")
+
+
+def members_of(rows: DataFrame) -> DataFrame:
+    """Written: MEMBER rows of shingles that stand in the prefixes of two classes or more.
+
+    A bucket drops the shingles of one class only, which most are. Those that are known to be common don't pass
+    through a bucket, so none holds a large group.
+    """
+
+    def shared(table: pa.Table) -> pa.Table:
+        s, x, n, at, pop = (table.column(c).combine_chunks().flatten().to_numpy(zero_copy_only=False) for c in ("shingles", "xs", "ns", "ats", "pops"))
+        order = np.lexsort((x, s))
+        s, x = s[order], x[order]
+        new = np.ones(len(s), bool)
+        new[1:] = (s[1:] != s[:-1]) | (x[1:] != x[:-1])  # copies of a class count once
+        order, s, x = order[new], s[new], x[new]
+        again = np.zeros(len(s) + 1, bool)
+        again[1:-1] = s[1:] == s[:-1]
+        keep = again[1:] | again[:-1]
+        order = order[keep]
+        return pa.Table.from_arrays([pa.array(s[keep]), pa.array(x[keep]), pa.array(n[order], pa.int32()), pa.array(at[order], pa.int32()), pa.array(pop[order], pa.float32())], names=["shingle", "x", "n", "at", "pop"])
+
+    rare = rows.where("kind = 1").select("bucket", "shingles", "xs", "ns", "ats", "pops").groupBy("bucket").applyInArrow(shared, MEMBER)
+    common = rows.where("kind = 2").select(F.explode(F.arrays_zip("shingles", "xs", "ns", "ats", "pops")).alias("m")).select(F.col("m.shingles").alias("shingle"), F.col("m.xs").alias("x"), F.col("m.ns").alias("n"), F.col("m.ats").alias("at"), F.col("m.pops").alias("pop"))
+    return C.written(rare.unionByName(common))
+
+
+def wanted_sets(docs: DataFrame, first: DataFrame, pairs: DataFrame) -> DataFrame:
+    """Written: (x, set) of the classes that stand in pairs (x, y), and of a few others; read from the first document of each class."""
+    both = pairs.select("x").unionByName(pairs.select(F.col("y").alias("x"))).distinct()
+    ids = both.join(first, "x").select(F.coalesce(F.pmod("first", F.lit(BITS)), F.lit(0)).alias("bit"))
+    rows = ids.groupBy(F.shiftright("bit", 6).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(bit % 64 as int))")).alias("bits")).toPandas()
     words = np.zeros(BITS // 64, np.uint64)  # a map of fixed size
     words[rows["word"].to_numpy(np.int64)] = rows["bits"].to_numpy(np.int64).view(np.uint64)
     shared = docs.sparkSession.sparkContext.broadcast(words)
 
     def run(batches):
-        for _, own in batches_of_sets(batches):
-            found: dict[int, np.ndarray] = {}
-            for x in own:
-                if len(x):
-                    key = class_of(x)
-                    b = key % BITS
-                    if int(shared.value[b >> 6]) >> (b & 63) & 1:
-                        found[key] = x
+        def asked(batch):
+            bit = np.asarray(batch.column("doc_id").fill_null(0)).astype(np.int64) % BITS
+            return batch.filter(pa.array((shared.value[bit >> 6] >> (bit & 63).astype(np.uint64)) & np.uint64(1) == 1))
+
+        for _, own in batches_of_sets(asked(b) for b in batches):
+            found = {class_of(x): x for x in own if len(x)}
             if found:
                 offs = np.cumsum([0, *map(len, found.values())])
                 values = pa.ListArray.from_arrays(pa.array(offs, pa.int32()), pa.array(C.signed(np.concatenate(list(found.values())))))
                 yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.int64()), values], names=["x", "set"])
 
-    return docs.select("text").mapInArrow(run, "x long, set array<long>")
+    return C.written(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "x long, set array<long>"))
 
 
-def compared(docs: DataFrame, pairs: DataFrame) -> DataFrame:
-    """Written: (x, y, d) with the exact distance of each pair."""
-    own = wanted_sets(docs, pairs)
+def plausible(pairs: DataFrame, first: DataFrame) -> DataFrame:
+    """Written: the pairs (x, y) whose sketches allow a link."""
+
+    def keep(batches):
+        for batch in batches:
+            a, b = batch.column("sketch").to_pylist(), batch.column("other").to_pylist()
+            known = np.array([p is not None and q is not None for p, q in zip(a, b, strict=True)], bool)
+            at = np.flatnonzero(known)
+            u, v = (np.frombuffer(b"".join(s[i] for i in at), np.uint8).reshape(len(at), PARTS) for s in (a, b))
+            most = np.minimum(u, v).sum(1, dtype=np.int64)
+            ok = ~known
+            ok[at] = (100 + PERCENT) * most >= PERCENT * (u.sum(1, dtype=np.int64) + v.sum(1, dtype=np.int64))
+            yield batch.select(["x", "y"]).filter(pa.array(ok))
+
+    s = first.select("x", "sketch")
+    both = pairs.join(s, "x").join(s.select(F.col("x").alias("y"), F.col("sketch").alias("other")), "y")
+    return C.written(both.select("x", "y", "sketch", "other").mapInArrow(keep, "x long, y long"))
+
+
+def compared(docs: DataFrame, first: DataFrame, pairs: DataFrame) -> DataFrame:
+    """Written: (x, y, d, link) with the exact distance of each pair."""
+    own = wanted_sets(docs, first, pairs)
     other = own.select(F.col("x").alias("y"), F.col("set").alias("other"))
     both = pairs.join(own, "x").join(other, "y")
     shared = F.size(F.array_intersect("set", "other"))
@@ -187,12 +270,8 @@ def within_window(d1, d2):
     return F.coalesce(F.abs(d1 - d2) <= (100 - PERCENT) / 100 + 1e-9, F.lit(True))
 
 
-def links(docs: DataFrame, rows: DataFrame) -> DataFrame:
-    """Written: (x, y) links that connect the same classes as all links do."""
-    top = rows.where("kind = 1").groupBy("key").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "key").limit(COMMON).toPandas()
-    key, count = top["key"].to_numpy(np.int64).view(np.uint64), top["n"].to_numpy(np.int64)
-    order = np.argsort(key)
-    members = prefixes(docs, (key[order], count[order]))
+def links(docs: DataFrame, first: DataFrame, members: DataFrame) -> DataFrame:
+    """(x, y) links that connect the same classes as all links do. first: (x, first, sketch) the first document of each class."""
     members = members.withColumns({"component": F.col("x"), "todo": F.lit(True), "d": F.lit(None).cast("double"), "home": F.lit(None).cast("long")})
     found = None
     for _ in range(ROUNDS):
@@ -201,8 +280,8 @@ def links(docs: DataFrame, rows: DataFrame) -> DataFrame:
         pivots = pivots.select("shingle", *[F.col(f"p.{c}").alias(a) for c, a in (("x", "y"), ("n", "pn"), ("at", "pat"), ("component", "pc"), ("d", "pd"))])
         near = C.written(members.join(pivots, "shingle"))
         fit = may_link(F.col("n"), F.col("at"), F.col("pn"), F.col("pat")) & within_window(F.col("d"), F.col("pd"))
-        pairs = C.written(near.where((F.col("component") != F.col("pc")) & fit).select("x", "y").distinct())
-        made = compared(docs, pairs)
+        pairs = plausible(near.where((F.col("component") != F.col("pc")) & fit).select("x", "y").distinct(), first)
+        made = compared(docs, first, pairs)
         new = made.where("link").select("x", "y")
         found = C.written(new if found is None else found.unionByName(new))
         label = components(found.select(F.col("x").alias("a"), F.col("y").alias("b")))
@@ -218,17 +297,17 @@ def links(docs: DataFrame, rows: DataFrame) -> DataFrame:
     z = members.select("shingle", *[F.col(c).alias(f"z_{c}") for c in ("x", "n", "at", "component", "todo", "d")])
     pairs = members.where("todo").join(z, "shingle").where((F.col("component") != F.col("z_component")) & (~F.col("z_todo") | (F.col("x") < F.col("z_x"))))
     pairs = pairs.where(may_link(F.col("n"), F.col("at"), F.col("z_n"), F.col("z_at")) & within_window(F.col("d"), F.col("z_d")))
-    pairs = C.written(pairs.select("x", F.col("z_x").alias("y")).distinct())
-    return found.unionByName(compared(docs, pairs).where("link").select("x", "y"))
+    pairs = plausible(pairs.select("x", F.col("z_x").alias("y")).distinct(), first)
+    return found.unionByName(compared(docs, first, pairs).where("link").select("x", "y"))
 
 
 def joined(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id of every row."""
-    rows = described(docs)
-    own = rows.where("kind = 0").select("doc_id", "n", F.col("key").alias("x"))
-    label = components(links(docs, rows).select(F.col("x").alias("a"), F.col("y").alias("b")))
-    first = own.where("x IS NOT NULL").groupBy("x").agg(F.min("doc_id").alias("first"))
-    first = first.join(label.select(F.col("node").alias("x"), "label"), "x", "left").withColumn("label", F.coalesce("label", "x"))
+    rows = scanned(docs, common_shingles(docs))
+    own = rows.where("kind = 0").select("doc_id", "n", "x")
+    first = C.written(rows.where("kind = 0 AND x IS NOT NULL").groupBy("x").agg(F.min("doc_id").alias("first"), F.first("sketch").alias("sketch")))
+    label = components(links(docs, first, members_of(rows)).select(F.col("x").alias("a"), F.col("y").alias("b")))
+    first = first.drop("sketch").join(label.select(F.col("node").alias("x"), "label"), "x", "left").withColumn("label", F.coalesce("label", "x"))
     least = first.groupBy("label").agg(F.min("first").alias("component_id"))
     to = first.join(least, "label").select("x", "component_id")
     out = own.join(to, "x", "left")
