@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Bytes of text that a task handles at once (a longer single text is handled whole).
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
@@ -59,6 +59,16 @@ def remainder(column: str, n: int):
     return F.crc32(F.col(column).cast("string").cast("binary")) % n
 
 
+def numbered(docs: DataFrame, keep: list[str]) -> tuple[DataFrame, list[str]]:
+    """Columns keep of docs under names that clash with nothing, and text."""
+    names = [f"c{i}" for i in range(len(keep))]
+    return docs.select(*[F.col(f"`{k}`").alias(n) for k, n in zip(keep, names, strict=True)], F.col("`text`").alias("text")), names
+
+
+def renamed(rows: DataFrame, names: list[str], keep: list[str]) -> DataFrame:
+    return rows.select(*[F.col(n).alias(k) for n, k in zip(names, keep, strict=True)])
+
+
 def utf8(col) -> tuple[np.ndarray, np.ndarray]:
     """Bytes of all texts (null: empty) and the offsets of each."""
     col = pc.fill_null(col.combine_chunks() if isinstance(col, pa.ChunkedArray) else col, "").cast(pa.large_string())
@@ -120,15 +130,17 @@ def powers(n: int) -> np.ndarray:
     return _powers
 
 
-def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of each word's bytes."""
-    if not len(starts):
-        return np.empty(0, np.uint64)
-    size = ends - starts
-    first = np.cumsum(size) - size
-    within = np.arange(int(size.sum()), dtype=np.int64) - np.repeat(first, size)
-    at = np.repeat(starts, size) + within
-    return mix(np.add.reduceat(BYTE[data[at]] * powers(int(size.max()))[within], first) + size.astype(np.uint64))
+def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, run: int = 1 << 16) -> np.ndarray:
+    """A 64-bit hash of each word's bytes; a run of words at a time, so that memory is a small multiple of the text's."""
+    out = np.empty(len(starts), np.uint64)
+    for i in range(0, len(starts), run):
+        lo, size = starts[i : i + run], ends[i : i + run] - starts[i : i + run]
+        first = np.cumsum(size) - size
+        within = np.arange(int(size.sum()), dtype=np.int64) - np.repeat(first, size)
+        letters = BYTE[data[np.repeat(lo, size) + within]]
+        letters *= powers(int(size.max()))[within]
+        out[i : i + run] = mix(np.add.reduceat(letters, first) + size.astype(np.uint64))
+    return out
 
 
 def grams(h: np.ndarray, n: int) -> np.ndarray:

@@ -153,11 +153,10 @@ def blocks(benchmark: DataFrame):
 HITS = "n_words long, hits array<int>, item_ids array<string>"
 
 
-def hits(docs: DataFrame, index: Index, keep: list[str]) -> DataFrame:
-    """keep, then the number of words, the places of hit words, and the names of the items that occur."""
-    shared = docs.sparkSession.sparkContext.broadcast(index)
-    names = [f"c{i}" for i in range(len(keep))]
-    rows = docs.select(*[F.col(f"`{k}`").alias(n) for k, n in zip(keep, names, strict=True)], F.col("text").alias("text"))
+def hits(rows: DataFrame, index: Index) -> DataFrame:
+    """The columns of rows but text, then the number of words, the places of hit words, and the names of the items that occur."""
+    shared = rows.sparkSession.sparkContext.broadcast(index)
+    names = [c for c in rows.columns if c != "text"]
     schema = ", ".join([*(f"{n} {rows.schema[n].dataType.simpleString()}" for n in names), HITS])
 
     def scan(batches):
@@ -179,40 +178,39 @@ def hits(docs: DataFrame, index: Index, keep: list[str]) -> DataFrame:
                 items = pa.ListArray.from_arrays(pa.array(edges, pa.int32()), pa.array([index.items[i] for i in pairs[:, 1]], pa.string()))
                 yield pa.RecordBatch.from_arrays([*(part.column(n) for n in names), pa.array(np.diff(bounds), pa.int64()), places, items], names=[*names, "n_words", "hits", "item_ids"])
 
-    out = rows.mapInArrow(scan, schema)
-    return out.select(*[F.col(n).alias(k) for n, k in zip(names, keep, strict=True)], "n_words", "hits", "item_ids")
+    return rows.mapInArrow(scan, schema)
 
 
-def contamination(docs: DataFrame, benchmark: DataFrame, keep: list[str]) -> DataFrame:
-    """keep, n_words, hits (places of the hit words, ascending) and item_ids (of the items with occurring windows) of every row."""
-    found = [hits(docs if not keep else docs.withColumn("_row", F.monotonically_increasing_id()), Index(Windows(block), docs), [*keep, "_row"]) for block in blocks(benchmark)]
-    if len(found) == 1:
-        return found[0].drop("_row")
+def contamination(docs: DataFrame, benchmark: DataFrame, keep: list[str]) -> tuple[DataFrame, list[str]]:
+    """For every row of docs: keep (under the names given back), n_words, hits (places of the hit words, ascending) and item_ids (of the items with occurring windows)."""
+    rows, names = C.numbered(docs, keep)
+    rows = rows.withColumn("row", F.monotonically_increasing_id())
+    found = [hits(rows, Index(Windows(block), docs)) for block in blocks(benchmark)]
     out = found[0]
     for i, more in enumerate(found[1:]):
-        own = more.select("_row", F.col("hits").alias(f"_h{i}"), F.col("item_ids").alias(f"_i{i}")).where(F.size(f"_h{i}") > 0)
-        none = [F.coalesce(F.col(c), F.array().cast(t)) for c, t in ((f"_h{i}", "array<int>"), (f"_i{i}", "array<string>"))]
-        out = out.join(own, "_row", "left").withColumns({"hits": F.array_sort(F.array_union("hits", none[0])), "item_ids": F.concat("item_ids", none[1])}).drop(f"_h{i}", f"_i{i}")
-    return out.drop("_row")
+        own = more.select("row", F.col("hits").alias(f"h{i}"), F.col("item_ids").alias(f"i{i}")).where(F.size(f"h{i}") > 0)
+        none = [F.coalesce(F.col(c), F.array().cast(t)) for c, t in ((f"h{i}", "array<int>"), (f"i{i}", "array<string>"))]
+        out = out.join(own, "row", "left").withColumns({"hits": F.array_sort(F.array_union("hits", none[0])), "item_ids": F.concat("item_ids", none[1])}).drop(f"h{i}", f"i{i}")
+    return out.drop("row"), names
 
 
 def op6_benchmark_decontamination(spark, sf_dir) -> DataFrame:
-    found = contamination(C.table(spark, sf_dir, "documents"), C.table(spark, sf_dir, "benchmark"), ["doc_id"])
-    names = F.array_join(F.array_sort("item_ids"), ",")
+    found, names = contamination(C.table(spark, sf_dir, "documents"), C.table(spark, sf_dir, "benchmark"), ["doc_id"])
+    item_names = F.array_join(F.array_sort("item_ids"), ",")
     return found.select(
-        "doc_id",
+        F.col(names[0]).alias("doc_id"),
         "n_words",
         F.size("hits").cast("long").alias("n_hit"),
         F.size("item_ids").cast("long").alias("n_items"),
-        F.sha2(names, 256).alias("items_sha256"),
+        F.sha2(item_names, 256).alias("items_sha256"),
         (F.size("hits") > 0).alias("contaminated"),
     )
 
 
 def stage_decontaminate(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents in which no benchmark window occurs."""
-    found = contamination(docs, C.table(spark, sf_dir, "benchmark"), docs.columns)
-    return found.where(F.size("hits") == 0).select(*[found[f"`{c}`"] for c in docs.columns])
+    found, names = contamination(docs, C.table(spark, sf_dir, "benchmark"), docs.columns)
+    return C.renamed(found.where(F.size("hits") == 0), names, docs.columns)
 
 
 ORACLE = r"""

@@ -134,12 +134,11 @@ def scored(data, offs, model) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return np.where(has, best, -1), np.where(has, score, 0.0)
 
 
-def predict(docs: DataFrame, model, keep: list[str]) -> DataFrame:
-    """Columns keep of docs (text among them or not), then lang_pred and score."""
+def predict(docs: DataFrame, model, keep: list[str], accepted: Column | None = None) -> DataFrame:
+    """Columns keep of docs, then lang_pred and score; or, given a condition on these two, keep of the rows that meet it."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    names = [f"c{i}" for i in range(len(keep))]
-    rows = docs.select(*[F.col(f"`{k}`").alias(n) for k, n in zip(keep, names, strict=True)], F.col("text").alias("text"))
-    schema = ", ".join(f"{n} {rows.schema[n].dataType.simpleString()}" for n in names)
+    rows, names = C.numbered(docs, keep)
+    schema = ", ".join([*(f"{n} {rows.schema[n].dataType.simpleString()}" for n in names), "lang_pred string", "score double"])
 
     def score(batches):
         langs = shared.value[0]
@@ -150,14 +149,17 @@ def predict(docs: DataFrame, model, keep: list[str]) -> DataFrame:
                 pred = pa.array(["und" if b < 0 else langs[b] for b in best], pa.string())
                 yield pa.RecordBatch.from_arrays([*(part.column(n) for n in names), pred, pa.array(value, pa.float64())], names=[*names, "lang_pred", "score"])
 
-    out = rows.mapInArrow(score, f"{schema}{', ' if schema else ''}lang_pred string, score double")
+    out = rows.mapInArrow(score, schema)
+    if accepted is not None:
+        return C.renamed(out.where(accepted), names, keep)
     return out.select(*[F.col(n).alias(k) for n, k in zip(names, keep, strict=True)], "lang_pred", "score")
 
 
 def identify(docs: DataFrame, held_out: Column) -> DataFrame:
-    """doc_id, held_out, lang_pred, score of every row; learns from the rows that aren't held out and have a lang."""
-    model = train(docs.where(~F.coalesce(held_out, F.lit(False))))
-    out = predict(docs.withColumn("held_out", held_out).select("doc_id", "held_out", "text"), model, ["doc_id", "held_out"])
+    """doc_id, held_out, lang_pred, score of every row; learns from the rows that aren't held out and have a lang. A null doc_id isn't held out."""
+    held = F.coalesce(held_out, F.lit(False))
+    model = train(docs.where(~held))
+    out = predict(docs.select("doc_id", held.alias("held_out"), "text"), model, ["doc_id", "held_out"])
     return out.select("doc_id", "held_out", "lang_pred", "score")
 
 
@@ -167,6 +169,5 @@ def op1_language_id(spark, sf_dir) -> DataFrame:
 
 def stage_language(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents that a learned language claims: rejected are those without a letter and those where no language has LEAST_SCORE."""
-    labelled = docs.where(C.remainder("doc_id", 4) != 2)
-    kept = predict(docs, train(labelled), docs.columns)
-    return kept.where((F.col("lang_pred") != "und") & (F.col("score") >= LEAST_SCORE)).select(*[kept[f"`{c}`"] for c in docs.columns])
+    labelled = docs.where(F.coalesce(C.remainder("doc_id", 4) != 2, F.lit(True)))
+    return predict(docs, train(labelled), docs.columns, (F.col("lang_pred") != "und") & (F.col("score") >= LEAST_SCORE))

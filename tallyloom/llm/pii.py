@@ -159,18 +159,18 @@ def pseudonym(key: str, kind: Column, x: Column) -> Column:
 def pseudonymised(docs: DataFrame, key: str = KEY, counts: bool = False) -> DataFrame:
     """docs with pseudonyms in text; with counts, also n_<kind>, how many of each kind were found."""
     text = F.col("`text`")
-    some = text.rlike("[0-9@]")
-    found = docs.withColumn("_found", F.when(some, F.regexp_extract_all(text, F.lit(ANY), F.lit(0))).otherwise(F.array().cast("array<string>")))
-    found = found.withColumn("_found", F.transform("_found", lambda x: F.struct(x.alias("x"), kind_of(x).alias("kind"))))
-    any_kind = F.exists("_found", lambda m: m["kind"].isNotNull())
-    new = F.transform("_found", lambda m: pseudonym(key, m["kind"], m["x"]))
+    name = next(n for n in (f"found{i}" for i in range(len(docs.columns) + 1)) if n not in {c.lower() for c in docs.columns})
+    matches = F.when(text.rlike("[0-9@]"), F.regexp_extract_all(text, F.lit(ANY), F.lit(0))).otherwise(F.array().cast("array<string>"))
+    found = docs.withColumn(name, F.transform(matches, lambda x: F.struct(x.alias("x"), kind_of(x).alias("kind"))))
+    any_kind = F.exists(name, lambda m: m["kind"].isNotNull())
+    new = F.transform(name, lambda m: pseudonym(key, m["kind"], m["x"]))
     # the pieces between the matches and the pseudonyms, in turn
     joined = F.array_join(F.flatten(F.zip_with(F.split(text, ANY, -1), new, lambda a, b: F.array(F.coalesce(a, F.lit("")), F.coalesce(b, F.lit(""))))), "")
     out = found.withColumn("text", F.when(any_kind, joined).otherwise(text))
     is_a = lambda k: lambda m: m["kind"] == k
     for k in KINDS if counts else ():
-        out = out.withColumn(f"n_{k}", F.coalesce(F.size(F.filter("_found", is_a(k))), F.lit(0)))
-    return out.drop("_found")
+        out = out.withColumn(f"n_{k}", F.coalesce(F.size(F.filter(name, is_a(k))), F.lit(0)))
+    return out.drop(name)
 
 
 def op7_pseudonyms(spark, sf_dir) -> DataFrame:
