@@ -1,0 +1,186 @@
+"""Packing, licences, pseudonyms, secrets, URLs."""
+
+import hashlib
+import re
+from zlib import crc32
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from tallyloom.llm import licenses, packing, pii, secrets, urls
+
+from .conftest import DIR, needs_data
+
+public_tokenizers = pytest.importorskip("public_tokenizers")
+
+
+def token_ids(text):
+    from tokenizers import Tokenizer
+
+    return np.array([*Tokenizer.from_file(packing.default_tokenizer()).encode(text or "", add_special_tokens=False).ids, 0], "<u4")
+
+
+def check_packed(rows, docs, padding):
+    by_sequence, by_doc = {}, {}
+    for r in rows:
+        by_sequence.setdefault(r["sequence_id"], []).append((r["offset"], r["length"]))
+        by_doc.setdefault(r["doc_id"], []).append(r)
+    pads = total = 0
+    for parts in by_sequence.values():
+        at = 0
+        for offset, length in sorted(parts):
+            assert offset == at and length > 0
+            at += length
+        assert at <= 1024
+        total += at
+        pads += 0 if at & (at - 1) == 0 else 1024 - at
+    for doc_id, text in docs:
+        ids, copies = token_ids(text), [t for i, t in docs if i == doc_id]
+        own = sorted(by_doc[doc_id], key=lambda r: r["start"])
+        assert sum(r["length"] for r in own) == sum(len(token_ids(t)) for t in copies)
+        if len(copies) == 1:
+            at = 0
+            for r in own:
+                assert r["start"] == at and r["doc_tokens"] == len(ids) and r["ids_crc32"] == crc32(ids[at : at + r["length"]].tobytes())
+                at += r["length"]
+    assert pads <= padding * total
+
+
+@needs_data
+def test_packing_round_trip(spark):
+    docs = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{DIR}/documents.parquet").collect()]
+    check_packed(packing.op4_harmonic_packing(spark, DIR).collect(), docs, 0.05)
+
+
+def test_packing_of_odd_documents(spark, odd, nothing):
+    assert packing.pack(nothing, packing.default_tokenizer()).count() == 0
+    text = odd.unionByName(odd.limit(1).withColumn("doc_id", F.lit(50).cast("long")).withColumn("text", F.lit("a <|endoftext|> b")))
+    check_packed(packing.pack(text, packing.default_tokenizer()).collect(), [(r["doc_id"], r["text"]) for r in text.collect()], 0.5)
+
+
+@pytest.mark.parametrize("n", [*range(1, 130), 511, 512, 513, 1023, 1024, 1025, 2048, 5000])
+def test_cuts_are_whole(n):
+    cut = packing.cuts(n)
+    assert sum(cut) == n and all(0 < c <= 1024 for c in cut)
+    assert sum(c < packing.TAIL and c & (c - 1) != 0 for c in cut) <= 1
+
+
+@needs_data
+def test_licences(spark):
+    got = {r["doc_id"]: r["families"] for r in licenses.op5_license_scan(spark, DIR).collect()}
+    names = {"Released under the MIT License": "MIT", "Apache License, Version 2.0": "Apache-2.0", "GNU General Public License": "GPL", "CC BY-NC 4.0": "CC-BY-NC", "All rights reserved": "Proprietary"}
+    docs = spark.read.parquet(f"{DIR}/documents.parquet").collect()
+    assert len(got) == len(docs)
+    for r in docs:
+        assert set(filter(None, got[r["doc_id"]].split(","))) == {f for text, f in names.items() if text in r["text"]}
+
+
+def test_licences_of_odd_documents(spark, odd, nothing):
+    assert licenses.scan(nothing).count() == 0
+    extra = [(60, "Copyright Somebody. All rights reserved.\nMore"), (61, "The license plate of the car was found"), (62, "SPDX-License-Identifier: MIT\nPermission is hereby granted, free of charge, to any person obtaining a copy"), (63, "the court heard the copyright case of the author")]
+    rows = odd.select("doc_id", "text").unionByName(spark.createDataFrame(extra, "doc_id long, text string"))
+    got = {r["doc_id"]: r for r in licenses.scan(rows).collect()}
+    assert [got[i]["families"] for i in (1, 2, 3, 60, 61, 62, 63)] == ["", "", "", "Proprietary", "", "MIT", ""]
+    assert got[62]["n_licensed"] == 2
+
+
+def luhn(x):
+    d = [int(c) for c in re.sub(r"\D", "", x)][::-1]
+    return (sum(d[::2]) + sum(sum(divmod(2 * c, 10)) for c in d[1::2])) % 10 == 0
+
+
+def test_pseudonyms_keep_formats_and_links(spark):
+    rows = [(1, "card 4737097684299439, again 4737-0976-8429-9439; bad 4737097684299438"), (2, "on 2024-02-29 not 2023-02-29 from 10.20.30.40 not 300.1.1.1."), (3, "+1 (743) 555-3824 or 212-555-0199, 4737097684299439"), (4, "mail Ann.Lee+x@mail5.example.com. end"), (5, "v 1.2.3 and 12345 stay"), (6, None), (7, "078-05-1120 000-12-3456"), (8, "ip 10.20.30.40, 2024-02-29")]
+    got = {r["doc_id"]: r["text"] for r in pii.pseudonymised(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    a, b = re.fullmatch(r"card (\d{16}), again (\d{4}-\d{4}-\d{4}-\d{4}); bad 4737097684299438", got[1]).groups()
+    assert luhn(a) and a != "4737097684299439" and b.replace("-", "") == a and a in got[3]
+    day, ip = re.fullmatch(r"on (\d{4}-\d\d-\d\d) not 2023-02-29 from ([\d.]+) not 300\.1\.1\.1\.", got[2]).groups()
+    assert day != "2024-02-29" and ip != "10.20.30.40" and all(int(x) < 256 for x in ip.split(".")) and got[8] == f"ip {ip}, {day}"
+    assert re.fullmatch(r"\+1 \(\d{3}\) \d{3}-\d{4} or \d{3}-\d{3}-\d{4}, \d{16}", got[3]) and "555-3824" not in got[3] and "555-0199" not in got[3]
+    assert re.fullmatch(r"mail u[0-9a-f]{16}@mail\.invalid\. end", got[4])
+    assert got[5] == rows[4][1] and got[6] is None
+    assert got[7].endswith(" 000-12-3456") and not got[7].startswith("078-05-1120")
+
+
+def test_feistel_is_a_permutation(spark):
+    n = spark.range(10_000).select(F.lpad(F.col("id").cast("string"), 4, "0").alias("x"))
+    assert n.select(pii.permuted("k", "t", F.col("x")).alias("y")).agg(F.countDistinct("y"), F.min(F.length("y")), F.max(F.length("y"))).first()[:] == (10_000, 4, 4)
+    odd_sizes = spark.range(15).select(pii.feistel("k", "t", F.floor(F.col("id") / 5), F.col("id") % 5, F.lit(3), F.lit(5)).alias("y"))
+    assert odd_sizes.distinct().count() == 15
+    days = spark.sql("SELECT date_format(date_add(DATE '1990-01-01', cast(id AS INT)), 'yyyy-MM-dd') AS x FROM range(3000)")
+    assert days.select(pii.date("k", F.col("x")).alias("y")).distinct().count() == 3000
+
+
+def test_pseudonyms_of_odd_documents(odd, nothing):
+    got = pii.pseudonymised(odd)
+    assert got.columns == odd.columns and got.schema["text"].dataType == odd.schema["text"].dataType
+    assert sorted(map(str, got.collect())) == sorted(map(str, odd.collect()))
+    assert pii.pseudonymised(nothing).count() == 0
+
+
+def base_spans(text):
+    found = [(m.start(), 0, m.end()) for m in re.finditer(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", text or "", re.I) if len(m[2]) >= 12]
+    found += [(m.start(), 1, m.end()) for m in re.finditer("AKIA[A-Z0-9]+", text or "") if len(m[0]) >= 18]
+    found += [(m.start(), 2, m.end()) for m in re.finditer("[0-9a-f]+", text or "") if len(m[0]) >= 16]
+    return ",".join(f"{('assign', 'access', 'hex')[k]}:{a}:{b}" for a, k, b in sorted(found))
+
+
+def test_secrets(spark, odd, nothing):
+    live, example = "Zx81kQm29LpW77aa", "Ex4mpl3K3yQ99zzZZ"
+    rows = [
+        (1, f"token = {live}", "a"), (2, f"see {live} there 😀 {live}", "a"), (3, f'password: "{example}"', "a"), (4, f"use {example}", "b"), (5, f"{example} again", "c"),
+        (6, "password=token: abcdefghijkl TOKEN=abcdefghijklm", "b"), (7, "😀 AKIAABCDEFGHIJKLMN x AKIAAB 0123456789abcdef0", "b"), (8, None, None), (9, "", "a"), (9, "secret:" + "ab" * 30, "a"),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").withColumn("lang", F.lit("en"))
+    got = secrets.scan(docs).collect()
+    assert sorted((r["doc_id"], r["base_sha256"]) for r in got) == sorted((i, hashlib.sha256(base_spans(t).encode()).hexdigest()) for i, t, _ in rows)
+    by_id = {r["doc_id"]: r for r in got}
+    assert by_id[2]["spans"] == "live:4:20,live:29:45" and by_id[2]["n_live"] == 2
+    assert by_id[4]["spans"] == "" and by_id[4]["n_example"] == 1 and by_id[3]["n_example"] == 1 and by_id[1]["n_live"] == 1
+    assert secrets.scan(nothing).count() == 0 and secrets.scan(odd).count() == odd.count()
+
+
+@needs_data
+def test_secrets_on_tables(spark):
+    docs = spark.read.parquet(f"{DIR}/documents.parquet").collect()
+    got = {r["doc_id"]: r for r in secrets.op9_secret_ownership(spark, DIR).collect()}
+    for r in docs:
+        assert got[r["doc_id"]]["base_sha256"] == hashlib.sha256(base_spans(r["text"]).encode()).hexdigest()
+
+
+def expected_rule(url):
+    rest = url.split("://", 1)[1] if url and "://" in url else ""
+    host = re.match(r"[^/?#]*", rest)[0]
+    path = re.match(r"[^?#]*", rest[len(host) :])[0]
+    host = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in host)
+    fit = [(v, h + p) for v, h, p in urls.RULES if (host == h or host.endswith("." + h)) and path.startswith(p)]
+    return host, path, max(fit, key=lambda r: len(r[1]), default=(None, None))
+
+
+@needs_data
+def test_urls_on_tables(spark):
+    pages = {r["page_id"]: r["url"] for r in spark.read.parquet(f"{DIR}/pages.parquet").collect()}
+    got = urls.op10_url_filter(spark, DIR).collect()
+    assert len(got) == len(pages)
+    for r in got:
+        host, path, (verdict, rule) = expected_rule(pages[r["page_id"]])
+        assert (r["host"], r["path"], r["rule"]) == (host, path, rule)
+        assert r["verdict"] in ("allow", "block") and (verdict is None or r["verdict"] == verdict)
+
+
+def test_urls_learned_from_labels(spark):
+    labelled = [(f"http://good{i}.org/news/{i}", False) for i in range(200)] + [(f"http://x-{i}-9{i}.biz/win/{i}{i}?a=1&b=2&c={i}", True) for i in range(200)]
+    pages = [(i, u) for i, (u, _) in enumerate([("http://good777.org/news/12", 0), ("http://x-55-955.biz/win/555?a=1&b=2&c=9", 1), (None, 0), ("no scheme", 0), ("HTTP://WWW.Example.COM/en/a#b?c", 0), ("http://notcom/x", 0), ("http://a.net", 0), ("", 0)])]
+    got = {r["page_id"]: r for r in urls.judged(spark.createDataFrame(pages, "page_id long, url string"), labelled=spark.createDataFrame(labelled, "url string, blocked boolean")).collect()}
+    assert (got[0]["verdict"], got[1]["verdict"]) == ("allow", "block")
+    assert (got[2]["host"], got[3]["path"], got[7]["host"]) == ("", "", "")
+    assert (got[4]["host"], got[4]["path"], got[4]["rule"]) == ("www.example.com", "/en/a", "www.example.com/en/")
+    assert got[5]["rule"] is None and got[6]["rule"] is None
+
+
+def test_urls_of_empty_tables(spark):
+    none = spark.createDataFrame([], "page_id long, url string, html string")
+    assert urls.judged(none).count() == 0
+    one = spark.createDataFrame([(1, "http://a.org/"), (1, "http://a.org/"), (None, None)], "page_id long, url string")
+    assert {r["verdict"] for r in urls.judged(one).collect()} == {"allow"}

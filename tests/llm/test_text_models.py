@@ -1,0 +1,113 @@
+"""Language ID and the language model."""
+
+import collections
+import math
+import re
+from zlib import crc32
+
+import pytest
+from pyspark.sql import functions as F
+
+from tallyloom.llm import common as C
+from tallyloom.llm import katz, langid
+
+from .conftest import DIR, needs_data
+
+
+@needs_data
+def test_languages_of_held_out_documents(spark):
+    got = langid.op1_language_id(spark, DIR).toPandas()
+    true = spark.read.parquet(f"{DIR}/documents.parquet").select("doc_id", "lang").toPandas()
+    both = got.merge(true, on="doc_id")
+    held = both[both["held_out"]]
+    assert len(got) == len(true) and ((held["lang"] == held["lang_pred"]).mean() > 0.95)
+    assert got["score"].between(0, 1).all()
+    assert (got["held_out"] == got["doc_id"].map(lambda i: crc32(str(i).encode()) % 4 == 2)).all()
+
+
+def test_odd_documents_get_a_language(odd):
+    got = langid.identify(odd, C.remainder("doc_id", 4) == 2).collect()
+    assert len(got) == odd.count()
+    by_id = {r["doc_id"]: r for r in got}
+    assert all(by_id[i]["lang_pred"] == "und" and by_id[i]["score"] == 0.0 for i in (2, 3, 4, 5))
+    assert by_id[6]["lang_pred"] == "de" and by_id[None]["held_out"] is False
+    assert {r["lang_pred"] for r in got} <= {"en", "fr", "de", "es", "und"}
+
+
+def test_stage_keeps_columns_and_clean_documents(spark, odd):
+    kept = langid.stage_language(spark, odd, "")
+    assert kept.columns == odd.columns and kept.schema == odd.schema
+    assert sorted(r["doc_id"] or 0 for r in kept.select("doc_id").collect()) == [0, 1, 6, 7, 7, 8, 9, 11]
+
+
+def test_nothing_to_learn_from(spark, nothing, odd):
+    assert langid.identify(nothing, F.lit(False)).count() == 0
+    none = odd.withColumn("lang", F.lit(None).cast("string"))
+    assert {r["lang_pred"] for r in langid.identify(none, F.lit(False)).collect()} == {"und"}
+
+
+def brute(docs, vocabulary, cut=katz.CUT):
+    """The model as its description says, with dictionaries."""
+    lower = lambda s: "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in s)
+    tokens = [(i, i is not None and crc32(str(i).encode()) % 5 == 1, [*re.findall(r"[^\x20\x09-\x0D]+", lower(t or "")), None]) for i, t in docs]
+    count = collections.Counter(w for _, held, ws in tokens if not held for w in ws)
+    n, v = sum(count.values()), len(count)
+    of = lambda c: katz.discounts([0, *(collections.Counter(c.values())[r] for r in range(1, cut + 2))])
+    left = lambda d, r: (d[r] if r <= cut else 1.0) * r
+    sizes, least, room = collections.Counter(count.values()), 1 << 60, vocabulary
+    for r in sorted(sizes, reverse=True):
+        if sizes[r] > room:
+            break
+        room, least = room - sizes[r], r
+    words = {w for w, r in count.items() if r >= least} | {None}
+    symbol = lambda w: w if w in words else "<rare>"
+    d1, g = of(count), 1 / (n + 1)
+    unknown = 1 - g * sum(left(d1, r) for r in count.values())
+    p = {w: g * left(d1, count[w]) for w in words}
+    p["<rare>"] = max(1 - sum(p.values()), unknown)
+    pairs = collections.Counter((symbol(a), symbol(b)) for _, held, ws in tokens if not held for a, b in zip([None, *ws], ws, strict=False))
+    d2 = of(pairs)
+    after, seen, mass = collections.Counter(), collections.Counter(), collections.Counter()
+    for (h, w), r in pairs.items():
+        after[h] += r
+        seen[h] += left(d2, r)
+        mass[h] += p[w]
+    alpha = lambda h: (1 - seen[h] / (after[h] + 1)) / (1 - mass[h])
+    bigram = lambda h, w: left(d2, pairs[h, w]) / (after[h] + 1) if pairs[h, w] else alpha(h) * p[w]
+    for h in list(after)[:20]:
+        assert abs(sum(bigram(h, w) for w in p) - 1) < 1e-9
+    for i, held, ws in tokens:
+        score = 0.0
+        for a, b in zip([None, *ws], ws, strict=False):
+            score += math.log10(bigram(symbol(a), symbol(b)))
+            if symbol(b) == "<rare>":
+                score += math.log10((g * left(d1, count[b]) if count[b] else unknown) / p["<rare>"])
+        yield i, held, len(ws), sum(count[w] > 0 for w in ws), n, sum(math.log10((count[w] + 0.5) / (n + 0.5 * (v + 1))) for w in ws), score
+
+
+@needs_data
+@pytest.mark.parametrize("vocabulary", [1 << 18, 300])
+def test_katz_against_brute_force(spark, vocabulary):
+    docs = spark.read.parquet(f"{DIR}/documents.parquet")
+    want = {r[0]: r for r in brute([(r["doc_id"], r["text"]) for r in docs.collect()], vocabulary)}
+    got = katz.scored(docs, C.remainder("doc_id", 5) == 1, vocabulary).collect()
+    assert len(got) == len(want)
+    for r in got:
+        w = want[r["doc_id"]]
+        assert tuple(r)[:5] == w[:5]
+        assert r["base_score"] == pytest.approx(w[5], abs=1e-6) and r["score"] == pytest.approx(w[6], abs=1e-6)
+
+
+def test_katz_on_odd_documents(spark, odd):
+    small = odd.where("doc_id IS NULL OR doc_id != 6")
+    want = sorted(map(repr, (tuple(r[:5]) for r in brute([(r["doc_id"], r["text"]) for r in small.collect()], 1 << 18))))
+    got = katz.scored(odd, C.remainder("doc_id", 5) == 1).collect()
+    assert len(got) == odd.count()
+    assert all(math.isfinite(r["score"]) and math.isfinite(r["base_score"]) for r in got)
+    assert sorted(repr(tuple(r)[:5]) for r in katz.scored(small, C.remainder("doc_id", 5) == 1).collect()) == want
+
+
+def test_katz_without_training_documents(spark, odd, nothing):
+    assert katz.scored(nothing, F.lit(False)).count() == 0
+    got = katz.scored(odd.where("doc_id < 5"), F.lit(True)).collect()
+    assert {(r["n_known"], r["train_tokens"], r["base_score"]) for r in got} == {(0, 0, 0.0)} and all(math.isfinite(r["score"]) for r in got)
