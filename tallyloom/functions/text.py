@@ -115,7 +115,8 @@ def decontaminated(text: Column, categories: dict = P.CONTAMINATION) -> Column:
     out = text
     for found in categories.values():
         for p in found:
-            out = F.when(scan.rlike(p), F.regexp_replace(out, p, "")).otherwise(out)
+            # a pattern that isn't found outside code becomes one that matches nothing, so the expression stays a chain
+            out = F.regexp_replace(out, F.when(scan.rlike(p), p).otherwise("(?!)"), F.lit(""))
     return F.when(n >= P.BLOCK_CATEGORIES, text).otherwise(F.regexp_replace(out, "\\n{3,}", "\n\n"))
 
 

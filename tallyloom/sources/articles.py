@@ -55,13 +55,17 @@ def header(text: Column) -> Column:
 def parsed(files: DataFrame) -> DataFrame:
     """path, the known fields with their defaults, other fields as JSON, body, words, content_hash. Either form of header."""
     rows = files.withColumn("meta", F.coalesce(front_matter(F.col("text")), header(F.col("text")), F.map_from_arrays(F.array().cast("array<string>"), F.array().cast("array<string>"))))
-    body = F.trim(F.when(front_matter(F.col("text")).isNotNull(), X.without_front_matter(F.col("text"))).when(header(F.col("text")).isNotNull(), F.regexp_replace("text", "(?s)\\A.*?\\n---[ \\t]*\\r?\\n", "")).otherwise(F.col("text")))
+    body = stripped(F.when(front_matter(F.col("text")).isNotNull(), X.without_front_matter(F.col("text"))).when(header(F.col("text")).isNotNull(), F.regexp_replace("text", "(?s)\\A.*?\\n---[ \\t]*\\r?\\n", "")).otherwise(F.col("text")))
     field = lambda k: F.coalesce(F.nullif(F.try_element_at("meta", F.lit(k)), F.lit("")), F.lit(DEFAULTS.get(k)).cast("string"))
     tags = F.filter(F.split(F.regexp_replace(F.coalesce(F.try_element_at("meta", F.lit("tags")), F.lit("")), "[\\[\\]\"']", ""), "\\s*,\\s*"), lambda t: t != "")
     extras = F.map_filter("meta", lambda k, v: ~k.isin(*KNOWN))
     return rows.select("path", *[field(k).alias(k) for k in KNOWN if k != "tags"], tags.alias("tags"), F.when(F.size(extras) > 0, F.to_json(extras)).alias("extras"), body.alias("body"), X.word_count(body).alias("words"), F.md5(body).alias("content_hash"))
 
 
+def stripped(text: Column) -> Column:
+    return F.regexp_replace(text, "\\A\\s+|\\s+\\z", "")
+
+
 def title_of(text: Column, path: Column) -> Column:
     """From the header, else the first heading, else the file's name."""
     meta = F.try_element_at(front_matter(text), F.lit("title"))
