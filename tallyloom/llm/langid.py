@@ -22,8 +22,6 @@ from . import common as C
 ORDERS = (1, 2, 3)
 BUCKETS = 1 << 16
 SMOOTHING = 0.1
-#: A text below this is rejected by the pipeline's stage: no language holds most of the (tempered) probability.
-LEAST_SCORE = 0.5
 
 
 @cache
@@ -168,6 +166,6 @@ def op1_language_id(spark, sf_dir) -> DataFrame:
 
 
 def stage_language(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents that a learned language claims: rejected are those without a letter and those where no language has LEAST_SCORE."""
+    """The documents that have a language: rejected are those without a letter. Uncertain ones stay."""
     labelled = docs.where(F.coalesce(C.remainder("doc_id", 4) != 2, F.lit(True)))
-    return predict(docs, train(labelled), docs.columns, (F.col("lang_pred") != "und") & (F.col("score") >= LEAST_SCORE))
+    return predict(docs, train(labelled), docs.columns, F.col("lang_pred") != "und")
