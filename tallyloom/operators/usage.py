@@ -68,7 +68,7 @@ def since_last_gap(events: DataFrame, as_of: Column, minutes: int = 30, hours: i
 def energy(calls: DataFrame, cls: str = "class", n: str = "calls") -> DataFrame:
     """By class and in total (class null): calls, Wh with the building's overhead, g CO2e."""
     rows = calls.withColumn("wh", S.watt_hours(F.col(cls), F.col(n)))
-    return rows.rollup(cls).agg(F.sum(n).alias("calls"), F.round(F.sum("wh"), 3).alias("wh"), F.round(F.sum(S.grams(F.col("wh"))), 3).alias("grams"))
+    return rows.rollup(cls).agg(F.sum(n).alias("calls"), F.round(F.sum("wh"), 1).alias("wh"), F.round(F.sum(S.grams(F.col("wh"))), 1).alias("grams"))
 
 
 def priced(usage: DataFrame, prices: Mapping[str, tuple[float, float]] = P.PRICES, by_class: bool = True) -> DataFrame:

@@ -445,3 +445,31 @@ def source_key_and_title(spark, sf_dir):
     from ..sources import articles as A
 
     return table(spark, sf_dir, "documents").select("doc_id", A.source_key(path).alias("source_key"), F.split("text", "\n")[0].alias("title"))
+
+
+@query(r"""
+SELECT doc_id, CAST(len(n) AS BIGINT) AS numbers, CAST(coalesce(list_max(n), 0) AS BIGINT) AS most FROM (SELECT doc_id, list_transform(regexp_extract_all(text, '(?i)([0-9][0-9,]*)[^0-9\n]{0,20}the', 1), lambda x: TRY_CAST(replace(x, ',', '') AS BIGINT)) AS n FROM documents) WHERE len(n) > 0
+""")
+def numbers_near_words(spark, sf_dir):
+    """Numbers within twenty characters before a word, on its line."""
+    from ..operators import checks
+
+    rows = table(spark, sf_dir, "documents").select("doc_id", checks.numbers_near(F.col("text"), "the").alias("n")).where(F.size("n") > 0)
+    return rows.select("doc_id", F.size("n").cast("long").alias("numbers"), F.coalesce(F.array_max("n"), F.lit(0)).alias("most"))
+
+
+@query("SELECT doc_id, length(text) > 900 AS cut, CASE WHEN length(source || chr(10) || chr(10) || left(text, 700) || chr(10) || chr(10) || right(text, 300)) <= 800 THEN source || chr(10) || chr(10) || left(text, 700) || chr(10) || chr(10) || right(text, 300) WHEN length(source || chr(10) || chr(10) || left(text, 700)) <= 800 THEN source || chr(10) || chr(10) || left(text, 700) ELSE source END AS package FROM documents")
+def budgeted_package(spark, sf_dir):
+    """Sections of a package; the last one goes first if the package is too long."""
+    from ..operators import checks
+
+    sections = [("source", F.col("source")), ("head", F.left("text", F.lit(700))), ("tail", F.right("text", F.lit(300)))]
+    return table(spark, sf_dir, "documents").select("doc_id", (F.length("text") > 900).alias("cut"), checks.package(sections, 800, ("tail", "head")).alias("package"))
+
+
+@query()
+def signed_documents(spark, sf_dir):
+    """A keyed signature of each text; the other side has no such function."""
+    from ..operators import checks
+
+    return table(spark, sf_dir, "documents").select("doc_id", checks.signature(F.col("text"), b"key").alias("signature"))

@@ -140,7 +140,7 @@ def lifetime_value(spark, sf_dir):
 
 
 @query(f"""
-SELECT {_CLASS} AS class, count(*) AS calls, round(sum({_WH} * 1.135), 3) AS wh, round(sum({_WH} * 1.135 / 1000 * 379.0), 3) AS grams FROM events GROUP BY ROLLUP ({_CLASS})
+SELECT {_CLASS} AS class, count(*) AS calls, round(sum({_WH} * 1.135), 1) AS wh, round(sum({_WH} * 1.135 / 1000 * 379.0), 1) AS grams FROM events GROUP BY ROLLUP ({_CLASS})
 """)
 def events_carbon_rollup(spark, sf_dir):
     calls = _events(spark, sf_dir).groupBy(S.model_class(_model()).alias("class")).agg(F.count("*").alias("calls"))
