@@ -27,6 +27,7 @@ def test_stem(word, stem):
 def test_trim_keeps_header_and_drops_frame():
     page = "---\ntitle: x\n---\n# Title\n\nHome\n![a](b)\nText\n\n## Related Posts\n- one\n- two\n\nMore text\n\n\n\n\n42 comments\nEnd\n\n"
     assert texts.trim(page) == "---\ntitle: x\n---\n# Title\n\nText\n\nMore text\n\n\nEnd\n"
+    assert texts.trim("a\n## Our shop\nb", ["#+ Our shop"]) == "a\n"
     assert texts.trim("") == "" and texts.trim("\n\n") == ""
 
 
