@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -59,6 +61,18 @@ def remainder(column: str, n: int):
     return F.crc32(F.col(column).cast("string").cast("binary")) % n
 
 
+def released(run):
+    """run, a function on an iterator of batches; memory that it has freed then goes back to the system, since the worker lives on beside others."""
+
+    def whole(batches):
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+        with contextlib.suppress(OSError, AttributeError):
+            ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+    return whole
+
+
 def numbered(docs: DataFrame, keep: list[str]) -> tuple[DataFrame, list[str]]:
     """Columns keep of docs under names that clash with nothing, and text."""
     names = [f"c{i}" for i in range(len(keep))]

@@ -79,7 +79,7 @@ def document_frequency(docs: DataFrame, keys: dict[int, np.ndarray]) -> dict[tup
             some = np.flatnonzero(own)
             yield pa.RecordBatch.from_arrays([pa.array(np.full(len(some), n), pa.int32()), pa.array(some, pa.int64()), pa.array(own[some], pa.int64())], names=["n", "at", "c"])
 
-    got = docs.select("text").mapInArrow(count, "n int, at long, c long").groupBy("n", "at").agg(F.sum("c").alias("c")).collect()
+    got = docs.select("text").mapInArrow(C.released(count), "n int, at long, c long").groupBy("n", "at").agg(F.sum("c").alias("c")).collect()
     return {(r["n"], r["at"]): r["c"] for r in got}  # at most one row for each shingle of the block
 
 
@@ -178,7 +178,7 @@ def hits(rows: DataFrame, index: Index) -> DataFrame:
                 items = pa.ListArray.from_arrays(pa.array(edges, pa.int32()), pa.array([index.items[i] for i in pairs[:, 1]], pa.string()))
                 yield pa.RecordBatch.from_arrays([*(part.column(n) for n in names), pa.array(np.diff(bounds), pa.int64()), places, items], names=[*names, "n_words", "hits", "item_ids"])
 
-    return rows.mapInArrow(scan, schema)
+    return rows.mapInArrow(C.released(scan), schema)
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, keep: list[str]) -> tuple[DataFrame, list[str]]:

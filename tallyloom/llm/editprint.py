@@ -195,7 +195,7 @@ def fingerprints(docs: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(out, pa.string())], names=["doc_id", "fingerprint"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, fingerprint string")
+    return docs.select("doc_id", "text").mapInArrow(C.released(run), f"doc_id {kind}, fingerprint string")
 
 
 def in_order(docs: DataFrame) -> DataFrame:
@@ -254,7 +254,7 @@ def with_next(docs: DataFrame) -> DataFrame:
                 yield from out(rows)
                 held = rows[-1:]
 
-    return in_order(docs).mapInArrow(run, RESULT)
+    return in_order(docs).mapInArrow(C.released(run), RESULT)
 
 
 def banded(prints: DataFrame, name: str) -> DataFrame:
@@ -275,7 +275,7 @@ def banded(prints: DataFrame, name: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(name).take(pa.array(ids, pa.int64())), pa.array(where, pa.int32()), pa.array(values, pa.string())], names=[name, "band", "value"])
 
     kind = prints.schema[name].dataType.simpleString()
-    return prints.select(name, "fingerprint").mapInArrow(run, f"{name} {kind}, band int, value string")
+    return prints.select(name, "fingerprint").mapInArrow(C.released(run), f"{name} {kind}, band int, value string")
 
 
 def search(queries: DataFrame, docs: DataFrame, least: float = 0.8) -> DataFrame:
@@ -284,7 +284,7 @@ def search(queries: DataFrame, docs: DataFrame, least: float = 0.8) -> DataFrame
     Both sides have doc_id and text; a query doesn't find its own doc_id. An approximate search: a pair is found if the
     fingerprints share a band.
     """
-    alike = F.udf(likeness, "double")
+    alike = F.pandas_udf(lambda a, b: a.combine(b, likeness), T.DoubleType())
     q = queries.select(F.col("doc_id").alias("query_id"), F.coalesce("text", F.lit("")).alias("query_text"))
     d = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     qf = fingerprints(q.select(F.col("query_id").alias("doc_id"), F.col("query_text").alias("text"))).withColumnRenamed("doc_id", "query_id")

@@ -90,7 +90,7 @@ def counts(texts: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array([lang] * (len(at) + 1), pa.string()), pa.array(np.append(at, -1), pa.int32()), pa.array(np.append(own[at], docs[lang]), pa.int64())], names=["lang", "bucket", "n"])
 
     rows = texts.where("lang IS NOT NULL AND text IS NOT NULL").select("text", "lang")
-    return rows.mapInArrow(fold, "lang string, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
+    return rows.mapInArrow(C.released(fold), "lang string, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
 
 
 def train(texts: DataFrame) -> tuple[list[str], np.ndarray, np.ndarray]:
@@ -147,7 +147,7 @@ def predict(docs: DataFrame, model, keep: list[str], accepted: Column | None = N
                 pred = pa.array(["und" if b < 0 else langs[b] for b in best], pa.string())
                 yield pa.RecordBatch.from_arrays([*(part.column(n) for n in names), pred, pa.array(value, pa.float64())], names=[*names, "lang_pred", "score"])
 
-    out = rows.mapInArrow(score, schema)
+    out = rows.mapInArrow(C.released(score), schema)
     if accepted is not None:
         return C.renamed(out.where(accepted), names, keep)
     return out.select(*[F.col(n).alias(k) for n, k in zip(names, keep, strict=True)], "lang_pred", "score")

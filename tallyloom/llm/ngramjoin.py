@@ -109,7 +109,7 @@ def common_shingles(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
         if held:
             yield out()
 
-    counts = docs.select("text").sample(COUNTED, seed=8).mapInArrow(count, "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("n")).where("n > 1")
+    counts = docs.select("text").sample(COUNTED, seed=8).mapInArrow(C.released(count), "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("n")).where("n > 1")
     counts = C.written(counts)
     level = F.least(F.col("n"), F.lit(1 << 16))
     least, size = 2, 0
@@ -175,7 +175,7 @@ def scanned(docs: DataFrame, common: tuple[np.ndarray, np.ndarray]) -> DataFrame
                     names=names,
                 )
 
-    return C.written(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, SCANNED), partition_by="kind")
+    return C.written(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(C.released(run), SCANNED), partition_by="kind")
 
 
 def members_of(rows: DataFrame) -> DataFrame:
@@ -224,7 +224,7 @@ def wanted_sets(docs: DataFrame, first: DataFrame, pairs: DataFrame) -> DataFram
                 values = pa.ListArray.from_arrays(pa.array(offs, pa.int32()), pa.array(C.signed(np.concatenate(list(found.values())))))
                 yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.int64()), values], names=["x", "set"])
 
-    return C.written(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "x long, set array<long>"))
+    return C.written(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(C.released(run), "x long, set array<long>"))
 
 
 def plausible(pairs: DataFrame, first: DataFrame) -> DataFrame:
@@ -243,7 +243,7 @@ def plausible(pairs: DataFrame, first: DataFrame) -> DataFrame:
 
     s = first.select("x", "sketch")
     both = pairs.join(s, "x").join(s.select(F.col("x").alias("y"), F.col("sketch").alias("other")), "y")
-    return C.written(both.select("x", "y", "sketch", "other").mapInArrow(keep, "x long, y long"))
+    return C.written(both.select("x", "y", "sketch", "other").mapInArrow(C.released(keep), "x long, y long"))
 
 
 def compared(docs: DataFrame, first: DataFrame, pairs: DataFrame) -> DataFrame:
@@ -318,13 +318,33 @@ def op8_ngram_jaccard(spark, sf_dir) -> DataFrame:
     return joined(C.table(spark, sf_dir, "documents"))
 
 
+def without(docs: DataFrame, gone: DataFrame) -> DataFrame:
+    """The rows of docs whose doc_id isn't in gone.
+
+    A map of BITS bits, whatever the corpus holds, is broadcast and says of most rows that they stay; only the others
+    are shuffled, to be looked up.
+    """
+    names = [f"c{i}" for i in range(len(docs.columns))]
+    key = names[docs.columns.index("doc_id")]
+    bit = lambda c: F.pmod(c, F.lit(BITS))
+    words = gone.groupBy(F.shiftright(bit(F.col("doc_id")), 6).alias("word")).agg(F.bit_or(F.expr(f"shiftleft(1L, cast(pmod(doc_id, {BITS}) % 64 AS int))")).alias("bits"))
+    rows = docs.select(*[F.col(f"`{c}`").alias(n) for c, n in zip(docs.columns, names, strict=True)])
+    rows = rows.withColumn("word", F.shiftright(bit(F.col(key).cast("long")), 6)).join(F.broadcast(words), "word", "left")
+    asked = F.coalesce(F.expr(f"(shiftright(bits, cast(pmod({key}, {BITS}) % 64 AS int)) & 1L) = 1"), F.lit(False))
+    rows = rows.withColumn("asked", asked)
+    checked = rows.where("asked").join(gone.select(F.col("doc_id").alias(key)), key, "left_anti")
+    return C.renamed(rows.where("NOT asked").select(*names).unionByName(checked.select(*names)), names, docs.columns)
+
+
 def stage_near_duplicates(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component: that with the smallest doc_id; of rows that share it, one."""
+    """One document of each component: that with the smallest doc_id; of rows that share it, one. A row without a doc_id stays."""
     found = C.written(joined(docs))
-    gone = found.where("doc_id != component_id").select("doc_id")
-    kept = docs.join(gone, "doc_id", "left_anti").select(*[docs[f"`{c}`"] for c in docs.columns])
-    repeated = found.groupBy("doc_id").count().where("count > 1").limit(1).count()
-    return kept.dropDuplicates(["doc_id"]) if repeated else kept
+    kept = without(docs, found.where("doc_id != component_id").select("doc_id"))
+    repeated = found.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").limit(1).count()
+    if not repeated:
+        return kept
+    has_id = F.col("doc_id").isNotNull()
+    return kept.where(has_id).dropDuplicates(["doc_id"]).unionByName(kept.where(~has_id))
 
 
 ORACLE = r"""

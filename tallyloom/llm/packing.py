@@ -113,7 +113,7 @@ def pieces(docs: DataFrame, tokenizer: str) -> DataFrame:
                 columns = zip(*rows, strict=True)
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int32() if i == 5 else pa.int64()) for i, c in enumerate(columns)], names=["doc_id", "start", "length", "ids_crc32", "doc_tokens", "class", "task", "number"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(cut, schema)
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(C.released(cut), schema)
 
 
 def pack(docs: DataFrame, tokenizer: str) -> DataFrame:
