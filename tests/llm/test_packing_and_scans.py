@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+from functools import cache
 from zlib import crc32
 
 import numpy as np
@@ -15,10 +16,15 @@ from .conftest import DIR, needs_data
 public_tokenizers = pytest.importorskip("public_tokenizers")
 
 
-def token_ids(text):
+@cache
+def tokenizer():
     from tokenizers import Tokenizer
 
-    return np.array([*Tokenizer.from_file(packing.default_tokenizer()).encode(text or "", add_special_tokens=False).ids, 0], "<u4")
+    return Tokenizer.from_file(packing.default_tokenizer())
+
+
+def token_ids(text):
+    return np.array([*tokenizer().encode(text or "", add_special_tokens=False).ids, 0], "<u4")
 
 
 def check_packed(rows, docs, padding):
