@@ -3,21 +3,24 @@
 The model gives a token w after a token h
     p(w | h) = d(c(hw)) c(hw) / (c(h) + 1)      if hw was seen in training,
                a(h) p(w)                        if not,
-    p(w)     = g d(c(w)) c(w) / N               for a word of the vocabulary, and the rest of 1 for the class of all
-               other words; within the class, a word has its own share g d(c(w)) c(w) / N, and unknown words the rest.
+    p(w)     = g d(c(w)) c(w) / N               for a word seen in training, and the rest of 1 for unknown words.
 d are Good-Turing discounts by Katz's formula for counts up to CUT (others are not discounted), a(h) makes the sum over
 all words exactly 1: the mass that h's seen pairs leave, over the mass that they leave in p. One count after each h is
-kept for the unseen, so the mass is never 0. Two kinds of counts are stored: of words (all of them) and of pairs of
-vocabulary symbols, in a table with a row for each hash bucket.
+kept for the unseen, so the mass is never 0. Two kinds of counts are stored: of words and of pairs of words, all of
+them, in a table with a row for each hash bucket. Nothing is pruned.
 
-The vocabulary are the most frequent words, VOCABULARY at most; it sets the size of what is broadcast. All other words
-are counted and looked up as well: they are only conditioned on as one class. Nothing is pruned.
+The CACHE most frequent words are broadcast with their counts. Which words these are changes costs, not results.
 
-How it runs: words are counted; then every document is read again and each slice of documents sends its distinct pairs
-and rare words, with the documents that hold them, to the bucket of the pair's first word (frequent first words are
-spread over several buckets by the second). The bucket counts the training documents among them, stores its counts,
-and answers each slice with sums by document. What needs the corpus-wide discounts and backoff weights is answered as
-counts and as first words of unseen pairs. A last step adds up each slice's answers.
+How it runs: words are counted; then every document is read again and each slice of documents sends its distinct pairs,
+with the documents that hold them, to a bucket: pairs of cached words to that of the first word (frequent first words
+are spread over several buckets by the second), pairs with a second word outside the cache to the second word's, others
+to the first word's. The bucket counts the training documents among them (and so the words outside the cache, each of
+which it sees with all its pairs), stores its counts, and answers each slice with sums by document. What needs the
+corpus-wide discounts is answered as counts. A pair that wasn't seen is answered with its first word, whose backoff
+weight is looked up: in an array for cached words, by a join for all others. A last step adds up each slice's answers.
+
+`scored` with a vocabulary is a smaller model, of that many words and one class of all others, within which each word has
+its own share g d(c(w)) c(w) / N; the query doesn't use it.
 
 Defined results: a null or empty text, or one of white space, is its end token alone; without training documents N and
 V are 0, and every word is unknown; repeated rows are counted and scored as often as they stand there; ties need no
@@ -36,7 +39,7 @@ from pyspark.sql import functions as F
 
 from . import common as C
 
-VOCABULARY = 1 << 18
+CACHE = 1 << 18
 CUT = 5
 GATHER = 2_000_000
 #: The end of a text, as a token.
@@ -94,9 +97,10 @@ def discounts(n: list[int]) -> np.ndarray:
 
 
 class Unigrams:
-    """The word level of the model; its arrays have at most VOCABULARY + 2 entries."""
+    """The word level of the model; its arrays have at most vocabulary + 2 entries. open: words outside it stand for themselves."""
 
-    def __init__(self, counts: DataFrame, vocabulary: int = VOCABULARY):
+    def __init__(self, counts: DataFrame, vocabulary: int, open: bool):
+        self.open = open
         end = int(END.view(np.int64))
         level = F.when(F.col("c") < 65536, F.col("c")).otherwise(65536 + F.floor(256 * F.log2("c"))).cast("long")
         words = counts.withColumn("level", level)
@@ -114,7 +118,7 @@ class Unigrams:
         w, c = top["w"].to_numpy(np.int64).view(np.uint64), top["c"].to_numpy(np.int64)
         order = np.argsort(w[w != END])
         self.words = w[w != END][order]
-        self.size = len(self.words) + 2  # symbols: the end, the vocabulary, the class of all other words
+        self.size = len(self.words) + 2  # symbols: the end, the vocabulary, all other words
         count = np.concatenate([[c[w == END].sum()], c[w != END][order], [0]]).astype(np.float64)
         count[-1] = self.n - count.sum()
         self.count = count
@@ -140,12 +144,15 @@ class Unigrams:
         return np.where(w == END, 0, np.where(self.words[at] == w, at + 1, self.size - 1))
 
 
-#: What slices send to buckets. kind 0: pairs and rare words (docs: twice the document's number in the slice, plus 1 if it is
-#: in training); kind 1: the slice's documents, with what the slice knows itself.
-SENT = "bucket int, slice long, kind byte, keys array<long>, lens array<int>, docs array<int>, ids array<long>, held array<boolean>, n array<int>, known array<int>, base array<double>"
+#: What slices send to buckets. kind 0: pairs of symbols, and in a model with a class its words (docs: twice the document's
+#: number in the slice, plus 1 if it is in training), then pairs with a word outside the cache (first, second: the symbol, or
+#: the word's hash); kind 1: the slice's documents, with what the slice knows itself.
+SENT = "bucket int, slice long, kind byte, keys array<long>, lens array<int>, docs array<int>, first array<long>, second array<long>, open_lens array<int>, open_docs array<int>, ids array<long>, held array<boolean>, n array<int>, known array<int>, base array<double>"
 #: What buckets write. kind 0: sums by document of a slice; kind 1: as sent; kind 2: counts of counts; kind 3: sums by first
-#: word; kind 4: counts of pairs.
-TABLE = "slice long, kind byte, ids array<long>, held array<boolean>, n array<int>, known array<int>, base array<double>, score array<double>, seen array<int>, docs array<int>, keys array<long>, mass array<double>"
+#: word; kind 4: counts of pairs; kind 5: counts of pairs whose first word is outside the cache (mass: the second one's p);
+#: kind 6: documents of a slice and first words outside the cache of their unseen pairs; kind 7: counts of pairs of a cached
+#: first word with another.
+TABLE = "slice long, kind byte, ids array<long>, held array<boolean>, n array<int>, known array<int>, base array<double>, score array<double>, seen array<int>, docs array<int>, keys array<long>, second array<long>, mass array<double>"
 
 
 def schema_of(ddl: str) -> pa.Schema:
@@ -175,6 +182,28 @@ def lists(column) -> tuple[np.ndarray, np.ndarray]:
     return column.flatten().to_numpy(zero_copy_only=False), np.concatenate([[0], np.cumsum(size)])
 
 
+def holders(held: np.ndarray, doc: np.ndarray) -> np.ndarray:
+    """Twice the document's number, plus 1 if it is in training."""
+    return doc * 2 + ~held[doc]
+
+
+def runs(bucket: np.ndarray, keys: list[np.ndarray], holder: np.ndarray, n_buckets: int):
+    """For each bucket in use: its distinct keys, how many holders each has, and the holders."""
+    order = np.lexsort((holder, *keys[::-1], bucket))
+    bucket, holder, keys = bucket[order], holder[order], [k[order] for k in keys]
+    new = np.ones(len(bucket), bool)
+    new[1:] = bucket[1:] != bucket[:-1]
+    for k in keys:
+        new[1:] |= k[1:] != k[:-1]
+    first = np.flatnonzero(new)
+    ends = np.append(first, len(bucket))
+    lens = np.diff(ends)
+    edges = np.searchsorted(bucket[first], np.arange(n_buckets + 1, dtype=np.uint64))
+    for b, (lo, hi) in enumerate(zip(edges[:-1], edges[1:], strict=True)):
+        if hi > lo:
+            yield b, [k[first[lo:hi]] for k in keys], lens[lo:hi], holder[ends[lo] : ends[hi]]
+
+
 def sent(docs: DataFrame, held_out: Column, model, n_buckets: int) -> DataFrame:
     """docs: doc_id, text. SENT rows."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
@@ -196,22 +225,24 @@ def sent(docs: DataFrame, held_out: Column, model, n_buckets: int) -> DataFrame:
                 h[1:] = i[:-1]  # before a text's first token stands the end of another
                 iu, hu = i.astype(np.uint64), h.astype(np.uint64)
                 rare = i == rare_id
-                key = np.concatenate([hu * size + iu, w[rare] | RARE])
-                bucket = np.concatenate([C.mix((hu << np.uint64(24)) + iu % spread[h]), C.mix(w[rare])]) % np.uint64(n_buckets)
-                holder = np.concatenate([doc, doc[rare]]) * 2
-                holder += ~held[holder >> 1]
-                order = np.lexsort((holder, key, bucket))
-                key, bucket, holder = key[order], bucket[order], holder[order]
-                first = np.flatnonzero(np.concatenate([[True], (key[1:] != key[:-1]) | (bucket[1:] != bucket[:-1])])) if len(key) else np.empty(0, np.int64)
-                lens = np.diff(np.append(first, len(key)))
-                edges = np.searchsorted(bucket[first], np.arange(n_buckets + 1, dtype=np.uint64))
-                ends = np.append(first, len(key))
+                before = np.roll(rare, 1)
+                before[:1] = False
+                plain = ~(rare | before) if u.open else np.ones(len(i), bool)
+                alone = np.zeros_like(rare) if u.open else rare
+                key = np.concatenate([(hu * size + iu)[plain], w[alone] | RARE])
+                bucket = np.concatenate([C.mix((hu[plain] << np.uint64(24)) + iu[plain] % spread[h[plain]]), C.mix(w[alone])]) % np.uint64(n_buckets)
                 n_docs = part.num_rows
-                found = [
-                    {"bucket": b, "slice": number, "kind": 0, "keys": C.signed(key[first[lo:hi]]), "lens": lens[lo:hi], "docs": holder[ends[lo] : ends[hi]]}
-                    for b, (lo, hi) in enumerate(zip(edges[:-1], edges[1:], strict=True))
-                    if hi > lo
-                ]
+                found = {}
+                for b, (k,), lens, docs in runs(bucket, [key], holders(held, np.concatenate([doc[plain], doc[alone]])), n_buckets):
+                    found[b] = {"keys": C.signed(k), "lens": lens, "docs": docs}
+                if u.open:
+                    at = np.flatnonzero(~plain)
+                    second = np.where(rare[at], w[at], iu[at])
+                    first = np.where(before[at], w[at - 1], hu[at])
+                    bucket = C.mix(np.where(rare[at], second, first)) % np.uint64(n_buckets)
+                    for b, (k, m), lens, docs in runs(bucket, [first, second], holders(held, doc[at]), n_buckets):
+                        found.setdefault(b, {}).update(first=C.signed(k), second=C.signed(m), open_lens=lens, open_docs=docs)
+                found = [{"bucket": b, "slice": number, "kind": 0, **x} for b, x in found.items()]
                 known = np.bincount(doc[~rare & (u.count[i] > 0)], minlength=n_docs)
                 base = np.bincount(doc[~rare], weights=log_base[i[~rare]], minlength=n_docs)
                 found.append({"bucket": number % n_buckets, "slice": number, "kind": 1, "ids": part.column("doc_id").fill_null(NO_ID).to_numpy(zero_copy_only=False), "held": held, "n": np.bincount(doc, minlength=n_docs), "known": known, "base": base})
@@ -221,8 +252,75 @@ def sent(docs: DataFrame, held_out: Column, model, n_buckets: int) -> DataFrame:
     return texts.mapInArrow(C.released(run), SENT)
 
 
+def sums(h: np.ndarray, c: np.ndarray, p: np.ndarray):
+    """The rows of kinds 2 and 3 of pairs with a cached first word h."""
+    hs, at = np.unique(h, return_inverse=True)
+    by_level = np.bincount(at[c <= CUT] * CUT + c[c <= CUT] - 1, minlength=len(hs) * CUT)
+    rest = np.bincount(at[c > CUT], weights=c[c > CUT], minlength=len(hs))
+    mass = np.bincount(at, weights=p, minlength=len(hs))
+    yield from rows(TABLE, [{"kind": 2, "keys": levels(c)}, {"kind": 3, "keys": hs, "seen": by_level, "mass": np.concatenate([rest, mass])}]).to_batches()
+
+
+def levels(c: np.ndarray) -> np.ndarray:
+    return np.bincount(np.minimum(c, CUT + 2), minlength=CUT + 3)[: CUT + 2]
+
+
+class Others:
+    """A bucket's pairs with a word outside the cache. It holds all pairs of such a second word, and so its count."""
+
+    def __init__(self, own: pa.Table, u: Unigrams):
+        self.u = u
+        (first, self.key_at), (second, _), (lens, _), (docs, self.doc_at) = (lists(own.column(c)) for c in ("first", "second", "open_lens", "open_docs"))
+        first, second = (x.astype(np.int64, copy=False).view(np.uint64) for x in (first, second))
+        order = np.lexsort((first, second))
+        f, s = first[order], second[order]
+        new = np.ones(len(f), bool)
+        new[1:] = (f[1:] != f[:-1]) | (s[1:] != s[:-1])
+        self.of = np.empty(len(f), np.int32)
+        self.of[order] = np.cumsum(new) - 1
+        self.first, self.second = f[new], s[new]
+        self.lens, self.docs = lens.astype(np.int64), docs.astype(np.int64)
+        trained = np.add.reduceat(self.docs & 1, np.cumsum(self.lens) - self.lens) if len(lens) else np.empty(0)
+        self.c = np.bincount(self.of, weights=trained, minlength=len(self.first)).astype(np.int64)
+        self.cached = self.first < u.size
+        self.rare = self.second >= u.size
+        _, word = np.unique(self.second, return_inverse=True)
+        total = np.bincount(word, weights=self.c)[word] if len(word) else np.empty(0)
+        symbol = np.where(self.rare, 0, self.second).astype(np.int64)
+        self.p = np.where(self.rare, np.where(total > 0, u.g * u.discounted(total), u.unknown), u.p[symbol])
+        h = np.where(self.cached, self.first, 0).astype(np.int64)
+        seen = self.c > 0
+        # what a first word outside the cache divides by comes from its own bucket, where it is the second word
+        self.value = np.where(seen, np.log10(np.maximum(self.c, 1)) - np.where(self.cached, np.log10(u.count[h] + 1), 0.0), np.log10(self.p))
+        self.value -= np.where(self.rare, np.log10(total + 1), 0.0)
+        self.base = np.where(self.rare, np.log10(total + 0.5), 0.0)
+        self.known = self.rare & (total > 0)
+
+    def answer(self, r: int) -> dict[str, np.ndarray]:
+        """What slice r is sent; low: document * CUT + count - 1 of seldom seen pairs; docs, heads: of unseen ones, far_docs, far: if the first word isn't cached."""
+        at = slice(self.key_at[r], self.key_at[r + 1])
+        e = np.repeat(self.of[at], self.lens[at])
+        d = self.docs[self.doc_at[r] : self.doc_at[r + 1]] >> 1
+        c, cached = self.c[e], self.cached[e]
+        low, near, far = (c > 0) & (c <= CUT), (c == 0) & cached, (c == 0) & ~cached
+        return {
+            "d": d, "value": self.value[e], "base": self.base[e], "known": self.known[e], "low": d[low] * CUT + c[low] - 1,
+            "docs": d[near], "heads": self.first[e[near]].astype(np.int64), "far_docs": d[far], "far": self.first[e[far]],
+        }
+
+    def stored(self):
+        seen = self.c > 0
+        near, far = seen & self.cached, seen & ~self.cached
+        if near.any():
+            yield from sums(self.first[near].astype(np.int64), self.c[near], self.p[near])
+            yield from rows(TABLE, [{"kind": 7, "keys": C.signed(self.first[near]), "second": C.signed(self.second[near]), "seen": self.c[near]}]).to_batches()
+        if far.any():
+            yield from rows(TABLE, [{"kind": 2, "keys": levels(self.c[far])}]).to_batches()
+            yield from rows(TABLE, [{"kind": 5, "keys": C.signed(self.first[far]), "second": C.signed(self.second[far]), "seen": self.c[far], "mass": self.p[far]}]).to_batches()
+
+
 def answered(received: DataFrame, model) -> DataFrame:
-    """Written: TABLE rows, of which kind 4 is the table of pair counts."""
+    """Written: TABLE rows, of which kinds 4, 5 and 7 are the table of pair counts."""
     shared = received.sparkSession.sparkContext.broadcast(model)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -232,7 +330,7 @@ def answered(received: DataFrame, model) -> DataFrame:
         for r in np.flatnonzero(kind == 1):
             row = table.slice(r, 1)
             yield from rows(TABLE, [{"slice": row["slice"][0].as_py(), "kind": 1, **{c: lists(row[c])[0] for c in ("ids", "held", "n", "known", "base")}}]).to_batches()
-        own = table.filter(pa.array(kind == 0)).select(["slice", "keys", "lens", "docs"])
+        own = table.filter(pa.array(kind == 0)).select(["slice", "keys", "lens", "docs", "first", "second", "open_lens", "open_docs"])
         del table
         number = np.asarray(own.column("slice"))
         (keys, key_at), (lens, _), (docs, doc_at) = (lists(own.column(c)) for c in ("keys", "lens", "docs"))
@@ -250,30 +348,31 @@ def answered(received: DataFrame, model) -> DataFrame:
             value = np.where(pair, np.where(seen, np.log10(np.maximum(c, 1)) - np.log10(u.count[h] + 1), log_p[w]), np.where(seen, np.log10(u.g * u.discounted(np.maximum(c, 1))), np.log10(u.unknown)) - log_p[-1])
         level = np.where(pair & seen & (c <= CUT), c, 0)
         base = np.where(pair, 0.0, np.log10(c + 0.5))
+        more = Others(own, u)
+        del own
         for r in range(len(number)):
             e = np.repeat(of[key_at[r] : key_at[r + 1]], lens[key_at[r] : key_at[r + 1]])
             d = docs[doc_at[r] : doc_at[r + 1]] >> 1
-            n = int(d.max()) + 1
+            other = more.answer(r)
+            n = int(max(d.max(initial=-1), other["d"].max(initial=-1))) + 1
             low = level[e] > 0
             open_ = (pair & ~seen)[e]
             rare = ~pair[e]
             yield from rows(TABLE, [{
                 "slice": number[r], "kind": 0,
-                "score": np.bincount(d, weights=value[e], minlength=n),
-                "base": np.bincount(d[rare], weights=base[e[rare]], minlength=n),
-                "known": np.bincount(d[rare & seen[e]], minlength=n),
-                "seen": np.bincount(d[low] * CUT + level[e[low]] - 1, minlength=n * CUT),
-                "docs": d[open_], "keys": h[e[open_]],
+                "score": np.bincount(d, weights=value[e], minlength=n) + np.bincount(other["d"], weights=other["value"], minlength=n),
+                "base": np.bincount(d[rare], weights=base[e[rare]], minlength=n) + np.bincount(other["d"], weights=other["base"], minlength=n),
+                "known": np.bincount(d[rare & seen[e]], minlength=n) + np.bincount(other["d"][other["known"]], minlength=n),
+                "seen": np.bincount(d[low] * CUT + level[e[low]] - 1, minlength=n * CUT) + np.bincount(other["low"], minlength=n * CUT),
+                "docs": np.concatenate([d[open_], other["docs"]]), "keys": np.concatenate([h[e[open_]], other["heads"]]),
             }]).to_batches()
+            if len(other["far_docs"]):
+                yield from rows(TABLE, [{"slice": number[r], "kind": 6, "docs": other["far_docs"], "keys": C.signed(other["far"])}]).to_batches()
         stored = pair & seen
-        hs, at = np.unique(h[stored], return_inverse=True)
         cs = c[stored]
-        by_level = np.bincount(at[cs <= CUT] * CUT + cs[cs <= CUT] - 1, minlength=len(hs) * CUT)
-        rest = np.bincount(at[cs > CUT], weights=cs[cs > CUT], minlength=len(hs))
-        mass = np.bincount(at, weights=u.p[w[stored]], minlength=len(hs))
-        yield from rows(TABLE, [{"kind": 2, "keys": np.bincount(np.minimum(cs, CUT + 2), minlength=CUT + 3)[: CUT + 2]}]).to_batches()
-        yield from rows(TABLE, [{"kind": 3, "keys": hs, "seen": by_level, "mass": np.concatenate([rest, mass])}]).to_batches()
+        yield from sums(h[stored], cs, u.p[w[stored]])
         yield from rows(TABLE, [{"kind": 4, "keys": C.signed(distinct[stored]), "seen": cs}]).to_batches()
+        yield from more.stored()
 
     return C.written(received.groupBy("bucket").applyInArrow(count, TABLE), partition_by="kind")
 
@@ -293,6 +392,20 @@ def backoff(table: DataFrame, u: Unigrams) -> tuple[np.ndarray, np.ndarray]:
     return d, np.log10(np.maximum(left, 1e-300)) - np.log10(np.maximum(free, 1e-12))
 
 
+def looked_up(table: DataFrame, d: np.ndarray) -> DataFrame:
+    """Rows of kind 6 with the weights of unseen pairs whose first word is outside the cache: what its seen pairs leave, times c(h) + 1."""
+    pair = table.where("kind = 5").select(F.explode(F.arrays_zip("keys", "seen", "mass")).alias("x")).select(F.col("x.keys").alias("h"), F.col("x.seen").alias("c"), F.col("x.mass").alias("p"))
+    taken = F.when(F.col("c") <= CUT, (1 - F.element_at(F.array(*map(F.lit, d[1:].tolist())), F.least("c", F.lit(CUT)))) * F.col("c")).otherwise(0.0)
+    weight = pair.groupBy("h").agg(F.sum(taken).alias("taken"), F.sum("p").alias("p"))
+    weight = weight.select("h", (F.log10(F.greatest(1 + F.col("taken"), F.lit(1e-300))) - F.log10(F.greatest(1 - F.col("p"), F.lit(1e-12)))).alias("a"))
+    asked = table.where("kind = 6").select("slice", F.explode(F.arrays_zip("docs", "keys")).alias("x")).select("slice", F.col("x.docs").alias("doc"), F.col("x.keys").alias("h"))
+    # a word that no training document holds leaves everything: 0
+    found = asked.join(weight, "h").groupBy("slice").agg(F.collect_list(F.struct("doc", "a")).alias("x"))
+    names = [f.split(" ")[0] for f in TABLE.split(", ")]
+    own = {"slice": F.col("slice"), "kind": F.lit(6).cast("byte"), "docs": F.col("x.doc"), "score": F.col("x.a")}
+    return found.select(*[own.get(c, F.lit(None)).cast(table.schema[c].dataType).alias(c) for c in names])
+
+
 RESULT = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 
 
@@ -316,16 +429,22 @@ def summed(table: DataFrame, u: Unigrams, d: np.ndarray, log_a: np.ndarray) -> D
             base[: len(x)] += of("base", r)
             known[: len(x)] += of("known", r)
             score += np.bincount(of("docs", r).astype(np.int64), weights=log_a[of("keys", r).astype(np.int64)], minlength=len(n))
+        for r in np.flatnonzero(kind == 6):
+            own = part.slice(r, 1)
+            score += np.bincount(lists(own["docs"])[0].astype(np.int64), weights=lists(own["score"])[0], minlength=len(n))
         out = [pa.array(ids, pa.int64(), mask=ids == NO_ID), pa.array(held.astype(bool)), pa.array(n, pa.int64()), pa.array(known), pa.array(np.full(len(n), total), pa.int64()), pa.array(base - n * scale), pa.array(score)]
         return pa.Table.from_arrays(out, names=[x.split()[0] for x in RESULT.split(", ")])
 
-    return table.where("kind IN (0, 1)").groupBy("slice").applyInArrow(add, RESULT)
+    answers = table.where("kind IN (0, 1)")
+    if u.open:
+        answers = answers.unionByName(looked_up(table, d))
+    return answers.groupBy("slice").applyInArrow(add, RESULT)
 
 
-def scored(docs: DataFrame, held_out: Column, vocabulary: int = VOCABULARY) -> DataFrame:
-    """RESULT for every row, from a model of those that aren't held out."""
+def scored(docs: DataFrame, held_out: Column, vocabulary: int | None = None) -> DataFrame:
+    """RESULT for every row, from a model of those that aren't held out; given a vocabulary, with one class of all other words."""
     held_out = F.coalesce(held_out, F.lit(False))  # a null doc_id isn't held out
-    u = Unigrams(word_counts(docs.where(~held_out)), vocabulary)
+    u = Unigrams(word_counts(docs.where(~held_out)), CACHE if vocabulary is None else vocabulary, vocabulary is None)
     table = answered(sent(docs, held_out, u, C.partitions(docs.sparkSession)), u)
     return summed(table, u, *backoff(table, u))
 

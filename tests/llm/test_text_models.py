@@ -111,3 +111,17 @@ def test_katz_without_training_documents(spark, odd, nothing):
     assert katz.scored(nothing, F.lit(False)).count() == 0
     got = katz.scored(odd.where("doc_id < 5"), F.lit(True)).collect()
     assert {(r["n_known"], r["train_tokens"], r["base_score"]) for r in got} == {(0, 0, 0.0)} and all(math.isfinite(r["score"]) for r in got)
+
+
+@needs_data
+@pytest.mark.parametrize("cache", [0, 300])
+def test_katz_is_the_same_with_whatever_cache(spark, monkeypatch, cache):
+    monkeypatch.setattr(katz, "CACHE", cache)
+    docs = spark.read.parquet(f"{DIR}/documents.parquet")
+    want = {r[0]: r for r in brute([(r["doc_id"], r["text"]) for r in docs.collect()], 1 << 60)}
+    got = katz.scored(docs, C.remainder("doc_id", 5) == 1).collect()
+    assert len(got) == len(want)
+    for r in got:
+        w = want[r["doc_id"]]
+        assert tuple(r)[:5] == w[:5]
+        assert r["base_score"] == pytest.approx(w[5], abs=1e-6) and r["score"] == pytest.approx(w[6], abs=1e-6)
