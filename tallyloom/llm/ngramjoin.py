@@ -24,8 +24,8 @@ n - ceil(t n) + 1 shingles. Each such shingle is a neighbourhood. The steps:
 So a group of thousands of near copies costs a comparison with its pivot for each member, not all pairs; and a link
 between documents of different components is never lost. Components of all links come last.
 
-Defined results: a null text or one without words has an empty set, and links with nothing; a text of fewer words than
-SHINGLE has its whole sequence as its one shingle; repeated rows are equal sets. Shingles and classes are identified
+Defined results: a null text or one without words has an empty set, and links with nothing; a text of fewer words than a
+shingle has its whole sequence as its one shingle; repeated rows are equal sets. Shingles and classes are identified
 by 64-bit hashes. Other columns are not read.
 """
 
@@ -39,9 +39,9 @@ from pyspark.sql import functions as F
 from . import common as C
 from .components import components
 
-SHINGLE = 4
-#: Links have PERCENT * union <= 100 * intersection.
-PERCENT = 85
+#: Words of a shingle, and links' least percentage: percent * union <= 100 * intersection. Of the query, and of the stage.
+SHINGLE, PERCENT = 4, 85
+STAGE_SHINGLE, STAGE_PERCENT = 5, 80
 ROUNDS = 2
 #: Share of documents in which shingles are counted, and how many of the most frequent ones order the rest. Which ones are
 #: known changes costs, not results.
@@ -84,13 +84,13 @@ def sketch_of(own: np.ndarray) -> bytes | None:
     return count.astype(np.uint8).tobytes() if count.max() < 256 else None
 
 
-def batches_of_sets(batches):
+def batches_of_sets(batches, shingle: int):
     for batch in batches:
         for part in C.slices(batch):
-            yield part, sets(*C.utf8(part.column("text")))
+            yield part, sets(*C.utf8(part.column("text")), shingle)
 
 
-def common_shingles(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+def common_shingles(docs: DataFrame, shingle: int) -> tuple[np.ndarray, np.ndarray]:
     """The most frequent shingles, sorted, and their counts; at most COMMON of them, whatever the corpus holds."""
 
     def count(batches):
@@ -100,7 +100,7 @@ def common_shingles(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
             values, n = np.unique(np.concatenate(held), return_counts=True)
             return pa.RecordBatch.from_arrays([pa.array(C.signed(values)), pa.array(n, pa.int64())], names=["shingle", "n"])
 
-        for _, own in batches_of_sets(batches):
+        for _, own in batches_of_sets(batches, shingle):
             held += own
             size += sum(map(len, own))
             if size > GATHER:
@@ -130,7 +130,7 @@ SCANNED = "kind byte, doc_id long, n int, x long, sketch binary, bucket int, shi
 MEMBER = "shingle long, x long, n int, at int, pop float"
 
 
-def scanned(docs: DataFrame, common: tuple[np.ndarray, np.ndarray]) -> DataFrame:
+def scanned(docs: DataFrame, common: tuple[np.ndarray, np.ndarray], shingle: int, percent: int) -> DataFrame:
     """Written: SCANNED rows; the prefix of a class are its first n - ceil(t n) + 1 shingles; at: a shingle's place; pop: how common the class's shingles are."""
     shared = docs.sparkSession.sparkContext.broadcast(common)
     n_buckets = C.partitions(docs.sparkSession)
@@ -139,7 +139,7 @@ def scanned(docs: DataFrame, common: tuple[np.ndarray, np.ndarray]) -> DataFrame
     def run(batches):
         known, count = shared.value
         done: set[int] = set()
-        for part, own in batches_of_sets(batches):
+        for part, own in batches_of_sets(batches, shingle):
             keys = [class_of(x) if len(x) else None for x in own]
             n_docs = len(own)
             columns: list[list] = [[], [], [], [], [], []]
@@ -148,7 +148,7 @@ def scanned(docs: DataFrame, common: tuple[np.ndarray, np.ndarray]) -> DataFrame
                     continue
                 done.add(key)
                 n = len(x)
-                first = n + (-PERCENT * n) // 100 + 1
+                first = n + (-percent * n) // 100 + 1
                 c = np.zeros(n, np.int64)
                 if len(known):
                     at = np.minimum(np.searchsorted(known, x), len(known) - 1)
@@ -203,7 +203,7 @@ def members_of(rows: DataFrame) -> DataFrame:
     return C.written(rare.unionByName(common))
 
 
-def wanted_sets(docs: DataFrame, first: DataFrame, pairs: DataFrame) -> DataFrame:
+def wanted_sets(docs: DataFrame, first: DataFrame, pairs: DataFrame, shingle: int) -> DataFrame:
     """Written: (x, set) of the classes that stand in pairs (x, y), and of a few others; read from the first document of each class."""
     both = pairs.select("x").unionByName(pairs.select(F.col("y").alias("x"))).distinct()
     ids = both.join(first, "x").select(F.coalesce(F.pmod("first", F.lit(BITS)), F.lit(0)).alias("bit"))
@@ -217,7 +217,7 @@ def wanted_sets(docs: DataFrame, first: DataFrame, pairs: DataFrame) -> DataFram
             bit = np.asarray(batch.column("doc_id").fill_null(0)).astype(np.int64) % BITS
             return batch.filter(pa.array((shared.value[bit >> 6] >> (bit & 63).astype(np.uint64)) & np.uint64(1) == 1))
 
-        for _, own in batches_of_sets(asked(b) for b in batches):
+        for _, own in batches_of_sets((asked(b) for b in batches), shingle):
             found = {class_of(x): x for x in own if len(x)}
             if found:
                 offs = np.cumsum([0, *map(len, found.values())])
@@ -227,7 +227,7 @@ def wanted_sets(docs: DataFrame, first: DataFrame, pairs: DataFrame) -> DataFram
     return C.written(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(C.released(run), "x long, set array<long>"))
 
 
-def plausible(pairs: DataFrame, first: DataFrame) -> DataFrame:
+def plausible(pairs: DataFrame, first: DataFrame, percent: int) -> DataFrame:
     """Written: the pairs (x, y) whose sketches allow a link."""
 
     def keep(batches):
@@ -238,7 +238,7 @@ def plausible(pairs: DataFrame, first: DataFrame) -> DataFrame:
             u, v = (np.frombuffer(b"".join(s[i] for i in at), np.uint8).reshape(len(at), PARTS) for s in (a, b))
             most = np.minimum(u, v).sum(1, dtype=np.int64)
             ok = ~known
-            ok[at] = (100 + PERCENT) * most >= PERCENT * (u.sum(1, dtype=np.int64) + v.sum(1, dtype=np.int64))
+            ok[at] = (100 + percent) * most >= percent * (u.sum(1, dtype=np.int64) + v.sum(1, dtype=np.int64))
             yield batch.select(["x", "y"]).filter(pa.array(ok))
 
     s = first.select("x", "sketch")
@@ -246,31 +246,31 @@ def plausible(pairs: DataFrame, first: DataFrame) -> DataFrame:
     return C.written(both.select("x", "y", "sketch", "other").mapInArrow(C.released(keep), "x long, y long"))
 
 
-def compared(docs: DataFrame, first: DataFrame, pairs: DataFrame) -> DataFrame:
+def compared(docs: DataFrame, first: DataFrame, pairs: DataFrame, shingle: int, percent: int) -> DataFrame:
     """Written: (x, y, d, link) with the exact distance of each pair."""
-    own = wanted_sets(docs, first, pairs)
+    own = wanted_sets(docs, first, pairs, shingle)
     other = own.select(F.col("x").alias("y"), F.col("set").alias("other"))
     both = pairs.join(own, "x").join(other, "y")
     shared = F.size(F.array_intersect("set", "other"))
     union = F.size("set") + F.size("other") - shared
-    link = F.lit(100) * shared >= F.lit(PERCENT) * union
+    link = F.lit(100) * shared >= F.lit(percent) * union
     out = both.select("x", "y", (1 - shared / union).alias("d"), link.alias("link"))
     return C.written(out.distinct())
 
 
-def may_link(n1, at1, n2, at2):
+def may_link(n1, at1, n2, at2, percent: int):
     """Whether sizes, and the places of a shared shingle that is the first one, allow a link."""
     small, large = F.least(n1, n2), F.greatest(n1, n2)
     most = 1 + F.least(n1 - at1 - 1, n2 - at2 - 1)
-    return (F.lit(100) * small >= F.lit(PERCENT) * large) & (F.lit(100 + PERCENT) * most >= F.lit(PERCENT) * (n1 + n2))
+    return (F.lit(100) * small >= F.lit(percent) * large) & (F.lit(100 + percent) * most >= F.lit(percent) * (n1 + n2))
 
 
-def within_window(d1, d2):
+def within_window(d1, d2, percent: int):
     """The triangle inequality; a distance that isn't known allows everything."""
-    return F.coalesce(F.abs(d1 - d2) <= (100 - PERCENT) / 100 + 1e-9, F.lit(True))
+    return F.coalesce(F.abs(d1 - d2) <= (100 - percent) / 100 + 1e-9, F.lit(True))
 
 
-def links(docs: DataFrame, first: DataFrame, members: DataFrame) -> DataFrame:
+def links(docs: DataFrame, first: DataFrame, members: DataFrame, shingle: int, percent: int) -> DataFrame:
     """(x, y) links that connect the same classes as all links do. first: (x, first, sketch) the first document of each class."""
     members = members.withColumns({"component": F.col("x"), "todo": F.lit(True), "d": F.lit(None).cast("double"), "home": F.lit(None).cast("long")})
     found = None
@@ -279,9 +279,9 @@ def links(docs: DataFrame, first: DataFrame, members: DataFrame) -> DataFrame:
         pivots = members.groupBy("shingle").agg(best.alias("p"), F.min("component").alias("a"), F.max("component").alias("b")).where("p IS NOT NULL AND a != b")
         pivots = pivots.select("shingle", *[F.col(f"p.{c}").alias(a) for c, a in (("x", "y"), ("n", "pn"), ("at", "pat"), ("component", "pc"), ("d", "pd"))])
         near = C.written(members.join(pivots, "shingle"))
-        fit = may_link(F.col("n"), F.col("at"), F.col("pn"), F.col("pat")) & within_window(F.col("d"), F.col("pd"))
-        pairs = plausible(near.where((F.col("component") != F.col("pc")) & fit).select("x", "y").distinct(), first)
-        made = compared(docs, first, pairs)
+        fit = may_link(F.col("n"), F.col("at"), F.col("pn"), F.col("pat"), percent) & within_window(F.col("d"), F.col("pd"), percent)
+        pairs = plausible(near.where((F.col("component") != F.col("pc")) & fit).select("x", "y").distinct(), first, percent)
+        made = compared(docs, first, pairs, shingle, percent)
         new = made.where("link").select("x", "y")
         found = C.written(new if found is None else found.unionByName(new))
         label = components(found.select(F.col("x").alias("a"), F.col("y").alias("b")))
@@ -296,17 +296,17 @@ def links(docs: DataFrame, first: DataFrame, members: DataFrame) -> DataFrame:
         members = C.written(rest.select("shingle", "x", "n", "at", "pop", "component", "todo", "d", "home"))
     z = members.select("shingle", *[F.col(c).alias(f"z_{c}") for c in ("x", "n", "at", "component", "todo", "d")])
     pairs = members.where("todo").join(z, "shingle").where((F.col("component") != F.col("z_component")) & (~F.col("z_todo") | (F.col("x") < F.col("z_x"))))
-    pairs = pairs.where(may_link(F.col("n"), F.col("at"), F.col("z_n"), F.col("z_at")) & within_window(F.col("d"), F.col("z_d")))
-    pairs = plausible(pairs.select("x", F.col("z_x").alias("y")).distinct(), first)
-    return found.unionByName(compared(docs, first, pairs).where("link").select("x", "y"))
+    pairs = pairs.where(may_link(F.col("n"), F.col("at"), F.col("z_n"), F.col("z_at"), percent) & within_window(F.col("d"), F.col("z_d"), percent))
+    pairs = plausible(pairs.select("x", F.col("z_x").alias("y")).distinct(), first, percent)
+    return found.unionByName(compared(docs, first, pairs, shingle, percent).where("link").select("x", "y"))
 
 
-def joined(docs: DataFrame) -> DataFrame:
+def joined(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles, component_id of every row."""
-    rows = scanned(docs, common_shingles(docs))
+    rows = scanned(docs, common_shingles(docs, shingle), shingle, percent)
     own = rows.where("kind = 0").select("doc_id", "n", "x")
     first = C.written(rows.where("kind = 0 AND x IS NOT NULL").groupBy("x").agg(F.min("doc_id").alias("first"), F.first("sketch").alias("sketch")))
-    label = components(links(docs, first, members_of(rows)).select(F.col("x").alias("a"), F.col("y").alias("b")))
+    label = components(links(docs, first, members_of(rows), shingle, percent).select(F.col("x").alias("a"), F.col("y").alias("b")))
     first = first.drop("sketch").join(label.select(F.col("node").alias("x"), "label"), "x", "left").withColumn("label", F.coalesce("label", "x"))
     least = first.groupBy("label").agg(F.min("first").alias("component_id"))
     to = first.join(least, "label").select("x", "component_id")
@@ -337,14 +337,19 @@ def without(docs: DataFrame, gone: DataFrame) -> DataFrame:
 
 
 def stage_near_duplicates(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component: that with the smallest doc_id; of rows that share it, one. A row without a doc_id stays."""
-    found = C.written(joined(docs))
-    kept = without(docs, found.where("doc_id != component_id").select("doc_id"))
-    repeated = found.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").limit(1).count()
-    if not repeated:
-        return kept
-    has_id = F.col("doc_id").isNotNull()
-    return kept.where(has_id).dropDuplicates(["doc_id"]).unionByName(kept.where(~has_id))
+    """One row of each component: that with the smallest doc_id, a null one last. Rows are told apart by a number of their own, so unlike rows that share a doc_id both stay."""
+    names = [f"c{i}" for i in range(len(docs.columns))]
+    number = F.monotonically_increasing_id()
+    number = number + F.shiftright(number, 33) * 10368889  # so that rows of all partitions spread over a map of BITS
+    rows = C.written(docs.select(number.alias("doc_id"), *[F.col(f"`{c}`").alias(n) for c, n in zip(docs.columns, names, strict=True)]))
+    id_, text = (F.col(names[docs.columns.index(c)]) for c in ("doc_id", "text"))
+    found = joined(rows.select("doc_id", text.alias("text")), STAGE_SHINGLE, STAGE_PERCENT).select("doc_id", "component_id")
+    of = C.written(found.join(rows.select("doc_id", id_.alias("id")), "doc_id"))
+    copies = of.where("doc_id != component_id").select("component_id").distinct()
+    keep = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "doc_id"))["doc_id"].alias("kept")
+    least = of.join(copies, "component_id", "left_semi").groupBy("component_id").agg(keep)
+    gone = C.written(of.join(least, "component_id").where("doc_id != kept").select("doc_id"))
+    return C.renamed(without(rows, gone), names, docs.columns)
 
 
 ORACLE = r"""

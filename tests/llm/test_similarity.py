@@ -75,6 +75,16 @@ def test_join_of_odd_documents(spark, odd, nothing):
     assert 7 not in ids and ids.count(1) == 1 and {2, 3, 4, 5, 6, 8, 9, 11} <= set(ids)
 
 
+def test_stage_takes_five_words_and_four_fifths(spark):
+    words = lambda k, n=50: [f"w{k}x{j}" for j in range(n)]
+    swapped = [*words(1)[:25], "other", *words(1)[26:]]  # similarity 0.804 of five words, 0.843 under four
+    docs = [(1, words(1)), (2, swapped), (3, words(3)), (3, words(4)), (5, words(5)), (4, words(5)), (None, words(5)), (None, words(6))]
+    docs = spark.createDataFrame([(i, " ".join(w)) for i, w in docs], "doc_id long, text string").repartition(3)
+    got = sorted((r["doc_id"] or 0, r["text"].split("x")[0]) for r in ngramjoin.stage_near_duplicates(spark, docs, "").collect())
+    assert got == [(0, "w6"), (1, "w1"), (3, "w3"), (3, "w4"), (4, "w5")]
+    assert len({r["component_id"] for r in ngramjoin.joined(docs.where("doc_id < 3")).collect()}) == 2
+
+
 @needs_data
 def test_join_against_sql(spark):
     c = duckdb.connect()
