@@ -26,7 +26,7 @@ ASSIGN = r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?
 ACCESS = r"AKIA[A-Z0-9]{14,}"
 HEX = r"[0-9a-f]{16,}"
 #: A token that may be a secret: 16 or more of these characters, tried once for each run of them.
-TOKEN = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{16,200}+(?![A-Za-z0-9+/_=-])"
+TOKEN = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{16,}+(?![A-Za-z0-9+/_=-])"
 #: Kinds in the order in which spans that begin together are listed.
 KINDS = ("assign", "access", "hex", "live")
 #: From so many distinct owners on, a value counts as an example that was copied.

@@ -147,6 +147,15 @@ def test_secrets(spark, odd, nothing):
     assert secrets.scan(nothing).count() == 0 and secrets.scan(odd).count() == odd.count()
 
 
+def test_long_tokens_are_candidates(spark):
+    live, example = ("".join(hashlib.sha256(f"{k}{i}".encode()).hexdigest()[:9] + "Z" for i in range(100)) for k in "le")  # no 16 hex digits in a row
+    rows = [(1, f"see {live}.", "a"), (2, f"jwt x.{live}", "a"), *((i, f"use {example} here", f"s{i}") for i in (3, 4, 5))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").withColumn("lang", F.lit("en"))
+    got = {r["doc_id"]: (r["spans"], r["n_live"], r["n_example"]) for r in secrets.scan(docs).collect()}
+    assert got[1] == ("live:4:1004", 1, 0) and got[2] == ("live:6:1006", 1, 0)
+    assert all(got[i] == ("", 0, 1) for i in (3, 4, 5))
+
+
 @needs_data
 def test_secrets_on_tables(spark):
     docs = spark.read.parquet(f"{DIR}/documents.parquet").collect()
