@@ -11,7 +11,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Bytes of text that a task handles at once (a longer single text is handled whole).
@@ -52,6 +52,56 @@ def written(df: DataFrame, partition_by: str | None = None) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Bits of a map of keys; rows and bytes of a table that is broadcast, at most; groups that the rows of one key are dealt over.
+BITS, BROADCAST_ROWS, BROADCAST_BYTES, SALT = 1 << 24, 200_000, 32 << 20, 16
+
+
+def bitmap(keys: DataFrame, column: str) -> np.ndarray:
+    """A map of BITS bits, whatever keys holds: for each value of a long column, the bit of its last digits is set."""
+    low = F.col(column).bitwiseAND(F.lit(BITS - 1))
+    bit = F.expr(f"shiftleft(1L, cast({column} & 63L AS int))")
+    rows = keys.groupBy(F.shiftright(low, 6).alias("word")).agg(F.bit_or(bit).alias("bits")).toPandas()
+    words = np.zeros(BITS // 64, np.uint64)
+    words[rows["word"].to_numpy(np.int64)] = rows["bits"].to_numpy(np.int64).view(np.uint64)
+    return words
+
+
+def in_bitmap(words: np.ndarray, h: np.ndarray) -> np.ndarray:
+    low = h & np.uint64(BITS - 1)
+    return (words[(low >> np.uint64(6)).astype(np.int64)] >> (low & np.uint64(63))) & np.uint64(1) == 1
+
+
+def small(table: DataFrame) -> bool:
+    """Whether a written table may be broadcast."""
+    size = sum((F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) for c in table.columns), F.lit(0).cast("long"))
+    got = table.agg(F.count("*").alias("n"), F.sum(size).alias("bytes")).first()
+    return got["n"] <= BROADCAST_ROWS and (got["bytes"] or 0) <= BROADCAST_BYTES
+
+
+def looked_up(rows: DataFrame, table: DataFrame, key: str, spread: Column, how: str = "inner") -> DataFrame:
+    """rows joined with a written table that has few rows for each key. A small table is broadcast; else the rows of each key are dealt over SALT groups by spread, and the table's rows are copied to each, so that no key's rows meet in one task."""
+    if small(table):
+        return rows.join(F.broadcast(table), key, how)
+    copies = table.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALT - 1))))
+    dealt = rows.withColumn("salt", F.pmod(F.xxhash64(spread), F.lit(SALT)).cast("int"))
+    return dealt.join(copies, [key, "salt"], how).drop("salt")
+
+
+def without(rows: DataFrame, gone: DataFrame, key: str) -> DataFrame:
+    """The rows whose key, a long that isn't null, isn't in gone, a written table of one column of that name.
+
+    A map of BITS bits, whatever the tables hold, is broadcast and says of most rows that they stay; only the others are
+    shuffled, to be looked up.
+    """
+    bit = f"shiftleft(1L, cast({key} & 63L AS int))"
+    word = F.shiftright(F.col(key).bitwiseAND(F.lit(BITS - 1)), 6)
+    words = gone.groupBy(word.alias("word of key")).agg(F.bit_or(F.expr(bit)).alias("bits of key"))
+    marked = rows.withColumn("word of key", word).join(F.broadcast(words), "word of key", "left")
+    marked = marked.withColumn("asked of key", F.coalesce(F.col("bits of key").bitwiseAND(F.expr(bit)) != 0, F.lit(False)))
+    checked = marked.where("`asked of key`").join(gone, key, "left_anti")
+    return marked.where("NOT `asked of key`").select(*rows.columns).unionByName(checked.select(*rows.columns))
+
+
 def partitions(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
 

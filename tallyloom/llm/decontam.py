@@ -3,21 +3,27 @@
 A window is WINDOW consecutive words of an item (or all words of a shorter item). Its shingles of SHINGLE words are
 ordered by how often documents hold them, rarest first. A passage that equals the window holds all its shingles, so
 the prefix that must match has length one: only the rarest shingle is looked up. Its place in the window gives the
-passage's bounds (the passage must lie inside the document), and the words between them are compared one by one.
+passage's bounds (length and position: the passage must lie inside the document), and then the passage's words are
+compared with the window's, as strings.
 
-Benchmarks are read in blocks of at most BLOCK_CHARS characters on average; each block's index is broadcast and has a
-size in proportion to that bound. Any number of blocks gives the same result. Documents are never shuffled for one
-block; several blocks' hits meet by row, already reduced to word places.
+The windows, the counts of their shingles and the prefixes are tables, made by joins and groupings, whatever size the
+benchmark has. Documents are read twice: to count the windows' shingles in them, and to send the places where a prefix
+stands, with the words around. A map of fixed size tells a task which shingles to look at; what it lets through by
+chance is dropped by the joins. Texts are not shuffled.
 
 Defined results: null or empty text has no words; an item without words matches nothing; with no benchmark, nothing
-is contaminated; an item that is repeated, or that holds a window twice, counts once; a null item_id counts as an item
-but has no name in items_sha256; repeated documents get equal results; other columns are not read.
+is contaminated; an item is its item_id, so rows that repeat it, or a window that it holds twice, count once; a null
+item_id counts as an item but has no name in items_sha256; repeated documents get equal results; a very long text is
+handled whole, in memory of about 60 times its words; other columns are not read.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -25,192 +31,161 @@ from . import common as C
 
 WINDOW = 10
 SHINGLE = 3
-BLOCK_CHARS = 16_000_000
-
-
-def words(data: np.ndarray, offs: np.ndarray):
-    """Hash and document of each word, and the bounds of each document's words."""
-    data = C.LOWER[data]
-    starts, ends, doc = C.spans(data, offs, C.ALNUM)
-    return C.word_hashes(data, starts, ends), doc, np.searchsorted(doc, np.arange(len(offs)))
-
-
-class Windows:
-    """The distinct windows of some items: their words, the items that hold each, and the shingles of each."""
-
-    def __init__(self, items: list[tuple]):
-        found: dict[bytes, int] = {}
-        self.items, owners = [], []
-        for item_id, text in items:
-            raw = (text or "").encode()
-            h, _, _ = words(np.frombuffer(raw, np.uint8), np.array([0, len(raw)], np.int64))
-            size = min(WINDOW, len(h))
-            own = {found.setdefault(h[i : i + size].tobytes(), len(found)) for i in range(len(h) - size + 1 if size else 0)}
-            if own:
-                owners.append(own)
-                self.items.append(None if item_id is None else str(item_id))
-        self.words = [np.frombuffer(k, np.uint64) for k in found]
-        pairs = sorted((w, i) for i, own in enumerate(owners) for w in own)
-        self.item_of = np.array([i for _, i in pairs], np.int64)
-        self.first_item = np.searchsorted(np.array([w for w, _ in pairs], np.int64), np.arange(len(found) + 1))
-
-    def shingles(self) -> dict[int, list[np.ndarray]]:
-        """By shingle length, the keys of each window's shingles."""
-        out: dict[int, list] = {}
-        for w in self.words:
-            n = min(SHINGLE, len(w))
-            out.setdefault(n, []).append(C.grams(w, n)[: len(w) - n + 1])
-        return out
-
-
-def document_frequency(docs: DataFrame, keys: dict[int, np.ndarray]) -> dict[tuple[int, int], int]:
-    """How often documents hold each of the shingles, given by length."""
-    shared = docs.sparkSession.sparkContext.broadcast(keys)
+#: Places whose words a task holds at once.
+RUN = 4096
+
+
+class Words:
+    """The words of some texts: hash, document, bounds of each document, and where the bytes stand."""
+
+    def __init__(self, data: np.ndarray, offs: np.ndarray):
+        self.data = C.LOWER[data]
+        self.starts, self.ends, self.doc = C.spans(self.data, offs, C.ALNUM)
+        self.hash = C.word_hashes(self.data, self.starts, self.ends)
+        self.bounds = np.searchsorted(self.doc, np.arange(len(offs)))
+
+    def shingles(self, n: int) -> np.ndarray:
+        """The key of each run of n words; those that run over a document's end are of no use."""
+        return C.mix(C.grams(self.hash, n)[: len(self.hash) - n + 1] + np.uint64(n)) if len(self.hash) >= n else np.empty(0, np.uint64)
+
+    def text(self, lo: int, hi: int) -> list[str]:
+        raw = self.data
+        return [raw[s:e].tobytes().decode() for s, e in zip(self.starts[lo:hi], self.ends[lo:hi], strict=True)]
+
+
+def windows(benchmark: DataFrame) -> DataFrame:
+    """Written: (item, window, n, shingles), once for each item and window; item is `i` and the item_id, or `n` for a null one."""
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in C.slices(batch):
+                w = Words(*C.utf8(part.column("text")))
+                keys = {n: C.signed(w.shingles(n)) for n in range(1, SHINGLE + 1)}
+                rows: list[tuple] = []
+                for item, lo, hi in zip(part.column("item").to_pylist(), w.bounds[:-1], w.bounds[1:], strict=True):
+                    own, size = w.text(lo, hi), min(WINDOW, hi - lo)
+                    n = min(SHINGLE, size)
+                    for at in range(lo, hi - size + 1 if size else lo):
+                        rows.append((item, " ".join(own[at - lo : at - lo + size]), size, keys[n][at : at + size - n + 1]))
+                if rows:
+                    columns = zip(*rows, strict=True)
+                    types = (pa.string(), pa.string(), pa.int32(), pa.list_(pa.int64()))
+                    yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, types, strict=True)], names=["item", "window", "n", "shingles"])
+
+    item = F.coalesce(F.concat(F.lit("i"), F.col("item_id").cast("string")), F.lit("n"))
+    rows = benchmark.select(item.alias("item"), "text").where("text IS NOT NULL").mapInArrow(C.released(cut), "item string, window string, n int, shingles array<long>")
+    return C.written(rows.dropDuplicates(["item", "window"]))
+
+
+def places(w: Words, words: np.ndarray, sizes: list[int]):
+    """Shingle length, key and first word of each place where a document holds a shingle of the map."""
+    for n in sizes:
+        key = w.shingles(n)
+        at = np.flatnonzero(C.in_bitmap(words, key) & (w.doc[: len(key)] == w.doc[n - 1 :])) if len(key) else np.empty(0, np.int64)
+        yield n, key[at], at
+
+
+def document_frequency(docs: DataFrame, shingles: DataFrame, sizes: list[int]) -> DataFrame:
+    """Written: (shingle, c), how often documents hold each of the shingles that they hold at all."""
+    shared = docs.sparkSession.sparkContext.broadcast((C.bitmap(shingles, "shingle"), sizes))
 
     def count(batches):
-        total = {n: np.zeros(len(k), np.int64) for n, k in shared.value.items()}
         for batch in batches:
             for part in C.slices(batch):
-                h, doc, bounds = words(*C.utf8(part.column("text")))
-                for n, key in shared.value.items():
-                    at, _ = occurrences(h, doc, n, key)
-                    total[n] += np.bincount(at, minlength=len(key))
-        for n, own in total.items():
-            some = np.flatnonzero(own)
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(some), n), pa.int32()), pa.array(some, pa.int64()), pa.array(own[some], pa.int64())], names=["n", "at", "c"])
-
-    got = docs.select("text").mapInArrow(C.released(count), "n int, at long, c long").groupBy("n", "at").agg(F.sum("c").alias("c")).collect()
-    return {(r["n"], r["at"]): r["c"] for r in got}  # at most one row for each shingle of the block
-
-
-def occurrences(h: np.ndarray, doc: np.ndarray, n: int, key: np.ndarray):
-    """Which key, and at which word, for every place where a document holds one of the sorted keys."""
-    if len(h) < n or not len(key):
-        return np.empty(0, np.int64), np.empty(0, np.int64)
-    g = C.grams(h, n)[: len(h) - n + 1]
-    at = np.minimum(np.searchsorted(key, g), len(key) - 1)
-    where = np.flatnonzero((key[at] == g) & (doc[: len(g)] == doc[n - 1 :]))
-    return at[where], where
-
-
-class Index:
-    """For each rarest shingle, the windows that it must lead to and its place in them."""
-
-    def __init__(self, windows: Windows, docs: DataFrame):
-        shingles = windows.shingles()
-        keys = {n: np.unique(np.concatenate(x)) for n, x in shingles.items()}
-        df = document_frequency(docs, keys) if keys else {}
-        entries: dict[int, list[tuple[int, int, int]]] = {}
-        turn = dict.fromkeys(shingles, 0)
-        for w, own in enumerate(windows.words):
-            n = min(SHINGLE, len(own))
-            k = np.searchsorted(keys[n], shingles[n][turn[n]])
-            turn[n] += 1
-            rarity, key, offset = min((df.get((n, int(x)), 0), int(x), i) for i, x in enumerate(k))
-            if rarity:  # else no document holds the window
-                entries.setdefault(n, []).append((key, w, offset))
-        self.keys, self.first, self.window, self.offset = {}, {}, {}, {}
-        for n, rows in entries.items():
-            rows = np.array(sorted(rows), np.int64)
-            used, first = np.unique(rows[:, 0], return_index=True)
-            self.keys[n] = keys[n][used]
-            self.first[n] = np.append(first, len(rows))
-            self.window[n], self.offset[n] = rows[:, 1], rows[:, 2]
-        self.length = np.array([len(w) for w in windows.words], np.int64)
-        self.words = np.zeros((len(windows.words), WINDOW), np.uint64)
-        for i, w in enumerate(windows.words):
-            self.words[i, : len(w)] = w
-        self.item_of, self.first_item, self.items = windows.item_of, windows.first_item, windows.items
-
-    def matches(self, h: np.ndarray, doc: np.ndarray, bounds: np.ndarray):
-        """Window and first word of each passage that equals a window."""
-        found = [(np.empty(0, np.int64), np.empty(0, np.int64))]
-        for n, key in self.keys.items():
-            at, where = occurrences(h, doc, n, key)
-            size = self.first[n][at + 1] - self.first[n][at]
-            row = np.repeat(self.first[n][at] - np.cumsum(size) + size, size) + np.arange(size.sum())
-            window, start = self.window[n][row], np.repeat(where, size) - self.offset[n][row]
-            d = doc[np.repeat(where, size)]
-            inside = (start >= bounds[d]) & (start + self.length[window] <= bounds[d + 1])
-            window, start = window[inside], start[inside]
-            same = np.ones(len(window), bool)
-            for i in range(WINDOW):
-                used = same & (i < self.length[window])
-                same[used] = h[start[used] + i] == self.words[window[used], i]
-            found.append((window[same], start[same]))
-        return np.concatenate([x for x, _ in found]), np.concatenate([x for _, x in found])
-
-
-def blocks(benchmark: DataFrame):
-    """Lists of (item_id, text), of BLOCK_CHARS characters on average."""
-    chars = benchmark.agg(F.sum(F.length("text"))).first()[0] or 0
-    n = -(-chars // BLOCK_CHARS) or 1
-    for i in range(n):
-        mine = benchmark.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == i) if n > 1 else benchmark
-        yield [(r["item_id"], r["text"]) for r in mine.select("item_id", "text").collect()]
-
-
-HITS = "n_words long, hits array<int>, item_ids array<string>"
-
-
-def hits(rows: DataFrame, index: Index) -> DataFrame:
-    """The columns of rows but text, then the number of words, the places of hit words, and the names of the items that occur."""
-    shared = rows.sparkSession.sparkContext.broadcast(index)
-    names = [c for c in rows.columns if c != "text"]
-    schema = ", ".join([*(f"{n} {rows.schema[n].dataType.simpleString()}" for n in names), HITS])
+                w = Words(*C.utf8(part.column("text")))
+                for _, key, _ in places(w, *shared.value):
+                    key, c = np.unique(key, return_counts=True)
+                    yield pa.RecordBatch.from_arrays([pa.array(C.signed(key)), pa.array(c, pa.int64())], names=["shingle", "c"])
+
+    got = docs.select("text").mapInArrow(C.released(count), "shingle long, c long").groupBy("shingle").agg(F.sum("c").alias("c"))
+    return C.written(got.join(shingles, "shingle", "left_semi"))
+
+
+def prefixes(docs: DataFrame, owned: DataFrame, sizes: list[int]) -> DataFrame:
+    """Written: (shingle, at, window, n), for each window that may occur its rarest shingle and that one's place in it."""
+    each = owned.dropDuplicates(["window"]).select("window", "n", F.posexplode("shingles").alias("at", "shingle"))
+    df = document_frequency(docs, each.select("shingle").distinct(), sizes)
+    counted = C.looked_up(each, df, "shingle", F.col("window"), "left")
+    rarest = counted.groupBy("window", "n").agg(F.min(F.struct(F.coalesce("c", F.lit(0)).alias("c"), "shingle", "at")).alias("m"))
+    return C.written(rarest.where("m.c > 0").select("m.shingle", "m.at", "window", "n"))
+
+
+#: kind 0: a row of docs; kind 1: a place of a row where a prefix may stand, with the words from WINDOW - 1 before it to WINDOW - 1 after it.
+PLACE = "kind byte, row long, n_words long, shingle long, place int, before int, words array<string>"
+
+
+def scanned(rows: DataFrame, names: list[str], prefix: DataFrame, sizes: list[int]) -> DataFrame:
+    """Written: columns names of rows, then PLACE."""
+    shared = rows.sparkSession.sparkContext.broadcast((C.bitmap(prefix, "shingle"), sizes))
+    schema = ", ".join([*(f"{n} {rows.schema[n].dataType.simpleString()}" for n in names), PLACE])
 
     def scan(batches):
-        index = shared.value
+        task, turn = TaskContext.get().partitionId() << 36, 0
         for batch in batches:
             for part in C.slices(batch):
-                h, doc, bounds = words(*C.utf8(part.column("text")))
-                window, start = index.matches(h, doc, bounds)
-                step = np.zeros(len(h) + 1, np.int64)
-                np.add.at(step, start, 1)
-                np.add.at(step, start + index.length[window], -1)
-                at = np.flatnonzero(np.cumsum(step[:-1]) > 0)
-                edges = np.searchsorted(at, bounds)
-                places = pa.ListArray.from_arrays(pa.array(edges, pa.int32()), pa.array(at - bounds[doc[at]], pa.int32()))
-                size = index.first_item[window + 1] - index.first_item[window]
-                item = index.item_of[np.repeat(index.first_item[window] - np.cumsum(size) + size, size) + np.arange(size.sum())]
-                pairs = np.unique(np.stack([np.repeat(doc[start], size), item], 1), axis=0) if len(item) else np.empty((0, 2), np.int64)
-                edges = np.searchsorted(pairs[:, 0], np.arange(part.num_rows + 1))
-                items = pa.ListArray.from_arrays(pa.array(edges, pa.int32()), pa.array([index.items[i] for i in pairs[:, 1]], pa.string()))
-                yield pa.RecordBatch.from_arrays([*(part.column(n) for n in names), pa.array(np.diff(bounds), pa.int64()), places, items], names=[*names, "n_words", "hits", "item_ids"])
-
-    return rows.mapInArrow(C.released(scan), schema)
-
-
-def contamination(docs: DataFrame, benchmark: DataFrame, keep: list[str]) -> tuple[DataFrame, list[str]]:
-    """For every row of docs: keep (under the names given back), n_words, hits (places of the hit words, ascending) and item_ids (of the items with occurring windows)."""
+                w = Words(*C.utf8(part.column("text")))
+                n_rows = part.num_rows
+                rows_at = C.signed(C.mix((task + turn + np.arange(n_rows)).astype(np.uint64)))  # unlike numbers, spread over a map's bits
+                turn += n_rows
+                own = [part.column(n) for n in names]
+                types = [pa.int64(), pa.int32(), pa.int32(), pa.list_(pa.string())]
+                yield pa.RecordBatch.from_arrays([*own, pa.array(np.zeros(n_rows, np.int8)), pa.array(rows_at), pa.array(np.diff(w.bounds), pa.int64()), *(pa.nulls(n_rows, t) for t in types)], names=[*names, "kind", "row", "n_words", "shingle", "place", "before", "words"])
+                for n, keys, all_at in places(w, *shared.value):
+                    for i in range(0, len(all_at), RUN):
+                        key, at = keys[i : i + RUN], all_at[i : i + RUN]
+                        doc = w.doc[at]
+                        lo, hi = np.maximum(at - WINDOW + 1, w.bounds[doc]), np.minimum(at + n + WINDOW - 1, w.bounds[doc + 1])
+                        text = pa.array([w.text(a, b) for a, b in zip(lo, hi, strict=True)], pa.list_(pa.string()))
+                        found = [pa.array(np.ones(len(at), np.int8)), pa.array(rows_at[doc]), pa.nulls(len(at), pa.int64()), pa.array(C.signed(key)), pa.array(at - w.bounds[doc], pa.int32()), pa.array(at - lo, pa.int32()), text]
+                        yield pa.RecordBatch.from_arrays([*(pa.nulls(len(at), c.type) for c in own), *found], names=[*names, "kind", "row", "n_words", "shingle", "place", "before", "words"])
+
+    return C.written(rows.mapInArrow(C.released(scan), schema), partition_by="kind")
+
+
+def contamination(docs: DataFrame, benchmark: DataFrame, keep: list[str]) -> tuple[DataFrame, list[str], DataFrame, DataFrame]:
+    """For every row of docs: keep (under the names given back), row and n_words; written: (row, start, n, window) of each passage that equals a window; and (item, window)."""
+    owned = windows(benchmark)
+    sizes = sorted(r["k"] for r in owned.select(F.least("n", F.lit(SHINGLE)).alias("k")).distinct().collect())  # at most SHINGLE rows
+    prefix = prefixes(docs, owned, sizes)
     rows, names = C.numbered(docs, keep)
-    rows = rows.withColumn("row", F.monotonically_increasing_id())
-    found = [hits(rows, Index(Windows(block), docs)) for block in blocks(benchmark)]
-    out = found[0]
-    for i, more in enumerate(found[1:]):
-        own = more.select("row", F.col("hits").alias(f"h{i}"), F.col("item_ids").alias(f"i{i}")).where(F.size(f"h{i}") > 0)
-        none = [F.coalesce(F.col(c), F.array().cast(t)) for c, t in ((f"h{i}", "array<int>"), (f"i{i}", "array<string>"))]
-        out = out.join(own, "row", "left").withColumns({"hits": F.array_sort(F.array_union("hits", none[0])), "item_ids": F.concat("item_ids", none[1])}).drop(f"h{i}", f"i{i}")
-    return out.drop("row"), names
+    found = scanned(rows, names, prefix, sizes)
+    places = C.looked_up(found.where("kind = 1").select("row", "shingle", "place", "before", "words"), prefix, "shingle", F.struct("row", "place"))
+    first = F.col("before") - F.col("at")  # of the passage, among the words sent
+    inside = places.where((first >= 0) & (first + F.col("n") <= F.size("words")))
+    same = inside.where(F.array_join(F.slice("words", F.greatest(first + 1, F.lit(1)), F.col("n")), " ") == F.col("window"))
+    hits = C.written(same.select("row", (F.col("place") - F.col("at")).alias("start"), "n", "window").distinct())
+    return found.where("kind = 0").select(*names, "row", "n_words"), names, hits, owned.select("item", "window")
+
+
+def described(docs: DataFrame, benchmark: DataFrame, keep: list[str]) -> tuple[DataFrame, list[str]]:
+    """For every row of docs: keep (under the names given back), n_words, hits (places of the hit words, ascending) and items (codes of the items with occurring windows, see windows)."""
+    rows, names, hits, owned = contamination(docs, benchmark, keep)
+    spans = F.transform(F.collect_set(F.struct("start", "n")), lambda s: F.sequence(s["start"], s["start"] + s["n"] - 1))
+    hit = hits.groupBy("row").agg(F.array_sort(F.array_distinct(F.flatten(spans))).alias("hits"))
+    item = C.looked_up(hits.select("row", "window").distinct(), owned, "window", F.col("row")).select("row", "item").distinct()
+    item = item.groupBy("row").agg(F.array_sort(F.collect_list("item")).alias("items"))
+    out = rows.join(hit, "row", "left").join(item, "row", "left")
+    none = lambda c, t: F.coalesce(c, F.array().cast(t)).alias(c)
+    return out.select(*names, "n_words", none("hits", "array<int>"), none("items", "array<string>")), names
 
 
 def op6_benchmark_decontamination(spark, sf_dir) -> DataFrame:
-    found, names = contamination(C.table(spark, sf_dir, "documents"), C.table(spark, sf_dir, "benchmark"), ["doc_id"])
-    item_names = F.array_join(F.array_sort("item_ids"), ",")
+    found, names = described(C.table(spark, sf_dir, "documents"), C.table(spark, sf_dir, "benchmark"), ["doc_id"])
+    item_names = F.array_sort(F.transform(F.filter("items", lambda c: c.startswith("i")), lambda c: F.substring(c, 2, 1 << 30)))
     return found.select(
         F.col(names[0]).alias("doc_id"),
         "n_words",
         F.size("hits").cast("long").alias("n_hit"),
-        F.size("item_ids").cast("long").alias("n_items"),
-        F.sha2(item_names, 256).alias("items_sha256"),
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join(item_names, ","), 256).alias("items_sha256"),
         (F.size("hits") > 0).alias("contaminated"),
     )
 
 
 def stage_decontaminate(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents in which no benchmark window occurs."""
-    found, names = contamination(docs, C.table(spark, sf_dir, "benchmark"), docs.columns)
-    return C.renamed(found.where(F.size("hits") == 0), names, docs.columns)
+    """The documents in which no benchmark window occurs; rows are told apart by a number of their own."""
+    rows, names, hits, _ = contamination(docs, C.table(spark, sf_dir, "benchmark"), docs.columns)
+    return C.renamed(C.without(rows, hits.select("row").distinct(), "row"), names, docs.columns)
 
 
 ORACLE = r"""

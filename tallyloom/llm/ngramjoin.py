@@ -318,24 +318,6 @@ def op8_ngram_jaccard(spark, sf_dir) -> DataFrame:
     return joined(C.table(spark, sf_dir, "documents"))
 
 
-def without(docs: DataFrame, gone: DataFrame) -> DataFrame:
-    """The rows of docs whose doc_id isn't in gone.
-
-    A map of BITS bits, whatever the corpus holds, is broadcast and says of most rows that they stay; only the others
-    are shuffled, to be looked up.
-    """
-    names = [f"c{i}" for i in range(len(docs.columns))]
-    key = names[docs.columns.index("doc_id")]
-    bit = lambda c: F.pmod(c, F.lit(BITS))
-    words = gone.groupBy(F.shiftright(bit(F.col("doc_id")), 6).alias("word")).agg(F.bit_or(F.expr(f"shiftleft(1L, cast(pmod(doc_id, {BITS}) % 64 AS int))")).alias("bits"))
-    rows = docs.select(*[F.col(f"`{c}`").alias(n) for c, n in zip(docs.columns, names, strict=True)])
-    rows = rows.withColumn("word", F.shiftright(bit(F.col(key).cast("long")), 6)).join(F.broadcast(words), "word", "left")
-    asked = F.coalesce(F.expr(f"(shiftright(bits, cast(pmod({key}, {BITS}) % 64 AS int)) & 1L) = 1"), F.lit(False))
-    rows = rows.withColumn("asked", asked)
-    checked = rows.where("asked").join(gone.select(F.col("doc_id").alias(key)), key, "left_anti")
-    return C.renamed(rows.where("NOT asked").select(*names).unionByName(checked.select(*names)), names, docs.columns)
-
-
 def stage_near_duplicates(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each component: that with the smallest doc_id, a null one last. Rows are told apart by a number of their own, so unlike rows that share a doc_id both stay."""
     names = [f"c{i}" for i in range(len(docs.columns))]
@@ -349,7 +331,7 @@ def stage_near_duplicates(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     keep = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "doc_id"))["doc_id"].alias("kept")
     least = of.join(copies, "component_id", "left_semi").groupBy("component_id").agg(keep)
     gone = C.written(of.join(least, "component_id").where("doc_id != kept").select("doc_id"))
-    return C.renamed(without(rows, gone), names, docs.columns)
+    return C.renamed(C.without(rows, gone, "doc_id"), names, docs.columns)
 
 
 ORACLE = r"""

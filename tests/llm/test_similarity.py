@@ -7,6 +7,7 @@ from hashlib import sha256
 import duckdb
 import pytest
 
+from tallyloom.llm import common as C
 from tallyloom.llm import decontam, editprint, ngramjoin
 
 from .conftest import DIR, needs_data
@@ -111,9 +112,9 @@ def contaminated(docs, items):
         yield i, len(w), len(hit), len(names), sha256(",".join(sorted(names)).encode()).hexdigest(), bool(hit)
 
 
-@pytest.mark.parametrize("block", [16_000_000, 60])
-def test_decontamination_against_brute_force(spark, folder, monkeypatch, block):
-    monkeypatch.setattr(decontam, "BLOCK_CHARS", block)
+@pytest.mark.parametrize("broadcast", [200_000, 0])
+def test_decontamination_against_brute_force(spark, folder, monkeypatch, broadcast):
+    monkeypatch.setattr(C, "BROADCAST_ROWS", broadcast)
     items = [(1, "one two three four five six seven eight nine ten eleven twelve"), (2, "Short item"), (10, "x"), (3, ""), (4, None), (5, "one two three four five six seven eight nine ten"), (6, "a a a a a a a a a a a a")]
     docs = [(1, "zero One two, three four five six seven eight nine ten eleven"), (2, "a short item here, short-item"), (3, None), (4, ""), (5, "one two three four five six seven eight nine"), (6, "a " * 30), (7, "X y x"), (8, "ein x é x"), (9, "short"), (9, "short item")]
     sf = folder(documents=spark.createDataFrame(docs, "doc_id long, text string"), benchmark=spark.createDataFrame(items, "item_id long, text string"))
@@ -121,6 +122,23 @@ def test_decontamination_against_brute_force(spark, folder, monkeypatch, block):
     assert sorted(map(tuple, got)) == sorted(contaminated(docs, items))
 
 
+def test_repeated_items_count_once(spark, folder):
+    text = "one two three four five six seven eight nine ten eleven"
+    items = [(1, text), (1, text), (1, "a b c"), (2, text + " twelve"), (None, "a b c")]
+    docs = [(1, f"x {text} twelve y"), (2, "a b c"), (3, "b c")]
+    sf = folder(documents=spark.createDataFrame(docs, "doc_id long, text string"), benchmark=spark.createDataFrame(items, "item_id long, text string"))
+    got = {r["doc_id"]: r for r in decontam.op6_benchmark_decontamination(spark, sf).collect()}
+    assert [(got[i]["n_hit"], got[i]["n_items"]) for i in (1, 2, 3)] == [(12, 2), (3, 2), (0, 0)]
+    assert got[1]["items_sha256"] == sha256(b"1,2").hexdigest() and got[2]["items_sha256"] == sha256(b"1").hexdigest()
+    known = [r for r in items if r[0] is not None]
+    c = duckdb.connect()
+    for name, rows, key in (("documents", docs, "doc_id"), ("benchmark", known, "item_id")):
+        c.execute(f"CREATE TABLE {name} ({key} BIGINT, text VARCHAR)")
+        c.executemany(f"INSERT INTO {name} VALUES (?, ?)", rows)
+    sf = folder(**{"k/documents": spark.createDataFrame(docs, "doc_id long, text string"), "k/benchmark": spark.createDataFrame(known, "item_id long, text string")})
+    assert sorted(map(tuple, decontam.op6_benchmark_decontamination(spark, f"{sf}/k").collect())) == sorted(c.execute(decontam.ORACLE).fetchall())
+
+
 def test_decontamination_of_odd_tables(spark, folder, odd, nothing):
     none = spark.createDataFrame([], "item_id long, text string")
     sf = folder(benchmark=none, documents=odd.drop("odd.name"))
