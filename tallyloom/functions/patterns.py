@@ -83,6 +83,16 @@ CONTAMINATION = {
         r"(?i)(?:^|\n)(?:Related (?:Posts?|Articles?|Stories|Reading)|You (?:May|Might) Also (?:Like|Enjoy)|More (?:from|on) (?:this|our))\s*\n(?:[-•*]\s+\[?[^\n]+\n){2,}",
     ),
 }
+# Literals, in lower case, of which every match of a category's patterns holds at least one; they spare most texts the patterns.
+CONTAMINATION_NEEDS = {
+    "html_comment_injection": (("<!--",),),
+    "invisible_text": ((), ("display", "visibility", "font-size"), ("color",)),
+    "prompt_injection": (("ignore",), ("disregard",), ("forget",), ("system",), ("now",), ("if",), ("prompt", "override", "command", "instruction"), ("system", "admin", "root"), ("[system]", "[admin]", "[override]", "[instruction]"), ("inst]",), ("<<",), ("inst]",)),
+    "command_injection": (("-rf", "sudo", "chmod", "mkfs"), ("curl", "wget"), ("eval", "exec"), ("__import__",), ("os.",), ("subprocess",), ("base64",)),
+    "structure_attack": (("script",), ("script",), ("system", "admin", "assistant"), ("```",), ("system", "admin", "instruction")),
+    "exfiltration": (("://",), ("://",)),
+    "filler_text": (("cookie", "by continuing", "by using"), ("subscribe", "sign up", "enter your email", "get our", "get the", "join "), ("share ", "follow us", "connect with"), ("home",), ("related ", "also ", "more ")),
+}
 #: From so many categories on, a text is blocked.
 BLOCK_CATEGORIES = 3
 
@@ -131,6 +141,8 @@ SINGLE_LINES = (
 # Fixed values of the energy estimate: Wh for a call by class, overhead of the building, g CO2e for a kWh.
 WATT_HOURS = {"large": 2.0, "medium": 0.8, "small": 0.2}
 WATT_HOURS_OTHER = 0.9
+# Words in a model's id that tell its class.
+MODEL_CLASSES = {"large": ("large", "opus"), "medium": ("medium", "sonnet"), "small": ("small", "haiku")}
 OVERHEAD = 1.135
 GRAMS_PER_KWH = 379.0
 # G CO2e of a search, a telephone charge, a mile driven, an hour of video, a cup of coffee.

@@ -2,15 +2,20 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from . import patterns as P
 
 
-def model_class(model: Column) -> Column:
+def model_class(model: Column, classes: Mapping[str, Sequence[str]] = P.MODEL_CLASSES) -> Column:
+    """The first class one of whose words stands in the model's id; else `other`."""
     low = F.lower(F.coalesce(model, F.lit("")))
-    return F.when(low.contains("large"), "large").when(low.contains("medium"), "medium").when(low.contains("small"), "small").otherwise("other")
+    return F.coalesce(*[F.when(reduce(or_, [low.contains(w) for w in words]), F.lit(name)) for name, words in classes.items()], F.lit("other"))
 
 
 def watt_hours(cls: Column, calls: Column) -> Column:

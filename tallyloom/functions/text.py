@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Sequence
 from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -101,10 +103,19 @@ def masked_code(text: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(text, "```[\\s\\S]*?```", "```CODE_BLOCK```"), "(?m)(?:^(?:    |\\t).+\\n){2,}", "INDENTED_CODE_BLOCK\n")
 
 
-def category_hits(text: Column, categories: dict = P.CONTAMINATION) -> dict[str, Column]:
-    """Matches outside code by category."""
-    scan = masked_code(text)
-    return {name: sum((F.regexp_count(scan, F.lit(p)) for p in found), F.lit(0)).cast("long") for name, found in categories.items()}
+def category_hits(scan: Column, low: Column, categories: dict = P.CONTAMINATION, needs: dict = P.CONTAMINATION_NEEDS) -> dict[str, Column]:
+    """Matches by category in scan, a text whose code is masked; low is scan in lower case. A pattern runs where one of the literals that it needs stands."""
+
+    def matches(pattern: str, literals: Sequence[str]) -> Column:
+        n = F.regexp_count(scan, F.lit(pattern))
+        return F.when(reduce(or_, [low.contains(x) for x in literals]), n).otherwise(F.lit(0)) if literals else n
+
+    def of(name: str) -> Column:
+        found = categories[name]
+        literals = needs.get(name, ())
+        return sum((matches(p, literals[i] if i < len(literals) else ()) for i, p in enumerate(found)), F.lit(0)).cast("long")
+
+    return {name: of(name) for name in categories}
 
 
 def decontaminated(text: Column, categories: dict = P.CONTAMINATION) -> Column:
@@ -144,6 +155,23 @@ def concept_tokens(text: Column, stop: tuple[str, ...]) -> Column:
     return F.concat(phrases, singles)
 
 
+def once(value: Column, f: Callable[[Column], Column]) -> Column:
+    """f of a value that is computed once, however often f uses it."""
+    return F.transform(F.array(value), f)[0]
+
+
+def tallied(words: Column) -> Column:
+    """(word, n) of the distinct words of an array column, in the words' order."""
+    return once(F.sort_array(words), _tallied)
+
+
+def _tallied(words: Column) -> Column:
+    size = F.size(words)
+    found = F.filter(F.sequence(F.lit(0), F.greatest(size - 1, F.lit(0))), lambda i: (i < size) & ((i == 0) | (F.get(words, i) != F.get(words, i - 1))))
+    run = lambda starts: lambda i, k: F.struct(F.get(words, i).alias("word"), (F.coalesce(F.get(starts, k + 1), size) - i).cast("long").alias("n"))
+    return once(found, lambda starts: F.transform(starts, run(starts)))
+
+
 def ngrams(tokens: Column, n: int) -> Column:
     """Runs of n tokens, as strings."""
     last = F.size(tokens) - n

@@ -139,10 +139,10 @@ def postings(docs: DataFrame, terms: Sequence[str] | None = None) -> DataFrame:
 
 def bm25(docs: DataFrame, terms: Sequence[str], top: int = 20) -> DataFrame:
     """doc_id, score of the best documents that hold all terms."""
-    found = F.regexp_extract_all(F.lower("text"), F.lit("[a-z0-9]+"), F.lit(0))
-    rows = docs.select("doc_id", found.alias("words"))
-    tf = lambda t: F.size(F.filter("words", lambda w: w == t)).cast("long")
-    counted = rows.select("doc_id", F.size("words").alias("length"), *[tf(t).alias(f"tf{i}") for i, t in enumerate(terms)])
+    rows = docs.select("doc_id", F.lower("text").alias("low"))
+    of = lambda pattern: F.regexp_count("low", F.lit(pattern)).cast("long")
+    tf = lambda t: F.when(F.col("low").contains(t), of(f"(?<![a-z0-9]){t}(?![a-z0-9])")).otherwise(F.lit(0).cast("long"))
+    counted = rows.select("doc_id", of("[a-z0-9]++").alias("length"), *[tf(t).alias(f"tf{i}") for i, t in enumerate(terms)])
     stats = counted.agg(F.count("*").alias("n"), F.avg("length").alias("mean"), *[F.count_if(F.col(f"tf{i}") > 0).alias(f"df{i}") for i in range(len(terms))])
     both = counted.where(" AND ".join(f"tf{i} > 0" for i in range(len(terms)))).join(F.broadcast(stats))  # one row
     score = sum((S.bm25_part(F.col(f"tf{i}"), F.col("length"), F.col("mean"), F.col("n"), F.col(f"df{i}")) for i in range(len(terms))), F.lit(0.0))
@@ -150,9 +150,10 @@ def bm25(docs: DataFrame, terms: Sequence[str], top: int = 20) -> DataFrame:
 
 
 def term_statistics(docs: DataFrame, stop: Sequence[str] = ()) -> DataFrame:
-    """doc_id, term, count, total (terms of the document)."""
+    """doc_id, term, count, total (terms of the document); counted within each row, nothing is shuffled."""
     rows = docs.select("doc_id", X.concept_tokens(F.col("text"), tuple(stop)).alias("terms"))
-    return rows.select("doc_id", F.size("terms").alias("total"), F.explode("terms").alias("term")).groupBy("doc_id", "total", "term").agg(F.count("*").alias("count"))
+    rows = rows.select("doc_id", F.size("terms").alias("total"), F.explode(X.tallied(F.col("terms"))).alias("t"))
+    return rows.select("doc_id", F.col("t.word").alias("term"), F.col("t.n").alias("count"), "total")
 
 
 def concepts(docs: DataFrame, stop: Sequence[str] = (), least_df: int = 10, most_share: float = 0.4, most: int = 200, least_score: float = 0.01) -> DataFrame:
@@ -168,9 +169,9 @@ def concepts(docs: DataFrame, stop: Sequence[str] = (), least_df: int = 10, most
 def keywords(docs: DataFrame, group: str, each: int = 20, most: int = 30, least: int = 4) -> DataFrame:
     """By group: the keywords with the largest sums of counts over documents, of each document's own top terms."""
     words = F.regexp_extract_all(F.lower("text"), F.lit(f"[a-z]{{{least},}}"), F.lit(0))
-    rows = docs.select("doc_id", group, F.explode(words).alias("word")).groupBy("doc_id", group, "word").agg(F.count("*").alias("n"))
-    own = rows.withColumn("place", F.row_number().over(Window.partitionBy("doc_id").orderBy(F.desc("n"), "word"))).where(F.col("place") <= each)
-    total = own.groupBy(group, "word").agg(F.sum("n").alias("n"))
+    first = lambda t: F.struct((-t["n"]).alias("n"), t["word"].alias("word"))
+    own = F.slice(F.sort_array(F.transform(X.tallied(words), first)), 1, each)
+    total = docs.select(group, F.explode(own).alias("t")).groupBy(group, F.col("t.word").alias("word")).agg((-F.sum("t.n")).alias("n"))
     return total.withColumn("place", F.row_number().over(Window.partitionBy(group).orderBy(F.desc("n"), "word")).cast("long")).where(F.col("place") <= most)
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import text as X
 from ..operators import corpus as C
 from ..operators import texts as T
-from .registry import query, table
+from .registry import dealt, query, table
 
 # Words that the tables' invented prose has.
 TERMS = {"thing": 1.0, "ering": 0.7, "ther": 0.5}
@@ -34,7 +34,7 @@ def content_hash_first_arrival(spark, sf_dir):
     return C.keep_first(table(spark, sf_dir, "documents"), X.short_hash(F.col("text")))
 
 
-@query(f"""
+@query(rf"""
 WITH r AS (SELECT doc_id, text, doc_id <> min(doc_id) OVER (PARTITION BY {NORMAL}) AS dup FROM documents),
 k AS (SELECT CASE WHEN dup THEN 'duplicate' WHEN trim(text) = '' THEN 'empty' WHEN length(trim(text)) < 150 THEN 'stub' ELSE 'kept' END AS kind, strlen(text) AS bytes FROM r)
 SELECT count(*) FILTER (kind = 'duplicate') AS n_duplicate, count(*) FILTER (kind = 'empty') AS n_empty, count(*) FILTER (kind = 'stub') AS n_stub, count(*) FILTER (kind = 'kept') AS n_kept,
@@ -93,7 +93,7 @@ def _any(column: str, found) -> str:
 from ..functions import patterns as P  # noqa: E402
 
 
-@query(f"""
+@query(rf"""
 SELECT 'documents' AS source, count(*) AS n, count(*) FILTER ({_any("text", P.SECRETS)}) AS flagged FROM documents
 UNION ALL SELECT 'conversations', count(*), count(*) FILTER ({_any("text", P.SECRETS)}) FROM conversations
 """)
@@ -102,22 +102,23 @@ def secret_flag_counts(spark, sf_dir):
     return part("documents").unionByName(part("conversations"))
 
 
-_SCANNED = {k: tuple(p for p in v if "\\x{" not in p) for k, v in P.CONTAMINATION.items()}
+_SCANNED = P.CONTAMINATION
 
 
 def _count(column: str, found) -> str:
     return " + ".join("len(regexp_extract_all({}, '{}'))".format(column, p.replace("'", "''")) for p in found)
 
 
-@query(f"""
+@query(rf"""
 WITH r AS (SELECT page_id, regexp_replace(regexp_replace(html, '```[\\s\\S]*?```', '```CODE_BLOCK```', 'g'), '(?m)(?:^(?:    |\\t).+\\n){{2,}}', 'INDENTED_CODE_BLOCK' || chr(10), 'g') AS t FROM pages),
 c AS (SELECT page_id, {", ".join(f"{_count('t', v)} AS {k}" for k, v in _SCANNED.items())} FROM r)
 SELECT {", ".join(f"CAST(sum({k}) AS BIGINT) AS {k}, count(*) FILTER ({k} > 0) AS {k}_pages" for k in _SCANNED)}, count(*) FILTER ({" + ".join(f"CAST({k} > 0 AS INT)" for k in _SCANNED)} >= 3) AS blocked FROM c
 """)
 def injection_category_hits(spark, sf_dir):
-    """All patterns but the zero-width one, which SQL on the other side can't write."""
-    hits = X.category_hits(F.col("html"), _SCANNED)
-    rows = table(spark, sf_dir, "pages").select(*[c.alias(k) for k, c in hits.items()])
+    """Matches outside code, and pages with any, by category."""
+    rows = dealt(spark, sf_dir, "pages", "html").select(X.masked_code(F.col("html")).alias("scan")).withColumn("low", F.lower("scan"))
+    hits = X.category_hits(F.col("scan"), F.col("low"))
+    rows = rows.select(*[c.alias(k) for k, c in hits.items()])
     n = sum(((F.col(k) > 0).cast("int") for k in hits), F.lit(0))
     return rows.agg(*[x for k in hits for x in (F.sum(k).alias(k), F.count_if(F.col(k) > 0).alias(f"{k}_pages"))], F.count_if(n >= P.BLOCK_CATEGORIES).alias("blocked"))
 
@@ -129,7 +130,7 @@ _BOOST = "greatest(0.0, CASE WHEN contains(source, 'src1') THEN 4.0 ELSE 0 END,
 _RECENCY = "CASE WHEN 2024 - (2019 + doc_id % 7) < 1 THEN 1.2 WHEN 2024 - (2019 + doc_id % 7) <= 3 THEN 1.0 ELSE 0.8 END"
 
 
-@query(f"""
+@query(rf"""
 WITH r AS (SELECT doc_id, {_MATCH} AS matched, {_WEIGHT} + {_BOOST} AS weight, CAST({_RECENCY} AS DOUBLE) AS recency FROM documents),
 h AS (SELECT *, row_number() OVER (ORDER BY matched * weight DESC, doc_id) AS pre FROM r WHERE matched > 0 QUALIFY pre <= 20)
 SELECT doc_id, matched * recency AS score, row_number() OVER (ORDER BY matched * recency DESC, pre) AS rank FROM h
@@ -152,7 +153,7 @@ i AS (SELECT *, CASE WHEN ln((n - da + 0.5) / (da + 0.5)) <= 0 THEN 1e-6 ELSE ln
 SELECT doc_id, round(ia * a * 2.2 / (a + 1.2 * (0.25 + 0.75 * len / mean)) + ib * b * 2.2 / (b + 1.2 * (0.25 + 0.75 * len / mean)), 6) AS score FROM c, i WHERE a > 0 AND b > 0 ORDER BY score DESC, doc_id LIMIT 20
 """)
 def bm25_topk(spark, sf_dir):
-    return C.bm25(table(spark, sf_dir, "documents"), ("the", "ing")).withColumn("score", F.round("score", 6))
+    return C.bm25(dealt(spark, sf_dir, "documents", "doc_id", "text"), ("the", "ing")).withColumn("score", F.round("score", 6))
 
 
 @query("""
@@ -210,16 +211,16 @@ f AS (SELECT doc_id, total, term, count(*) AS n FROM e GROUP BY ALL)
 
 @query(f"WITH {_TOKENS} SELECT term, count(*) AS df, CAST(sum(n) AS BIGINT) AS occurrences FROM f GROUP BY term HAVING count(*) >= 5")
 def doc_frequency(spark, sf_dir):
-    stats = C.term_statistics(table(spark, sf_dir, "documents"), STOP)
+    stats = C.term_statistics(dealt(spark, sf_dir, "documents", "doc_id", "text"), STOP)
     return stats.groupBy("term").agg(F.count("*").alias("df"), F.sum("count").alias("occurrences")).where("df >= 5")
 
 
-@query(f"""
+@query(rf"""
 WITH {_TOKENS}, t AS (SELECT term, count(*) AS df, sum(n / total) AS tf FROM f GROUP BY term), n AS (SELECT count(*) AS n FROM documents)
 SELECT term, df, round(tf * ln(n / (1 + df)), 6) AS score FROM t, n WHERE df >= 10 AND df <= floor(n * 0.4) ORDER BY score DESC, term LIMIT 200
 """)
 def tfidf_top_concepts(spark, sf_dir):
-    return C.concepts(table(spark, sf_dir, "documents"), STOP)
+    return C.concepts(dealt(spark, sf_dir, "documents", "doc_id", "text"), STOP)
 
 
 @query(r"""
@@ -230,7 +231,7 @@ t AS (SELECT source, word, CAST(sum(n) AS BIGINT) AS n FROM o GROUP BY ALL)
 SELECT *, row_number() OVER (PARTITION BY source ORDER BY n DESC, word) AS place FROM t QUALIFY place <= 30
 """)
 def keywords_topn(spark, sf_dir):
-    return C.keywords(table(spark, sf_dir, "documents"), "source")
+    return C.keywords(dealt(spark, sf_dir, "documents", "source", "text"), "source")
 
 
 def _pairs(spark, sf_dir):
@@ -361,10 +362,31 @@ def expanded_questions(spark, sf_dir):
     return docs.select("doc_id", F.posexplode(F.slice(F.split("text", "\n"), 1, 3)).alias("n", "q")).where("q != ''").select("doc_id", F.col("n").cast("long").alias("n"), F.left("q", F.lit(80)).alias("question"))
 
 
-@query()
+def _begins(x: str, patterns) -> str:
+    return "regexp_matches({}, '{}')".format(x, "|".join(f"^(?:{p})" for p in patterns).replace("'", "''"))
+
+
+@query(rf"""
+WITH d AS (SELECT row_number() OVER () AS r, source, text FROM documents),
+l0 AS (SELECT r, i - 1 AS pos, x[i] AS line FROM (SELECT r, string_split(text, chr(10)) AS x FROM d WHERE text IS NOT NULL), unnest(range(1, len(x) + 1)) AS u(i)),
+l1 AS (SELECT *, regexp_replace(line, '^\s+|\s+$', '', 'g') AS bare FROM l0),
+l2 AS (SELECT *, max(CASE WHEN pos = 0 AND bare = '---' THEN 1 ELSE 0 END) OVER (PARTITION BY r) = 1 AS fenced, min(CASE WHEN pos > 0 AND bare = '---' THEN pos END) OVER (PARTITION BY r) AS fence FROM l1),
+l3 AS (SELECT *, fenced AND pos <= coalesce(fence, pos) AS front, CASE WHEN fenced THEN -1 ELSE least(coalesce(fence, 15), 15) END AS top FROM l2),
+l4 AS (SELECT *, NOT front AND NOT ((pos = 0 AND starts_with(bare, '# ')) OR (pos <= top AND (bare = '---' OR starts_with(bare, '# ') OR (starts_with(bare, '**') AND contains(bare, ':**'))))) AS body FROM l3),
+l5 AS (SELECT *, body AND {_begins("bare", P.BLOCK_STARTS)} AS opens, {_begins("bare", P.NAVIGATION)} OR {_begins("line", P.SINGLE_LINES)} AS frame FROM l4),
+l6 AS (SELECT *, max(CASE WHEN opens THEN pos END) OVER (PARTITION BY r ORDER BY pos) AS opened, max(CASE WHEN body AND bare = '' AND NOT opens THEN pos END) OVER (PARTITION BY r ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS closed FROM l5),
+l7 AS (SELECT *, NOT body OR NOT (coalesce(opened, -1) > coalesce(closed, -1) OR frame) AS stays FROM l6),
+l8 AS (SELECT *, sum(CASE WHEN stays AND body AND bare = '' THEN 1 ELSE 0 END) OVER (PARTITION BY r ORDER BY pos) AS blanks FROM l7),
+l9 AS (SELECT *, blanks - coalesce(max(CASE WHEN stays AND body AND bare <> '' THEN blanks END) OVER (PARTITION BY r ORDER BY pos), 0) AS run FROM l8),
+l10 AS (SELECT *, stays AND (NOT body OR bare <> '' OR run <= 2) AS kept FROM l9),
+l11 AS (SELECT *, kept AND pos <= max(CASE WHEN kept AND bare <> '' THEN pos END) OVER (PARTITION BY r) AS out FROM l10),
+n AS (SELECT r, string_agg(line, chr(10) ORDER BY pos) AS new FROM l11 WHERE out GROUP BY r),
+t AS (SELECT source, text, coalesce(new || chr(10), '') AS new, coalesce(new, '') AS bare FROM d LEFT JOIN n USING (r) WHERE text IS NOT NULL)
+SELECT source, count(*) AS texts, CAST(sum(CASE WHEN rtrim(text, ' ') <> rtrim(bare, ' ') THEN 1 ELSE 0 END) AS BIGINT) AS changed, CAST(sum(strlen(text)) AS BIGINT) AS bytes_before, CAST(sum(strlen(new)) AS BIGINT) AS bytes_after
+FROM t GROUP BY ROLLUP (source)
+""")
 def trim_boilerplate(spark, sf_dir):
-    """Trimming reads lines in order with a state, so it runs as an Arrow-batched function."""
-    return T.trim_report(table(spark, sf_dir, "documents"))
+    return T.trim_report(dealt(spark, sf_dir, "documents", "source", "text").where("text IS NOT NULL"))
 
 
 @query()
