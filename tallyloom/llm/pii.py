@@ -7,9 +7,17 @@ of a format different ones. An e-mail address, which is no number, becomes a key
 
 A domain of m1 x m2 values is split into halves; ten rounds add a keyed hash of one half to the other, modulo its size.
 
+What is looked for: e-mail addresses; dates from 1000 to 2999, as yyyy-mm-dd; IPv4 addresses; social security numbers
+(those from 900 on are never given out); telephone numbers as 3-3-4 digits, or of 8 to 15 digits after a +; card numbers of 13 to 19 digits. A run of groups of digits that is no card number as a whole may hold
+one beside other groups (an expiry date, a check value, an order number): the longest run of whole groups that passes
+the check is one. Such a run counts once. Not looked for: names, postal addresses, dates of other layouts, other telephone
+numbers without a +.
+
 Defined results: a null text stays null; a text without personal data stays as it is, byte for byte; a number that
 fails its check (a card number's check digit, a byte above 255 in an address, a date that no calendar has) isn't
-personal data and stays. Other columns pass through, whatever their names.
+personal data and stays; a very long text is handled whole, in time in proportion to its length and its matches. Other
+columns pass through, whatever their names. The key decides the pseudonyms, and who has it can undo them: a deployment
+passes its own; the one in this file, KEY, or in the session's setting `spark.tallyloom.key`, is for the queries.
 """
 
 from __future__ import annotations
@@ -25,17 +33,20 @@ ROUNDS = 10
 
 #: What may be personal data, most specific first. Each pattern starts where no other character of its kind stands
 #: before it, so a long run of such characters is tried once.
-EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63})*\.[A-Za-z]{2,24}(?![A-Za-z0-9])"
+EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63})*\.[A-Za-z]{2,24}(?![A-Za-z0-9])"
 DATE = r"(?<![0-9-])[12][0-9]{3}-[01][0-9]-[0-3][0-9](?![0-9-])"
 ADDRESS = r"(?<![0-9.])(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?![0-9]|\.[0-9])"
 SOCIAL = r"(?<![0-9-])[0-8][0-9]{2}-[0-9]{2}-[0-9]{4}(?![0-9-])"
+WORLD = r"(?<![0-9A-Za-z+])\+[1-9][0-9]{0,2}(?:[ .-]?\(?[0-9]{1,5}\)?){2,6}(?![0-9])"
 PHONE = r"(?<![0-9+])(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{3}\) ?|(?<=\+[0-9]{1,3}[ .-])[0-9]{3}[ .-]|(?<![0-9+] )[0-9]{3}[.-])[0-9]{3}[ .-][0-9]{4}(?![0-9])"
-CARD = r"(?<![0-9])[0-9](?:[ -]?[0-9]){12,18}(?![0-9])"
-ANY = "|".join((EMAIL, DATE, ADDRESS, SOCIAL, PHONE, CARD))
+#: A run of groups of digits, with single separators; card numbers are whole groups of it.
+CARD = r"(?<![0-9])(?=[0-9](?:[ -]?[0-9]){12})[0-9]++(?:[ -](?![12][0-9]{3}-[01][0-9]-[0-3][0-9](?![0-9-])|[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])|[0-9]{3}-[0-9]{3}[ -][0-9]{4}(?![0-9]))[0-9]++)*+"
+CARD_DIGITS = (13, 19)
+ANY = "|".join((EMAIL, DATE, ADDRESS, SOCIAL, PHONE, WORLD, CARD))
 KINDS = ("email", "date", "address", "social", "phone", "card")
 
-#: Dates from FIRST_DAY on, 200 x 365 of them.
-FIRST_DAY, YEARS, DAYS = "1900-01-01", 200, 365
+#: Dates from FIRST_DAY to 2999-12-31, 773 x 945 of them.
+FIRST_DAY, YEARS, DAYS = "1000-01-01", 773, 945
 
 
 def keyed(key: str, kind: str, *parts: Column) -> Column:
@@ -96,6 +107,49 @@ def check_sum(digits: Column) -> Column:
     return F.aggregate(value, F.lit(0), lambda acc, v: (acc + v).cast("int"))
 
 
+def once(value: Column, f) -> Column:
+    """f of a value that is computed once, however often f uses it."""
+    return F.transform(F.array(value), f)[0]
+
+
+def card_runs(groups: Column) -> Column:
+    """For each group of digits, the most groups from it on that are a card number together; null if none are."""
+    least, most = CARD_DIGITS
+    number = lambda i, n: F.array_join(F.slice(groups, i + 1, n), "")
+    valid = lambda d: F.length(d).between(least, most) & (check_sum(d) % 10 == 0)
+    sizes = lambda i: F.sequence(F.lit(1), F.least(F.size(groups) - i, F.lit(most)))
+    return F.transform(groups, lambda _, i: F.array_max(F.filter(sizes(i), lambda n: once(number(i, n), valid))))
+
+
+def digit_groups(x: Column) -> Column:
+    return F.regexp_extract_all(x, F.lit("[0-9]+"), F.lit(0))
+
+
+def has_card(x: Column) -> Column:
+    return once(digit_groups(x), lambda g: F.exists(card_runs(g), lambda n: n.isNotNull()))
+
+
+def cards(key: str, x: Column) -> Column:
+    """x, groups of digits with single separators, with another number for each card number in it, from the left."""
+    separators = F.regexp_extract_all(x, F.lit("[^0-9]"), F.lit(0))
+    parts = F.zip_with(digit_groups(x), F.concat(F.array(F.lit("")), separators), lambda g, s: F.struct(g.alias("g"), s.alias("s")))
+
+    def of(p: Column) -> Column:
+        text = lambda i, n: F.concat(p[i]["g"], F.array_join(F.transform(F.slice(p, i + 2, n - 1), lambda q: F.concat(q["s"], q["g"])), ""))
+        runs = F.transform(card_runs(F.transform(p, lambda q: q["g"])), lambda n, i: F.struct(n.alias("n"), i.alias("i")))
+        start = F.struct(F.lit(0).alias("until"), F.lit("").alias("out"))
+
+        def put(acc: Column, r: Column) -> Column:
+            inside = r["i"] < acc["until"]
+            until = F.when(inside | r["n"].isNull(), acc["until"]).otherwise(r["i"] + r["n"])
+            new = F.when(inside, "").when(r["n"].isNull(), F.concat(p[r["i"]]["s"], p[r["i"]]["g"])).otherwise(F.concat(p[r["i"]]["s"], card(key, text(r["i"], r["n"]))))
+            return F.struct(until.alias("until"), F.concat(acc["out"], new).alias("out"))
+
+        return F.aggregate(runs, start, put)["out"]
+
+    return once(parts, of)
+
+
 def card(key: str, x: Column) -> Column:
     """Another number of the same length with a right check digit, in x's layout."""
     digits = digits_of(x)
@@ -122,9 +176,10 @@ def date(key: str, x: Column) -> Column:
 
 
 def phone(key: str, x: Column) -> Column:
-    """The last ten digits change; a country code before them stays."""
+    """The last ten digits change, and a country code before them stays; of numbers of other countries all but the first two change."""
     digits = digits_of(x)
-    return in_layout(x, F.concat(F.left(digits, F.length(digits) - 10), permuted(key, "phone", F.right(digits, F.lit(10)))))
+    n = F.when(x.startswith("+") & ~x.startswith("+1"), F.length(digits) - 2).otherwise(F.lit(10))
+    return in_layout(x, F.concat(F.left(digits, F.length(digits) - n), permuted(key, "phone", F.right(digits, n))))
 
 
 def email(key: str, x: Column) -> Column:
@@ -140,7 +195,8 @@ def kind_of(x: Column) -> Column:
         .when(only(r"[0-9]{1,3}(?:\.[0-9]{1,3}){3}"), F.when(F.forall(F.split(x, "\\."), lambda c: c.cast("int") <= 255), "address"))
         .when(only("[0-9]{3}-[0-9]{2}-[0-9]{4}"), F.when(~only("(?:000|666).*|.*-00-.*|.*-0000"), "social"))
         .when(only(r"(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}"), "phone")
-        .otherwise(F.when(check_sum(digits_of(x)) % 10 == 0, "card"))
+        .when(x.startswith("+"), F.when(F.length(digits_of(x)).between(8, 15), "phone"))
+        .otherwise(F.when(has_card(x), "card"))
     )
 
 
@@ -151,7 +207,7 @@ def pseudonym(key: str, kind: Column, x: Column) -> Column:
         .when(kind == "address", address(key, x))
         .when(kind == "social", in_layout(x, permuted(key, "social", digits_of(x))))
         .when(kind == "phone", phone(key, x))
-        .when(kind == "card", card(key, x))
+        .when(kind == "card", cards(key, x))
         .otherwise(x)
     )
 
@@ -173,10 +229,14 @@ def pseudonymised(docs: DataFrame, key: str = KEY, counts: bool = False) -> Data
     return out.drop(name)
 
 
+def key_of(spark) -> str:
+    return spark.conf.get("spark.tallyloom.key", KEY)
+
+
 def op7_pseudonyms(spark, sf_dir) -> DataFrame:
     docs = C.table(spark, sf_dir, "documents").select("doc_id", "text")
-    return pseudonymised(docs, counts=True)
+    return pseudonymised(docs, key_of(spark), counts=True)
 
 
 def stage_pseudonyms(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return pseudonymised(docs)
+    return pseudonymised(docs, key_of(spark))

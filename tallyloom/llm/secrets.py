@@ -2,14 +2,18 @@
 
 Base spans come from three patterns. Their values, and every other token that looks random (long, with letters and
 digits), are candidates. Candidates are hashed, and the number of distinct repositories and owners that hold each hash
-is counted over the whole corpus, after a first count within tasks. A candidate in few owners' documents is live; each
-place where a live value stands, in an assignment or not, is a span of its own kind unless a base span covers it.
-Hashes, never the values, are shuffled.
+is counted over the whole corpus, after a first count within tasks. A candidate that few owners hold, in few repositories,
+is live; one that many owners hold, or that stands in many repositories of however few owners, is an example that was
+copied. Each place where a live value stands, in an assignment or not, is a span of its own kind unless a base span
+covers it. Hashes, never the values, are shuffled, and a hash's rows are dealt over groups where they are judged.
 
-Here a document's source is the owner, and source and language name the repository.
+Here a document's source is the owner, and source and language name the repository, unless the table has a column
+`repo`.
 
 Defined results: a null text is empty and has no spans; a null source counts as an owner of its own; repeated rows count
-once as owners and get equal results; a value seen with OWNERS owners or more is an example. Other columns aren't read.
+once as owners and get equal results; a value seen with OWNERS owners or more, or in REPOS repositories or more, is an
+example; a very long text is handled whole, in time and memory in proportion to its length and its matches. Other
+columns aren't read.
 """
 
 from __future__ import annotations
@@ -31,20 +35,48 @@ TOKEN = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{16,}+(?![A-Za-z0-9+/_=-])"
 KINDS = ("assign", "access", "hex", "live")
 #: From so many distinct owners on, a value counts as an example that was copied.
 OWNERS = 3
+#: From so many distinct repositories on, too, whoever owns them.
+REPOS = 8
 
 
 def places(text: Column, pattern: str) -> Column:
     """(start, end, value) of the matches, in code points, end exclusive."""
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     between = F.transform(F.split(text, pattern, -1), lambda x: F.length(x))
-    start = F.struct(F.lit(0).alias("at"), F.expr("cast(array() as array<struct<start:int,end:int,value:string>>)").alias("out"))
+    both = F.zip_with(found, F.slice(between, F.lit(1), F.size(found)), lambda x, gap: F.struct(x.alias("x"), gap.alias("gap")))
+    return once(both, lambda b: F.when(F.size(b) <= FEW, summed(b)).otherwise(summed_in_blocks(b)))
+
+
+def once(value: Column, f) -> Column:
+    """f of a value that is computed once, however often f uses it."""
+    return F.transform(F.array(value), f)[0]
+
+
+#: Matches of a block. A running sum copies what it has so far at each step, so that a text with many matches would take
+#: quadratic time; sums go block by block instead, and over the blocks.
+FEW = 64
+SPANS = "array<struct<start:int,end:int,value:string>>"
+
+
+def summed(both: Column, base: Column | None = None) -> Column:
+    """Spans from (x, gap): each match and the length of the text since the one before."""
+    start = F.struct((F.lit(0) if base is None else base).alias("at"), F.expr(f"cast(array() as {SPANS})").alias("out"))
 
     def step(acc: Column, m: Column) -> Column:
         begin = acc["at"] + m["gap"]
         end = begin + F.length(m["x"])
         return F.struct(end.alias("at"), F.concat(acc["out"], F.array(F.struct(begin.alias("start"), end.alias("end"), m["x"].alias("value")))).alias("out"))
 
-    return F.aggregate(F.zip_with(found, F.slice(between, F.lit(1), F.size(found)), lambda x, gap: F.struct(x.alias("x"), gap.alias("gap"))), start, step)["out"]
+    return F.aggregate(both, start, step)["out"]
+
+
+def summed_in_blocks(both: Column) -> Column:
+    def blocks_of(all_: Column) -> Column:
+        blocks = F.transform(F.sequence(F.lit(0), F.floor((F.size(all_) - 1) / FEW).cast("int")), lambda i: F.slice(all_, i * FEW + 1, F.lit(FEW)))
+        return F.transform(blocks, lambda b: F.struct(b.alias("b"), F.aggregate(b, F.lit(0), lambda acc, m: acc + m["gap"] + F.length(m["x"])).alias("size")))
+
+    bases = lambda s: F.transform(s, lambda x, i: F.struct(x["b"].alias("b"), F.aggregate(F.slice(s, F.lit(1), i), F.lit(0), lambda acc, y: acc + y["size"]).alias("base")))
+    return F.flatten(F.transform(once(blocks_of(both), bases), lambda x: summed(x["b"], x["base"])))
 
 
 def of_kind(spans: Column, kind: str) -> Column:
@@ -60,7 +92,8 @@ def scanned(docs: DataFrame) -> DataFrame:
     """doc_id, owner, repo, base spans and candidate spans of every row; one scan, nothing shuffled."""
     text = F.coalesce("text", F.lit(""))
     empty = F.expr("cast(array() as array<struct<start:int,end:int,value:string>>)")
-    rows = docs.select("doc_id", F.coalesce("source", F.lit("")).alias("owner"), F.concat_ws("/", "source", "lang").alias("repo"), text.alias("text"))
+    repo = F.col("repo") if "repo" in docs.columns else F.concat_ws("/", "source", "lang")
+    rows = docs.select("doc_id", F.coalesce("source", F.lit("")).alias("owner"), F.coalesce(repo, F.lit("")).alias("repo"), text.alias("text"))
     value = lambda x: F.regexp_extract(x, ASSIGN, 2)
     assign = F.when(F.col("text").rlike(ASSIGN), F.filter(places(F.col("text"), ASSIGN), lambda s: F.length(value(s["value"])) >= 12)).otherwise(empty)
     access = F.when(F.col("text").contains("AKIA"), places(F.col("text"), ACCESS)).otherwise(empty)
@@ -90,12 +123,12 @@ def listed(spans: Column) -> Column:
     return F.array_join(F.transform(F.array_sort(spans), lambda s: F.concat_ws(":", name(s), s["start"].cast("string"), s["end"].cast("string"))), ",")
 
 
-def scan(docs: DataFrame, owners: int = OWNERS) -> DataFrame:
+def scan(docs: DataFrame, owners: int = OWNERS, repos: int = REPOS) -> DataFrame:
     """Every row's base spans, all its spans, and how many of its candidates are live or examples."""
     rows = C.written(scanned(docs))
-    held = ownership(rows)
+    held = C.written(ownership(rows))
     each = rows.where(F.size("candidates") > 0).select("row", F.explode("candidates").alias("c")).select("row", "c.*")
-    judged = each.join(held, "hash").withColumn("live", F.col("owners") < owners)
+    judged = C.looked_up(each, held, "hash", F.col("row")).withColumn("live", (F.col("owners") < owners) & (F.col("repos") < repos))
     rank = KINDS.index("live")
     span = F.struct("start", F.lit(rank).alias("rank"), "end")
     per_row = judged.groupBy("row").agg(

@@ -6,10 +6,11 @@ TRAIN_ROWS of them, chosen by the hash of the URL, and judge every other URL.
 Features: length of host, path and query, depth of host and path, share of digits, of letters and of hyphens, entropy
 of the host's and the path's characters, number of query parameters, whether a port, an address or an encoded
 character stands in it, and statistics of the host's last label (its share of the labelled URLs and of blocked ones).
+Last labels fall into BUCKETS buckets by hash, which all have their statistics, however many labels there are.
 
 Defined results: a null URL, or one without `://`, has empty host and path and matches no rule; without labelled URLs
 of both kinds the method allows everything, or blocks everything if that is all it has seen; equal URLs get equal
-results; other columns aren't read.
+results; a very long URL is handled whole; other columns aren't read.
 """
 
 from __future__ import annotations
@@ -26,8 +27,8 @@ from . import common as C
 RULES = (("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"), ("block", "net", "/es/"), ("block", "net", "/fr/"))
 #: Labelled URLs that the trees are trained on, at most (about).
 TRAIN_ROWS = 20_000
-#: At most so many last labels have statistics of their own: the most frequent ones.
-SUFFIXES = 1000
+#: Buckets of last labels.
+BUCKETS = 4096
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -82,10 +83,15 @@ def features(rows: DataFrame) -> DataFrame:
         "f_address": host.rlike("^[0-9.]+$").cast("double"),
         "f_encoded": count(url, "%[0-9A-Fa-f]{2}"),
         "f_secure": url.startswith("https").cast("double"),
-        "suffix": F.substring_index(host, ".", -1),
+        "suffix": suffix(host),
     })
 
 
+def suffix(host: Column) -> Column:
+    """The bucket of the host's last label."""
+    return F.pmod(F.xxhash64(F.substring_index(host, ".", -1)), F.lit(BUCKETS)).cast("int")
+
+
 FEATURES = ("length", "host", "path", "query", "labels", "depth", "digits", "letters", "hyphens", "host_entropy", "path_entropy", "params", "port", "address", "encoded", "secure", "suffix_share", "suffix_blocked")
 
 
@@ -94,11 +100,14 @@ class Model:
 
     def __init__(self, labelled: DataFrame, train_rows: int = TRAIN_ROWS):
         """labelled: url, host, path, query, blocked (boolean)."""
-        top = labelled.groupBy(F.substring_index("host", ".", -1).alias("suffix")).agg(F.count("*").alias("n"), F.count_if("blocked").alias("bad")).orderBy(F.desc("n"), "suffix").limit(SUFFIXES).collect()
+        # at most BUCKETS rows
+        found = labelled.groupBy(suffix(F.coalesce("host", F.lit(""))).alias("suffix")).agg(F.count("*").alias("n"), F.count_if("blocked").alias("bad")).collect()
         total = labelled.agg(F.count("*").alias("n"), F.count_if("blocked").alias("bad")).first()
         n, bad = total["n"], total["bad"]
         self.prior = bad / n if n else 0.0
-        self.suffixes = {r["suffix"]: (r["n"] / n, (r["bad"] + 10 * self.prior) / (r["n"] + 10)) for r in top}
+        self.share, self.bad = [0.0] * BUCKETS, [self.prior] * BUCKETS
+        for r in found:
+            self.share[r["suffix"]], self.bad[r["suffix"]] = r["n"] / n, (r["bad"] + 10 * self.prior) / (r["n"] + 10)
         self.trees = None
         if 0 < bad < n:
             keep = F.pmod(F.xxhash64("url"), F.lit(1 << 20)) < int((1 << 20) * min(1.0, train_rows / n))
@@ -107,9 +116,8 @@ class Model:
                 self.trees = GBTClassifier(featuresCol="x", labelCol="label", maxIter=20, maxDepth=4, maxBins=64, seed=7).fit(sample.select("x", "label"))
 
     def vectors(self, rows: DataFrame) -> DataFrame:
-        known = F.create_map(*[F.lit(x) for s, v in self.suffixes.items() for x in (s, F.array(F.lit(v[0]), F.lit(v[1])))]) if self.suffixes else F.create_map().cast("map<string,array<double>>")
-        rows = features(rows).withColumn("s", F.coalesce(F.try_element_at(known, F.col("suffix")), F.array(F.lit(0.0), F.lit(self.prior))))
-        rows = rows.withColumns({"f_suffix_share": F.col("s")[0], "f_suffix_blocked": F.col("s")[1]})
+        of = lambda values: F.get(F.split(F.lit(",".join(map(repr, values))), ",").cast("array<double>"), F.col("suffix"))
+        rows = features(rows).withColumns({"f_suffix_share": of(self.share), "f_suffix_blocked": of(self.bad)})
         return VectorAssembler(inputCols=[f"f_{c}" for c in FEATURES], outputCol="x").transform(rows)
 
     def blocked(self, rows: DataFrame) -> DataFrame:

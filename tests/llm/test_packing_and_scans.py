@@ -109,6 +109,21 @@ def test_pseudonyms_keep_formats_and_links(spark):
     assert got[7].endswith(" 000-12-3456") and not got[7].startswith("078-05-1120")
 
 
+def test_card_numbers_beside_other_groups(spark):
+    rows = [(1, "4111 1111 1111 1111 123"), (2, "4111111111111111 12/27"), (3, "order 12 4111 1111 1111 1111"), (4, "4111111111111111 4111-1111-1111-1111"), (5, "4111 1111 1111 1112 2024-02-29"), (6, "4111 1111 1111 1111 2024-02-29"), (7, "1" * 25), (8, "tel +49 30 123456-78 or +33 1 23 45 67 89"), (9, "1066-10-14 2999-12-31 1700-02-29"), (10, "a" * 70 + "@x.org")]
+    got = {r["doc_id"]: r["text"] for r in pii.pseudonymised(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    number = re.sub(r"\D", "", got[4].split(" ")[0])
+    assert luhn(number) and number != "4111111111111111" and len(number) == 16
+    spaced, dashed = (s.join(number[i : i + 4] for i in range(0, 16, 4)) for s in " -")
+    assert got[1] == f"{spaced} 123" and got[2] == f"{number} 12/27" and got[3] == f"order 12 {spaced}" and got[4] == f"{number} {dashed}"
+    day = got[6][-10:]
+    assert got[5] == f"4111 1111 1111 1112 {day}" and day != "2024-02-29" and got[6] == f"{spaced} {day}" and got[7] == "1" * 25
+    assert re.fullmatch(r"tel \+49 \d\d \d{6}-\d\d or \+33 \d \d\d \d\d \d\d \d\d", got[8]) and "123456" not in got[8] and "23 45" not in got[8]
+    a, b, c = got[9].split(" ")
+    assert a != "1066-10-14" and b != "2999-12-31" and c == "1700-02-29" and all(re.fullmatch(r"[12]\d{3}-\d\d-\d\d", x) for x in (a, b))
+    assert re.fullmatch(r"u[0-9a-f]{16}@mail\.invalid", got[10])
+
+
 def test_feistel_is_a_permutation(spark):
     n = spark.range(10_000).select(F.lpad(F.col("id").cast("string"), 4, "0").alias("x"))
     assert n.select(pii.permuted("k", "t", F.col("x")).alias("y")).agg(F.countDistinct("y"), F.min(F.length("y")), F.max(F.length("y"))).first()[:] == (10_000, 4, 4)
@@ -147,6 +162,19 @@ def test_secrets(spark, odd, nothing):
     assert secrets.scan(nothing).count() == 0 and secrets.scan(odd).count() == odd.count()
 
 
+def test_repositories_decide_too(spark):
+    value = "Zx81kQm29LpW77aa"
+    rows = [(i, f"use {value}", "one owner", f"repo{i % n}") for n, first in ((secrets.REPOS, 0), (1, 100)) for i in range(first, first + secrets.REPOS)]
+    scan = lambda part: {r["spans"] for r in secrets.scan(spark.createDataFrame(part, "doc_id long, text string, source string, repo string")).collect()}
+    assert scan(rows[: secrets.REPOS]) == {""} and scan(rows[secrets.REPOS :]) == {"live:4:20"}
+
+
+def test_many_matches_in_a_text(spark):
+    text = " ".join(f"é{i} AKIA{'ABCDEFGHIJKLMNOP'} {'0123456789abcdef' * 2}" for i in range(1000))
+    got = secrets.scan(spark.createDataFrame([(1, text, "a", "en")], "doc_id long, text string, source string, lang string")).first()
+    assert got["base_sha256"] == hashlib.sha256(base_spans(text).encode()).hexdigest() and got["n_access"] == got["n_hex"] == 1000
+
+
 def test_long_tokens_are_candidates(spark):
     live, example = ("".join(hashlib.sha256(f"{k}{i}".encode()).hexdigest()[:9] + "Z" for i in range(100)) for k in "le")  # no 16 hex digits in a row
     rows = [(1, f"see {live}.", "a"), (2, f"jwt x.{live}", "a"), *((i, f"use {example} here", f"s{i}") for i in (3, 4, 5))]
