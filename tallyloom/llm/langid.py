@@ -3,9 +3,15 @@
 Counts of every (language, n-gram bucket) come from all labelled training texts; the matrix of log-probabilities has
 languages x BUCKETS entries whatever the corpus holds, so it is broadcast, and each task scores its own texts with it.
 
+The pipeline's stage asks of each text whether the model of its language explains it at all: whether its n-grams are
+likelier under that model than under both of two models of no language, one with all buckets alike (for letters that
+the model never saw) and one with the language's letters in random order (for strings of letters that form no words).
+A text goes if the weight of evidence against its language exceeds a threshold set from a sample of labelled texts.
+
 Defined results: a null text or one without a letter gives `und` and 0.0; a null language is not learned from; ties go
 to the first language in alphabetical order; with nothing to learn from, every text is `und`; repeated rows get equal
-results; other columns are not read, whatever their names.
+results; a very long text is handled whole, in memory of about 60 times its characters; other columns are not read,
+whatever their names.
 """
 
 from __future__ import annotations
@@ -22,6 +28,10 @@ from . import common as C
 ORDERS = (1, 2, 3)
 BUCKETS = 1 << 16
 SMOOTHING = 0.1
+#: Labelled texts that the stage's threshold is set from, at most (about), and the share of them that it keeps.
+CALIBRATION, KEPT = 2000, 0.999
+#: Evidence against a text's language, in natural logarithms, that never suffices to reject it.
+EVIDENCE = 12.0
 
 
 @cache
@@ -108,15 +118,17 @@ def train(texts: DataFrame) -> tuple[list[str], np.ndarray, np.ndarray]:
 
 
 def scored(data, offs, model) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Best language (-1: none), its tempered probability, for the texts of one slice."""
+    """Best language (-1: none), its tempered probability, and the weight of evidence for it, for the texts of one slice."""
     langs, prior, logp = model
     grams, has = buckets(data, offs)
     ll = np.zeros((len(offs) - 1, len(langs)))
     n = np.zeros(len(offs) - 1)
     if not langs:
-        return np.full(len(n), -1), np.zeros(len(n))
+        return np.full(len(n), -1), np.zeros(len(n)), np.zeros(len(n))
+    by_order = []
     for bucket, lo, hi in grams:
         size = hi - lo
+        before = ll.copy()
         for i in np.flatnonzero(size > BUCKETS):  # a long text: its histogram is smaller than its n-grams
             ll[i] += np.bincount(bucket[lo[i] : hi[i]], minlength=BUCKETS) @ logp
         some = np.flatnonzero((size > 0) & (size <= BUCKETS))
@@ -125,47 +137,72 @@ def scored(data, offs, model) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
             values = np.vstack([logp[bucket], np.zeros((1, len(langs)), np.float32)])
             ll[some] += np.add.reduceat(values, np.minimum(edges, len(bucket)), axis=0, dtype=np.float64)[::2]
         n += size
+        by_order.append((size, ll - before))
     x = prior + ll / np.sqrt(np.maximum(n, 1))[:, None]
     x = np.exp(x - x.max(1, keepdims=True))
     best = (prior + ll).argmax(1)
     score = x[np.arange(len(x)), best] / x.sum(1)
-    return np.where(has, best, -1), np.where(has, score, 0.0)
+    # of its own language, by order; a letter's place in an n-gram of random letters is worth its own probability
+    at = np.arange(len(x)), best
+    share = np.log(len(ORDERS))  # the n-grams of all orders share one distribution
+    per_letter = np.where(by_order[0][0] > 0, by_order[0][1][at] / np.maximum(by_order[0][0], 1) + share, 0.0)
+    shuffled = sum(size * (k * per_letter - share) for k, (size, _) in zip(ORDERS, by_order, strict=True))
+    evidence = ll[at] - np.maximum(shuffled, -n * np.log(BUCKETS))
+    return np.where(has, best, -1), np.where(has, score, 0.0), np.where(has, evidence, 0.0)
 
 
-def predict(docs: DataFrame, model, keep: list[str], accepted: Column | None = None) -> DataFrame:
-    """Columns keep of docs, then lang_pred and score; or, given a condition on these two, keep of the rows that meet it."""
+def predict(docs: DataFrame, model, keep: list[str]) -> tuple[DataFrame, list[str]]:
+    """Columns keep of docs (under the names given back), then lang_pred, score and evidence."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
     rows, names = C.numbered(docs, keep)
-    schema = ", ".join([*(f"{n} {rows.schema[n].dataType.simpleString()}" for n in names), "lang_pred string", "score double"])
+    schema = ", ".join([*(f"{n} {rows.schema[n].dataType.simpleString()}" for n in names), "lang_pred string", "score double", "evidence double"])
 
     def score(batches):
         langs = shared.value[0]
         limit = max(1 << 16, (1 << 22) // max(4, len(langs)))
         for batch in batches:
             for part in C.slices(batch, limit):
-                best, value = scored(*C.utf8(part.column("text")), shared.value)
+                best, value, evidence = scored(*C.utf8(part.column("text")), shared.value)
                 pred = pa.array(["und" if b < 0 else langs[b] for b in best], pa.string())
-                yield pa.RecordBatch.from_arrays([*(part.column(n) for n in names), pred, pa.array(value, pa.float64())], names=[*names, "lang_pred", "score"])
+                yield pa.RecordBatch.from_arrays([*(part.column(n) for n in names), pred, pa.array(value, pa.float64()), pa.array(evidence, pa.float64())], names=[*names, "lang_pred", "score", "evidence"])
 
-    out = rows.mapInArrow(C.released(score), schema)
-    if accepted is not None:
-        return C.renamed(out.where(accepted), names, keep)
-    return out.select(*[F.col(n).alias(k) for n, k in zip(names, keep, strict=True)], "lang_pred", "score")
+    return rows.mapInArrow(C.released(score), schema), names
 
 
 def identify(docs: DataFrame, held_out: Column) -> DataFrame:
     """doc_id, held_out, lang_pred, score of every row; learns from the rows that aren't held out and have a lang. A null doc_id isn't held out."""
     held = F.coalesce(held_out, F.lit(False))
     model = train(docs.where(~held))
-    out = predict(docs.select("doc_id", held.alias("held_out"), "text"), model, ["doc_id", "held_out"])
-    return out.select("doc_id", "held_out", "lang_pred", "score")
+    out, names = predict(docs.select("doc_id", held.alias("held_out"), "text"), model, ["doc_id", "held_out"])
+    return out.select(F.col(names[0]).alias("doc_id"), F.col(names[1]).alias("held_out"), "lang_pred", "score")
 
 
 def op1_language_id(spark, sf_dir) -> DataFrame:
     return identify(C.table(spark, sf_dir, "documents"), C.remainder("doc_id", 4) == 2)
 
 
+def threshold(labelled: DataFrame, model) -> float:
+    """The least evidence of a text that stays: -EVIDENCE, or less if it takes that to keep KEPT of a sample of labelled texts."""
+    some = labelled.where("lang IS NOT NULL AND text IS NOT NULL").select("text")
+    n = some.count()
+    share = int((1 << 20) * min(1.0, CALIBRATION / max(n, 1)))
+    judged, _ = predict(some.where(F.pmod(F.xxhash64("text"), F.lit(1 << 20)) < share), model, [])
+    found = judged.where("lang_pred != 'und'").agg(F.percentile("evidence", 1 - KEPT)).first()[0]
+    return min(-EVIDENCE, found if found is not None else -EVIDENCE)
+
+
 def stage_language(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents that have a language: rejected are those without a letter. Uncertain ones stay."""
+    """The documents that are in a language that the labels teach. Rejected are those without a letter, and those that the model of their language doesn't explain. A null lang becomes the predicted one; given labels stay.
+
+    Without any labelled document nothing is known of languages, and all documents with a letter stay as they are.
+    """
     labelled = docs.where(F.coalesce(C.remainder("doc_id", 4) != 2, F.lit(True)))
-    return predict(docs, train(labelled), docs.columns, F.col("lang_pred") != "und")
+    model = train(labelled)
+    if not model[0]:
+        lettered = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
+        return docs.where(lettered)
+    least = threshold(labelled, model)
+    out, names = predict(docs, model, docs.columns)
+    kept = out.where((F.col("lang_pred") != "und") & (F.col("evidence") >= least))
+    lang = names[docs.columns.index("lang")]
+    return C.renamed(kept.withColumn(lang, F.coalesce(lang, "lang_pred")), names, docs.columns)

@@ -2,6 +2,7 @@
 
 import collections
 import math
+import random
 import re
 from zlib import crc32
 
@@ -40,6 +41,71 @@ def test_stage_keeps_columns_and_clean_documents(spark, odd):
     assert sorted(r["doc_id"] or 0 for r in kept.select("doc_id").collect()) == [0, 1, 6, 7, 7, 8, 9, 11]
 
 
+@needs_data
+def test_stage_rejects_what_no_language_explains(spark):
+    docs = spark.read.parquet(f"{DIR.replace('0.001', '0.01')}/documents.parquet")
+    rng = random.Random(4)
+    letters = "".join(r["text"] for r in docs.limit(20).collect())
+    shuffled = "".join(rng.sample([c for c in letters if c.isalpha()], 600))
+    junk = [
+        "".join(c + (" " if i % 6 == 5 else "") for i, c in enumerate(shuffled)),
+        " ".join("".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(7)) for _ in range(60)),
+        "".join(chr(rng.randrange(0x4E00, 0x9FA5)) for _ in range(200)),
+        " ".join("".join(chr(rng.randrange(0x430, 0x450)) for _ in range(6)) for _ in range(40)),
+    ]
+    text = docs.first()["text"]
+    clean = [text[:12], text[:40], text[:200], text[100:400], text.split()[0]]
+    rows = [(1_000_000 + i, t) for i, t in enumerate(junk)] + [(2_000_000 + i, t) for i, t in enumerate(clean)]
+    more = spark.createDataFrame([(i, t, None, "s", len(t)) for i, t in rows], docs.schema)
+    kept = {r["doc_id"]: r["lang"] for r in langid.stage_language(spark, docs.unionByName(more), "").select("doc_id", "lang").collect()}
+    assert not any(1_000_000 <= i < 2_000_000 for i in kept)
+    assert all(kept[2_000_000 + i] in ("en", "de", "fr", "es") for i in range(len(clean)))
+    given = {r["doc_id"]: r["lang"] for r in docs.collect()}
+    assert all(i in kept for i in given) and all(kept[i] == x for i, x in given.items() if x is not None)
+
+
+def test_stage_without_labels_keeps_what_has_a_letter(spark, odd):
+    none = odd.withColumn("lang", F.lit(None).cast("string"))
+    kept = langid.stage_language(spark, none, "")
+    assert kept.schema == none.schema and sorted(r["doc_id"] or 0 for r in kept.select("doc_id").collect()) == [0, 1, 6, 7, 7, 8, 9, 11]
+
+
+def naive_bayes(texts, learn):
+    """Predictions as the description says, with dictionaries over hashed n-grams."""
+    def grams(text):
+        kept = "".join(c.lower() if c.isalpha() and len(c.lower()) == 1 else (c if c.isalpha() else " ") for c in f" {text or ''} ")
+        s = re.sub(" +", " ", kept)
+        for k in langid.ORDERS:
+            for i in range(len(s) - k + 1):
+                h = 0
+                for j, c in enumerate(s[i : i + k]):
+                    h = (h ^ ord(c)) * 0x9E3779B1 & 0xFFFFFFFF
+                    h ^= h >> 15
+                yield (h * 0x85EBCA6B & 0xFFFFFFFF) >> 13 & langid.BUCKETS - 1
+
+    count, docs = collections.defaultdict(collections.Counter), collections.Counter()
+    for text, lang in learn:
+        if lang is not None and any(c.isalpha() for c in text or ""):
+            count[lang].update(grams(text))
+            docs[lang] += 1
+    size = {x: sum(c.values()) for x, c in count.items()}
+    for text in texts:
+        if not any(c.isalpha() for c in text or ""):
+            yield "und"
+            continue
+        own = list(grams(text))
+        ll = {x: math.log(docs[x] / sum(docs.values())) + sum(math.log((count[x][g] + langid.SMOOTHING) / (size[x] + langid.SMOOTHING * langid.BUCKETS)) for g in own) for x in count}
+        yield max(sorted(ll), key=ll.get)
+
+
+@needs_data
+def test_languages_against_brute_force(spark):
+    rows = [(r["doc_id"], r["text"], r["lang"]) for r in spark.read.parquet(f"{DIR}/documents.parquet").collect()]
+    want = naive_bayes([t for _, t, _ in rows], [(t, x) for i, t, x in rows if crc32(str(i).encode()) % 4 != 2])
+    got = {r["doc_id"]: r["lang_pred"] for r in langid.op1_language_id(spark, DIR).collect()}
+    assert got == {i: x for (i, _, _), x in zip(rows, want, strict=True)}
+
+
 def test_nothing_to_learn_from(spark, nothing, odd):
     assert langid.identify(nothing, F.lit(False)).count() == 0
     none = odd.withColumn("lang", F.lit(None).cast("string"))
