@@ -7,12 +7,16 @@ embeddings. Positions are sampled consistently: a position has the level of the
 of n characters keeps the positions of level log2(n / SAMPLES) and more, so any two texts share the coarser one's
 positions, whatever their lengths. The fingerprint is the level and a hex digit for each kept position.
 
-`search` looks similar texts up: bit samples of the fingerprint form bands, rows that share a band are candidates, and
-the fingerprints' likeness and then the edit distance itself verify them.
+`search` looks similar texts up. Each band samples BAND neighbouring steps of the embedding, at a place chosen by hash
+over the whole length of the text, which walks forwards and backwards: the places of a level are shared by all texts of
+about one length, so an edit anywhere leaves most of the others as they were. Rows that share a band are candidates; the fingerprints' likeness and
+then the edit distance itself verify them. A band value that more than HOT documents share is split by further steps of
+the embedding; texts that are equal are one candidate, whatever their number.
 
 Defined results: a null text is an empty one, with an empty fingerprint; two empty texts have likeness 1, an empty and
 another one 0; equal texts have equal fingerprints. The next document follows in the order (doc_id, text), a null
-doc_id first; a single row's next document is itself. Other columns are not read.
+doc_id first; a single row's next document is itself; a very long text is handled whole, in memory of about 30 times its
+characters. Other columns are not read.
 """
 
 from __future__ import annotations
@@ -32,7 +36,10 @@ PERIOD = 4096
 KINDS = 64
 SAMPLES = 128
 SLICE = 16 << 20
-BANDS, BAND = 24, 6
+#: Bands of a text's level (about), and the neighbouring steps that each reads.
+BANDS, BAND = 48, 14
+#: Documents of unlike texts that share a band's value, from which on the value is split by as many steps again.
+HOT = 256
 
 
 @cache
@@ -257,45 +264,82 @@ def with_next(docs: DataFrame) -> DataFrame:
     return in_order(docs).mapInArrow(C.released(run), RESULT)
 
 
-def banded(prints: DataFrame, name: str) -> DataFrame:
-    """The rows of prints once for each band, at their own level and the next coarser one."""
+def band_level(n: int) -> int:
+    """The level at which a text of n characters has about BANDS to 2 x BANDS places."""
+    return max(0, int(n // BANDS).bit_length() - 1) if n else 0
+
+
+def banded(texts: DataFrame) -> DataFrame:
+    """texts (x, text) as (x, band, value, more): at each place of a text's level and the next coarser one, a hash of the steps there, and of twice as many.
+
+    Each text walks forwards and backwards: behind an edit that shifts the text, walks take long to fall into step again,
+    but before it they never part.
+    """
 
     def run(batches):
         for batch in batches:
-            ids, where, values = [], [], []
-            for i, f in enumerate(batch.column("fingerprint").to_pylist()):
-                level, digits = f.split(":")
-                for k in (int(level, 16), int(level, 16) + 1):
-                    own = digits_at(int(level, 16), digits, k).tobytes()
-                    for b in range(BANDS if own else 0):
-                        rng = np.random.default_rng(b)
-                        ids.append(i)
-                        where.append(k * BANDS + b)
-                        values.append(bytes(own[x] if x < len(own) else 32 for x in rng.integers(0, max(8, SAMPLES // 4), BAND)).decode())
-            yield pa.RecordBatch.from_arrays([batch.column(name).take(pa.array(ids, pa.int64())), pa.array(where, pa.int32()), pa.array(values, pa.string())], names=[name, "band", "value"])
-
-    kind = prints.schema[name].dataType.simpleString()
-    return prints.select(name, "fingerprint").mapInArrow(C.released(run), f"{name} {kind}, band int, value string")
+            for part in C.slices(batch, SLICE >> 3):
+                own = [t or "" for t in part.column("text").to_pylist()]
+                own = [*own, *(t[::-1] for t in own)]
+                cp, offs = code_points(own)
+                kinds, digits = kinds_and_digits(cp)
+                at, end = steps(kinds, offs[:-1], offs[1:], np.zeros(len(own), np.int64))
+                out: list[list] = [[], [], [], []]
+                for i, (lo, hi) in enumerate(zip(offs[:-1], offs[1:], strict=True)):
+                    if hi == lo:
+                        continue
+                    # the characters that the embedding shows, step by step
+                    shown = np.repeat(cp[lo:hi], np.diff(np.append(at[lo:hi], end[i]))).astype(np.uint64)
+                    key = C.grams(C.mix(np.append(shown, np.zeros(2 * BAND, np.uint64)) + np.uint64(1)), BAND)
+                    for level in (band_level(hi - lo), band_level(hi - lo) + 1):
+                        place = positions(level, len(shown))
+                        value = C.mix(key[place] + np.uint64(level))
+                        out[0].append(np.full(len(place), i % part.num_rows))
+                        out[1].append(2 * place + i // part.num_rows)
+                        out[2].append(value)
+                        out[3].append(C.mix(value + C.BASE * key[place + BAND]))
+                if out[0]:
+                    i, place, value, more = (np.concatenate(c) for c in out)
+                    yield pa.RecordBatch.from_arrays([part.column("x").take(pa.array(i)), pa.array(place, pa.int64()), pa.array(C.signed(value)), pa.array(C.signed(more))], names=["x", "band", "value", "more"])
+
+    return texts.mapInArrow(C.released(run), "x string, band long, value long, more long")
+
+
+def candidates(q: DataFrame, d: DataFrame) -> DataFrame:
+    """(query, x) of unlike texts that share a band's value; q and d: written, x and text, each text once."""
+    a, b = C.written(banded(q).withColumnRenamed("x", "query")), C.written(banded(d))
+    hot = C.written(b.groupBy("band", "value").agg(F.count("*").alias("n")).where(F.col("n") > HOT).select("band", "value"))
+    split = lambda rows: rows.join(hot, ["band", "value"], "left_semi").select(rows.columns[0], "band", F.col("more").alias("value"))
+    whole = lambda rows: rows.join(hot, ["band", "value"], "left_anti").drop("more")
+    pairs = whole(a).join(whole(b), ["band", "value"]).select("query", "x").unionByName(split(a).join(split(b), ["band", "value"]).select("query", "x"))
+    return C.written(pairs.where("query != x").distinct())
 
 
 def search(queries: DataFrame, docs: DataFrame, least: float = 0.8) -> DataFrame:
     """(query_id, doc_id, likeness, distance) of documents whose edit distance from a query is at most (1 - least) x its length.
 
     Both sides have doc_id and text; a query doesn't find its own doc_id. An approximate search: a pair is found if the
-    fingerprints share a band.
+    texts share a band. Of texts of 100 characters and more with up to a tenth of their characters edited, more than
+    nine in ten pairs are found, wherever the edits stand (measured in the tests); nearer the bound, or in shorter texts, fewer.
     """
     alike = F.pandas_udf(lambda a, b: a.combine(b, likeness), T.DoubleType())
-    q = queries.select(F.col("doc_id").alias("query_id"), F.coalesce("text", F.lit("")).alias("query_text"))
-    d = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    qf = fingerprints(q.select(F.col("query_id").alias("doc_id"), F.col("query_text").alias("text"))).withColumnRenamed("doc_id", "query_id")
-    df = fingerprints(d)
-    pairs = banded(qf, "query_id").join(banded(df, "doc_id"), ["band", "value"]).where("query_id != doc_id").select("query_id", "doc_id").distinct()
-    pairs = pairs.join(qf, "query_id").join(df.withColumnRenamed("fingerprint", "other"), "doc_id").withColumn("likeness", alike("fingerprint", "other")).where(F.col("likeness") >= least - 0.25)
-    pairs = pairs.join(q, "query_id").join(d, "doc_id")
+    text = F.coalesce("text", F.lit(""))
+    q = C.written(queries.select(F.col("doc_id").alias("query_id"), F.sha2(text, 256).alias("query"), text.alias("query_text")))
+    d = C.written(docs.select("doc_id", F.sha2(text, 256).alias("x"), text.alias("text")))
+    of_q = C.written(q.groupBy(F.col("query").alias("x")).agg(F.first("query_text").alias("text")))
+    of_d = C.written(d.groupBy("x").agg(F.first("text").alias("text")))
+    prints = lambda rows, key, name: fingerprints(rows.select(F.col("x").alias("doc_id"), "text")).select(F.col("doc_id").alias(key), F.col("fingerprint").alias(name))
+    pairs = candidates(of_q, of_d).join(prints(of_q, "query", "one"), "query").join(prints(of_d, "x", "other"), "x")
+    pairs = pairs.withColumn("likeness", alike("one", "other")).where(F.col("likeness") >= least - 0.7)
+    pairs = pairs.join(of_q.select(F.col("x").alias("query"), F.col("text").alias("query_text")), "query").join(of_d, "x")
     allowed = F.floor((1 - least) * F.length("query_text")).cast("int")
     # the built-in edit distance, only for pairs whose lengths allow it
     near = pairs.where(F.abs(F.length("text") - F.length("query_text")) <= allowed).withColumn("distance", F.levenshtein("query_text", "text"))
-    return near.where(F.col("distance") <= allowed).select("query_id", "doc_id", "likeness", "distance")
+    near = near.where(F.col("distance") <= allowed).select("query", "x", "likeness", "distance")
+    same = of_q.join(of_d.select("x"), "x").select(F.col("x").alias("query"), "x", F.lit(1.0).alias("likeness"), F.lit(0).alias("distance"))
+    found = C.written(near.unionByName(same))
+    out = q.select("query_id", "query").join(found, "query").join(d.select("doc_id", "x"), "x")
+    return out.where(~F.col("query_id").eqNullSafe(F.col("doc_id"))).select("query_id", "doc_id", "likeness", "distance")
 
 
 def op3_edit_fingerprints(spark, sf_dir) -> DataFrame:

@@ -5,6 +5,7 @@ import re
 from hashlib import sha256
 
 import duckdb
+import numpy as np
 import pytest
 
 from tallyloom.llm import common as C
@@ -199,11 +200,50 @@ def test_fingerprints_of_odd_documents(spark, odd, nothing):
     assert len(one) == 1 and one[0]["near_next"] == 1.0
 
 
+def plain_embedding(text):
+    """The walk as its description says, a step at a time."""
+    out, i, j = [], 0, 0
+    while i < len(text):
+        out.append(text[i])
+        kind = int(editprint.kinds_and_digits(np.array([ord(text[i])], np.uint32))[0][0])
+        x = (j % editprint.PERIOD) * editprint.KINDS + kind + 1
+        for shift, factor in ((33, 0xFF51AFD7ED558CCD), (33, 0xC4CEB9FE1A85EC53), (33, 1)):
+            x = ((x ^ (x >> shift)) * factor) & (1 << 64) - 1
+        i += (x >> 40) & 1
+        j += 1
+    return out
+
+
+def test_fingerprints_against_a_plain_walk():
+    rng = random.Random(2)
+    for n in (1, 7, 130, 300, 1500):
+        text = "".join(rng.choice("abcdefghij \u00e9\U0001f600") for _ in range(n))
+        shown = plain_embedding(text)
+        level = editprint.level_of(n)
+        kept = [j for j in range(len(shown)) if editprint.levels(len(shown))[j] >= level]
+        digit = [int(editprint.kinds_and_digits(np.array([ord(shown[j])], np.uint32))[1][0]) for j in kept]
+        assert next(editprint.described([text], [""]))[1] == f"{level:x}:" + "".join(f"{d:x}" for d in digit)
+
+
 def test_search_finds_edited_texts(spark):
     rng = random.Random(5)
-    text = lambda: "".join(rng.choice("abcdefghij ") for _ in range(400))
-    docs = [(i, text()) for i in range(30)]
-    near = [(100 + i, t[:200] + "xyz" + t[201:]) for i, t in docs[:10]]
-    spread = lambda rows: spark.createDataFrame(rows, "doc_id long, text string")
-    got = {(r["query_id"], r["doc_id"]) for r in editprint.search(spread(docs[:10]), spread(docs + near)).collect()}
-    assert got == {(i, 100 + i) for i in range(10)}
+    letters = "eeeettaaooiinnsshhrrdlcumwfgypb      "
+    docs = [(i, "".join(rng.choice(letters) for _ in range(rng.choice((150, 400, 2000))))) for i in range(60)]
+    near, kind_of = [], {}
+    for i, t in docs[:45]:
+        m = len(t) // 10
+        for k, kind in enumerate(("start", "middle", "end", "spread")):
+            at = {"start": range(m), "middle": range(len(t) // 2, len(t) // 2 + m), "end": range(len(t) - m, len(t)), "spread": rng.sample(range(len(t)), m)}[kind]
+            new = list(t)
+            for x in at:
+                new[x] = rng.choice((rng.choice(letters), rng.choice(letters), "", rng.choice(letters) * 2))
+            near.append((1000 * (k + 1) + i, "".join(new)))
+            kind_of[i, 1000 * (k + 1) + i] = kind
+    rows = lambda x: spark.createDataFrame(x, "doc_id long, text string")
+    copies = [(9000 + k, docs[50][1]) for k in range(300)]
+    got = {(r["query_id"], r["doc_id"]) for r in editprint.search(rows(docs), rows(docs + near + copies + [(9999, None)])).collect()}
+    for kind in ("start", "middle", "end", "spread"):
+        want = {p for p, k in kind_of.items() if k == kind}
+        assert len(want & got) >= 0.9 * len(want), (kind, len(want & got), len(want))
+    assert {d for q, d in got if q == 50} == {d for d, _ in copies}
+    assert all((d % 1000 == q and d < 9000) or (q == 50 and d >= 9000) for q, d in got)
