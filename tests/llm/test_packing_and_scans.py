@@ -84,13 +84,29 @@ def test_licences(spark):
 
 def test_licences_of_odd_documents(spark, odd, nothing):
     assert licenses.scan(nothing).count() == 0
-    extra = [(60, "Copyright Somebody. All rights reserved.\nMore"), (61, "The license plate of the car was found"), (62, "SPDX-License-Identifier: MIT\nPermission is hereby granted, free of charge, to any person obtaining a copy"), (63, "the court heard the copyright case of the author")]
+    extra = [(60, "Copyright Somebody. All rights reserved.\nMore"), (61, "The license plate of the car was found"), (62, "SPDX-License-Identifier: MIT\n\nPermission is hereby granted, free of charge, to any person obtaining a copy"), (63, "the court heard the copyright case of the author")]
     rows = odd.select("doc_id", "text").unionByName(spark.createDataFrame(extra, "doc_id long, text string"))
     got = {r["doc_id"]: r for r in licenses.scan(rows).collect()}
     assert [got[i]["families"] for i in (1, 2, 3, 60, 61, 62, 63)] == ["", "", "", "Proprietary", "", "MIT", ""]
     assert got[62]["n_licensed"] == 2
 
 
+def test_licences_beyond_the_tables(spark):
+    docs = spark.read.parquet(f"{DIR}/documents.parquet").select("doc_id", "text")
+    texts = {
+        "MIT licensed, see the file.": "MIT", "Some words before it. Licensed under the GPL.": "GPL", "You may use it under the BSD-3 license": "BSD",
+        "# The above copyright notice and this permission notice\n# shall be included in all copies or substantial portions of the Software.": "MIT",
+        "This program comes under the terms of the GNU General Public\nLicense as published by the Free Software Foundation.": "GPL",
+        "Unauthorized copying of this file, via any medium, is strictly prohibited.": "Proprietary",
+        "Dual licensed: released under the MIT License, or licensed under the Apache License, Version 2.0, as you like": "Apache-2.0,MIT",
+        "The license of the driver was taken away at the station.": "", "All the lakes need permission to fish there, and a permit costs little.": "", "licence": "",
+        "He said that copyright law is hard.\n\nThe mit was cold.": "",
+    }
+    extra = spark.createDataFrame([(10**6 + i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    got = {r["doc_id"]: r["families"] for r in licenses.scan(docs.unionByName(extra)).collect()}
+    assert [got[10**6 + i] for i in range(len(texts))] == list(texts.values())
+
+
 def luhn(x):
     d = [int(c) for c in re.sub(r"\D", "", x)][::-1]
     return (sum(d[::2]) + sum(sum(divmod(2 * c, 10)) for c in d[1::2])) % 10 == 0
