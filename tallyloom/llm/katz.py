@@ -9,10 +9,13 @@ all words exactly 1: the mass that h's seen pairs leave, over the mass that they
 kept for the unseen, so the mass is never 0. Two kinds of counts are stored: of words and of pairs of words, all of
 them, in a table with a row for each hash bucket. Nothing is pruned.
 
-The CACHE most frequent words are broadcast with their counts. Which words these are changes costs, not results.
+The CACHE most frequent words and up to HOT frequent pairs of them are broadcast with their counts. Which words and pairs
+these are changes costs, not results: the words come from the counts of all, the pairs from a sample of at most about
+SAMPLE documents; then both are counted in all training documents. A cached pair is scored where it stands and never
+sent anywhere, so no bucket meets one that stands in a large part of all documents.
 
-How it runs: words are counted; then every document is read again and each slice of documents sends its distinct pairs,
-with the documents that hold them, to a bucket: pairs of cached words to that of the first word (frequent first words
+How it runs: words and cached pairs are counted; then every document is read again and each slice of documents sends its
+distinct pairs, with the documents that hold them, to a bucket, of which there are as many as hold BUCKET tokens each: pairs of cached words to that of the first word (frequent first words
 are spread over several buckets by the second), pairs with a second word outside the cache to the second word's, others
 to the first word's. The bucket counts the training documents among them (and so the words outside the cache, each of
 which it sees with all its pairs), stores its counts, and answers each slice with sums by document. What needs the
@@ -24,7 +27,8 @@ its own share g d(c(w)) c(w) / N; the query doesn't use it.
 
 Defined results: a null or empty text, or one of white space, is its end token alone; without training documents N and
 V are 0, and every word is unknown; repeated rows are counted and scored as often as they stand there; ties need no
-order. Words are identified by 64-bit hashes. Other columns are not read.
+order; a very long text is handled whole, in memory of about 200 bytes a token. Words are identified by 64-bit hashes.
+Other columns are not read.
 """
 
 from __future__ import annotations
@@ -42,6 +46,9 @@ from . import common as C
 CACHE = 1 << 18
 CUT = 5
 GATHER = 2_000_000
+HOT, SAMPLE = 1 << 16, 10_000
+#: Tokens of a bucket (about): what a task holds at once, whatever the corpus.
+BUCKET = 1_500_000
 #: The end of a text, as a token.
 END = np.uint64(0xE4D0F7E87)
 RARE = np.uint64(1) << np.uint64(63)
@@ -63,27 +70,61 @@ def tokens(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return out, docs
 
 
-def word_counts(texts: DataFrame) -> DataFrame:
-    """Written: (w, c) of all words of texts."""
+def gathered(batches) -> Iterator[np.ndarray]:
+    """The tokens of texts, at most about GATHER at once."""
+    held, size = [], 0
+    for batch in batches:
+        for part in C.slices(batch):
+            held.append(tokens(*C.utf8(part.column("text")))[0])
+            size += len(held[-1])
+            if size > GATHER:
+                yield np.concatenate(held)
+                held, size = [], 0
+    if held:
+        yield np.concatenate(held)
+
+
+def pair_keys(w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The token before each, and a key of both; before a text's first token stands the end of another."""
+    first = np.append(END, w[:-1])
+    return first, C.mix(first * C.BASE + w)
+
+
+def frequent_pairs(texts: DataFrame) -> np.ndarray:
+    """Rows (key, first, second) of at most HOT pairs that are frequent in a sample of texts, by key."""
 
     def count(batches):
-        held, size = [], 0
+        for w in gathered(batches):
+            first, key = pair_keys(w)
+            _, at, c = np.unique(key, return_index=True, return_counts=True)
+            at, c = at[c > CUT], c[c > CUT]
+            yield pa.RecordBatch.from_arrays([pa.array(C.signed(x[at])) for x in (key, first, w)] + [pa.array(c, pa.int64())], names=["key", "first", "second", "c"])
 
-        def out():
-            w, c = np.unique(np.concatenate(held), return_counts=True)
-            return pa.RecordBatch.from_arrays([pa.array(C.signed(w)), pa.array(c, pa.int64())], names=["w", "c"])
+    share = int((1 << 20) * min(1.0, SAMPLE / max(texts.count(), 1)))
+    some = texts.select("text").where(F.pmod(F.xxhash64("text"), F.lit(1 << 20)) < share)
+    found = some.mapInArrow(C.released(count), "key long, first long, second long, c long").groupBy("key", "first", "second").agg(F.sum("c").alias("c"))
+    top = found.orderBy(F.desc("c"), "key").limit(HOT).select("key", "first", "second").toPandas().to_numpy(np.int64).reshape(-1, 3).view(np.uint64)
+    return top[np.argsort(top[:, 0])]
+
+
+def counts(texts: DataFrame, pairs: np.ndarray) -> DataFrame:
+    """Written, a folder for each kind: (w, c) of all words of texts (kind 0), and of the given pairs by their keys (kind 1)."""
+    shared = texts.sparkSession.sparkContext.broadcast(pairs[:, 0].copy())
+
+    def count(batches):
+        for w in gathered(batches):
+            _, key = pair_keys(w)
+            for kind, values in enumerate((w, key[holds(shared.value, key)])):
+                values, c = np.unique(values, return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(values), kind, np.int8)), pa.array(C.signed(values)), pa.array(c, pa.int64())], names=["kind", "w", "c"])
+
+    rows = texts.select("text").mapInArrow(C.released(count), "kind byte, w long, c long").groupBy("kind", "w").agg(F.sum("c").alias("c"))
+    return C.written(rows, partition_by="kind")
 
-        for batch in batches:
-            for part in C.slices(batch):
-                held.append(tokens(*C.utf8(part.column("text")))[0])
-                size += len(held[-1])
-                if size > GATHER:
-                    yield out()
-                    held, size = [], 0
-        if held:
-            yield out()
 
-    return C.written(texts.select("text").mapInArrow(C.released(count), "w long, c long").groupBy("w").agg(F.sum("c").alias("c")))
+def holds(keys: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """Which values are among sorted keys."""
+    return keys[np.minimum(np.searchsorted(keys, values), len(keys) - 1)] == values if len(keys) else np.zeros(len(values), bool)
 
 
 def discounts(n: list[int]) -> np.ndarray:
@@ -99,14 +140,17 @@ def discounts(n: list[int]) -> np.ndarray:
 class Unigrams:
     """The word level of the model; its arrays have at most vocabulary + 2 entries. open: words outside it stand for themselves."""
 
-    def __init__(self, counts: DataFrame, vocabulary: int, open: bool):
+    def __init__(self, table: DataFrame, vocabulary: int, open: bool, pairs: np.ndarray):
+        """table: see counts; pairs: those that are counted there."""
         self.open = open
+        counts = table.where("kind = 0").select("w", "c")
         end = int(END.view(np.int64))
         level = F.when(F.col("c") < 65536, F.col("c")).otherwise(65536 + F.floor(256 * F.log2("c"))).cast("long")
         words = counts.withColumn("level", level)
         # one row for each count below 65536 and for each 256th of a doubling above
         hist = sorted((r["level"], r["v"], r["n"]) for r in words.groupBy("level").agg(F.count("*").alias("v"), F.sum("c").alias("n")).collect())
         self.n, self.v = sum(x[2] for x in hist), sum(x[1] for x in hist)
+        self.scale = float(np.log10(self.n + 0.5 * (self.v + 1)))
         exact = {k: v for k, v, _ in hist}
         self.d = discounts([0, *(exact.get(r, 0) for r in range(1, CUT + 2))])
         least, size = 1 << 40, 0
@@ -132,6 +176,14 @@ class Unigrams:
             p[0], p[-1] = 0.5, 0.5
             self.unknown = 0.5
         self.p = p
+        # cached pairs, as first symbol x size + second; seldom ones are left to the buckets, which discount them
+        hot = table.where(f"kind = 1 AND c > {CUT + 1}").select("w", "c").toPandas()
+        at = np.searchsorted(pairs[:, 0], hot["w"].to_numpy(np.int64).view(np.uint64))
+        first, second, c = self.ids(pairs[at, 1]), self.ids(pairs[at, 2]), hot["c"].to_numpy(np.int64)
+        known = (first != self.size - 1) & (second != self.size - 1)
+        key = (first * self.size + second)[known].astype(np.uint64)
+        order = np.argsort(key)
+        self.hot, self.hot_count = key[order], c[known][order]
 
     def discounted(self, c: np.ndarray) -> np.ndarray:
         c = np.asarray(c)
@@ -147,7 +199,7 @@ class Unigrams:
 #: What slices send to buckets. kind 0: pairs of symbols, and in a model with a class its words (docs: twice the document's
 #: number in the slice, plus 1 if it is in training), then pairs with a word outside the cache (first, second: the symbol, or
 #: the word's hash); kind 1: the slice's documents, with what the slice knows itself.
-SENT = "bucket int, slice long, kind byte, keys array<long>, lens array<int>, docs array<int>, first array<long>, second array<long>, open_lens array<int>, open_docs array<int>, ids array<long>, held array<boolean>, n array<int>, known array<int>, base array<double>"
+SENT = "bucket int, slice long, kind byte, keys array<long>, lens array<int>, docs array<int>, first array<long>, second array<long>, open_lens array<int>, open_docs array<int>, ids array<long>, held array<boolean>, n array<int>, known array<int>, base array<double>, score array<double>"
 #: What buckets write. kind 0: sums by document of a slice; kind 1: as sent; kind 2: counts of counts; kind 3: sums by first
 #: word; kind 4: counts of pairs; kind 5: counts of pairs whose first word is outside the cache (mass: the second one's p);
 #: kind 6: documents of a slice and first words outside the cache of their unseen pairs; kind 7: counts of pairs of a cached
@@ -211,7 +263,7 @@ def sent(docs: DataFrame, held_out: Column, model, n_buckets: int) -> DataFrame:
     def run(batches):
         u = shared.value
         spread = np.maximum(1, np.ceil(u.count * 4 * n_buckets / max(u.n, 1))).astype(np.uint64)
-        log_base = np.log10(u.count + 0.5)
+        log_base = np.log10(u.count + 0.5) - u.scale
         task, turn = TaskContext.get().partitionId(), 0
         size, rare_id = np.uint64(u.size), u.size - 1
         for batch in batches:
@@ -225,18 +277,21 @@ def sent(docs: DataFrame, held_out: Column, model, n_buckets: int) -> DataFrame:
                 h[1:] = i[:-1]  # before a text's first token stands the end of another
                 iu, hu = i.astype(np.uint64), h.astype(np.uint64)
                 rare = i == rare_id
+                pair = hu * size + iu
+                hot = holds(u.hot, pair)
+                c = u.hot_count[np.searchsorted(u.hot, pair[hot])]
                 before = np.roll(rare, 1)
                 before[:1] = False
-                plain = ~(rare | before) if u.open else np.ones(len(i), bool)
+                plain = ~(rare | before | hot) if u.open else ~hot
                 alone = np.zeros_like(rare) if u.open else rare
-                key = np.concatenate([(hu * size + iu)[plain], w[alone] | RARE])
+                key = np.concatenate([pair[plain], w[alone] | RARE])
                 bucket = np.concatenate([C.mix((hu[plain] << np.uint64(24)) + iu[plain] % spread[h[plain]]), C.mix(w[alone])]) % np.uint64(n_buckets)
                 n_docs = part.num_rows
                 found = {}
                 for b, (k,), lens, docs in runs(bucket, [key], holders(held, np.concatenate([doc[plain], doc[alone]])), n_buckets):
                     found[b] = {"keys": C.signed(k), "lens": lens, "docs": docs}
                 if u.open:
-                    at = np.flatnonzero(~plain)
+                    at = np.flatnonzero(rare | before)
                     second = np.where(rare[at], w[at], iu[at])
                     first = np.where(before[at], w[at - 1], hu[at])
                     bucket = C.mix(np.where(rare[at], second, first)) % np.uint64(n_buckets)
@@ -245,7 +300,7 @@ def sent(docs: DataFrame, held_out: Column, model, n_buckets: int) -> DataFrame:
                 found = [{"bucket": b, "slice": number, "kind": 0, **x} for b, x in found.items()]
                 known = np.bincount(doc[~rare & (u.count[i] > 0)], minlength=n_docs)
                 base = np.bincount(doc[~rare], weights=log_base[i[~rare]], minlength=n_docs)
-                found.append({"bucket": number % n_buckets, "slice": number, "kind": 1, "ids": part.column("doc_id").fill_null(NO_ID).to_numpy(zero_copy_only=False), "held": held, "n": np.bincount(doc, minlength=n_docs), "known": known, "base": base})
+                found.append({"bucket": number % n_buckets, "slice": number, "kind": 1, "ids": part.column("doc_id").fill_null(NO_ID).to_numpy(zero_copy_only=False), "held": held, "n": np.bincount(doc, minlength=n_docs), "known": known, "base": base, "score": np.bincount(doc[hot], weights=np.log10(c) - np.log10(u.count[h[hot]] + 1), minlength=n_docs)})
                 yield from rows(SENT, found).to_batches()
 
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", held_out.alias("held"))
@@ -293,7 +348,7 @@ class Others:
         # what a first word outside the cache divides by comes from its own bucket, where it is the second word
         self.value = np.where(seen, np.log10(np.maximum(self.c, 1)) - np.where(self.cached, np.log10(u.count[h] + 1), 0.0), np.log10(self.p))
         self.value -= np.where(self.rare, np.log10(total + 1), 0.0)
-        self.base = np.where(self.rare, np.log10(total + 0.5), 0.0)
+        self.base = np.where(self.rare, np.log10(total + 0.5) - u.scale, 0.0)
         self.known = self.rare & (total > 0)
 
     def answer(self, r: int) -> dict[str, np.ndarray]:
@@ -329,7 +384,7 @@ def answered(received: DataFrame, model) -> DataFrame:
         kind = np.asarray(table.column("kind"))
         for r in np.flatnonzero(kind == 1):
             row = table.slice(r, 1)
-            yield from rows(TABLE, [{"slice": row["slice"][0].as_py(), "kind": 1, **{c: lists(row[c])[0] for c in ("ids", "held", "n", "known", "base")}}]).to_batches()
+            yield from rows(TABLE, [{"slice": row["slice"][0].as_py(), "kind": 1, **{c: lists(row[c])[0] for c in ("ids", "held", "n", "known", "base", "score")}}]).to_batches()
         own = table.filter(pa.array(kind == 0)).select(["slice", "keys", "lens", "docs", "first", "second", "open_lens", "open_docs"])
         del table
         number = np.asarray(own.column("slice"))
@@ -347,7 +402,7 @@ def answered(received: DataFrame, model) -> DataFrame:
             # pairs seen, without their discount; pairs unseen, without their backoff weight; rare words within their class
             value = np.where(pair, np.where(seen, np.log10(np.maximum(c, 1)) - np.log10(u.count[h] + 1), log_p[w]), np.where(seen, np.log10(u.g * u.discounted(np.maximum(c, 1))), np.log10(u.unknown)) - log_p[-1])
         level = np.where(pair & seen & (c <= CUT), c, 0)
-        base = np.where(pair, 0.0, np.log10(c + 0.5))
+        base = np.where(pair, 0.0, np.log10(c + 0.5) - u.scale)
         more = Others(own, u)
         del own
         for r in range(len(number)):
@@ -379,16 +434,17 @@ def answered(received: DataFrame, model) -> DataFrame:
 
 def backoff(table: DataFrame, u: Unigrams) -> tuple[np.ndarray, np.ndarray]:
     """Discounts of pairs, and log10 a(h) for each symbol."""
-    n = np.sum([r["keys"] for r in table.where("kind = 2").select("keys").collect()] or [[0] * (CUT + 2)], axis=0)
-    d = discounts([int(x) for x in n])
+    n = {r["r"]: r["n"] for r in table.where("kind = 2").select(F.posexplode("keys").alias("r", "n")).groupBy("r").agg(F.sum("n").alias("n")).collect()}
+    d = discounts([int(n.get(r, 0)) for r in range(CUT + 2)])
     part = table.where("kind = 3").select("keys", "seen", "mass", F.posexplode("keys").alias("i", "h"))
     discounted = sum((F.try_element_at("seen", F.col("i") * CUT + r).cast("double") * float(d[r] * r) for r in range(1, CUT + 1)), F.try_element_at("mass", F.col("i") + 1))
     part = part.select("h", discounted.alias("c"), F.try_element_at("mass", F.size("keys") + F.col("i") + 1).alias("p"))
     got = part.groupBy("h").agg(F.sum("c").alias("c"), F.sum("p").alias("p")).toPandas()  # at most one row for each symbol
-    left, free = np.ones(u.size), np.ones(u.size)
-    h = got["h"].to_numpy(np.int64)
-    left[h] = 1 - got["c"].to_numpy() / (u.count[h] + 1)
-    free[h] = 1 - got["p"].to_numpy()
+    h, (hot_first, hot_second) = got["h"].to_numpy(np.int64), np.divmod(u.hot.astype(np.int64), u.size)
+    taken, mass = (np.bincount(hot_first, weights=x, minlength=u.size).astype(np.float64) for x in (u.hot_count, u.p[hot_second]))
+    taken[h] += got["c"].to_numpy()
+    mass[h] += got["p"].to_numpy()
+    left, free = 1 - taken / (u.count + 1), 1 - mass
     return d, np.log10(np.maximum(left, 1e-300)) - np.log10(np.maximum(free, 1e-12))
 
 
@@ -411,15 +467,15 @@ RESULT = "doc_id long, held_out boolean, n_tokens long, n_known long, train_toke
 
 def summed(table: DataFrame, u: Unigrams, d: np.ndarray, log_a: np.ndarray) -> DataFrame:
     """The result rows of each slice's documents."""
-    total, scale = u.n, float(np.log10(u.n + 0.5 * (u.v + 1)))
+    total = u.n
     shared = table.sparkSession.sparkContext.broadcast((np.log10(d[1:]), log_a))
 
     def add(part: pa.Table) -> pa.Table:
         log_d, log_a = shared.value
         kind = np.asarray(part.column("kind"))
         top = part.slice(int(np.flatnonzero(kind == 1)[0]), 1)
-        ids, held, n, known, base = (lists(top[c])[0] for c in ("ids", "held", "n", "known", "base"))
-        known, base, score = known.astype(np.int64), base.astype(np.float64), np.zeros(len(n))
+        ids, held, n, known, base, score = (lists(top[c])[0] for c in ("ids", "held", "n", "known", "base", "score"))
+        known, base, score = known.astype(np.int64), base.astype(np.float64), score.astype(np.float64)
         own = part.filter(pa.array(kind == 0))
         columns = {c: lists(own[c]) for c in ("score", "base", "known", "seen", "docs", "keys")}
         of = lambda c, r: columns[c][0][columns[c][1][r] : columns[c][1][r + 1]]
@@ -432,7 +488,7 @@ def summed(table: DataFrame, u: Unigrams, d: np.ndarray, log_a: np.ndarray) -> D
         for r in np.flatnonzero(kind == 6):
             own = part.slice(r, 1)
             score += np.bincount(lists(own["docs"])[0].astype(np.int64), weights=lists(own["score"])[0], minlength=len(n))
-        out = [pa.array(ids, pa.int64(), mask=ids == NO_ID), pa.array(held.astype(bool)), pa.array(n, pa.int64()), pa.array(known), pa.array(np.full(len(n), total), pa.int64()), pa.array(base - n * scale), pa.array(score)]
+        out = [pa.array(ids, pa.int64(), mask=ids == NO_ID), pa.array(held.astype(bool)), pa.array(n, pa.int64()), pa.array(known), pa.array(np.full(len(n), total), pa.int64()), pa.array(base), pa.array(score)]
         return pa.Table.from_arrays(out, names=[x.split()[0] for x in RESULT.split(", ")])
 
     answers = table.where("kind IN (0, 1)")
@@ -444,8 +500,11 @@ def summed(table: DataFrame, u: Unigrams, d: np.ndarray, log_a: np.ndarray) -> D
 def scored(docs: DataFrame, held_out: Column, vocabulary: int | None = None) -> DataFrame:
     """RESULT for every row, from a model of those that aren't held out; given a vocabulary, with one class of all other words."""
     held_out = F.coalesce(held_out, F.lit(False))  # a null doc_id isn't held out
-    u = Unigrams(word_counts(docs.where(~held_out)), CACHE if vocabulary is None else vocabulary, vocabulary is None)
-    table = answered(sent(docs, held_out, u, C.partitions(docs.sparkSession)), u)
+    training = docs.where(~held_out)
+    pairs = frequent_pairs(training)
+    u = Unigrams(counts(training, pairs), CACHE if vocabulary is None else vocabulary, vocabulary is None, pairs)
+    n = u.n * docs.count() / max(1, training.count())
+    table = answered(sent(docs, held_out, u, max(1, int(n / BUCKET))), u)
     return summed(table, u, *backoff(table, u))
 
 

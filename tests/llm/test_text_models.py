@@ -180,9 +180,10 @@ def test_katz_without_training_documents(spark, odd, nothing):
 
 
 @needs_data
-@pytest.mark.parametrize("cache", [0, 300])
-def test_katz_is_the_same_with_whatever_cache(spark, monkeypatch, cache):
-    monkeypatch.setattr(katz, "CACHE", cache)
+@pytest.mark.parametrize(("cache", "hot", "bucket"), [(0, 1 << 16, 10_000), (300, 50, 3000), (1 << 18, 0, 1 << 30)])
+def test_katz_is_the_same_with_whatever_cache(spark, monkeypatch, cache, hot, bucket):
+    for name, value in (("CACHE", cache), ("HOT", hot), ("BUCKET", bucket)):
+        monkeypatch.setattr(katz, name, value)
     docs = spark.read.parquet(f"{DIR}/documents.parquet")
     want = {r[0]: r for r in brute([(r["doc_id"], r["text"]) for r in docs.collect()], 1 << 60)}
     got = katz.scored(docs, C.remainder("doc_id", 5) == 1).collect()
