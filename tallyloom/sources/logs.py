@@ -13,8 +13,13 @@ BLOCK = "array<struct<type string, text string, name string, input map<string,st
 
 def json_lines(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """Rows of well-formed lines, with path; malformed lines are left out."""
-    # the corrupt column must be read with the others, so the text is parsed here and malformed lines are null
     rows = spark.read.option("recursiveFileLookup", True).text(path).select(F.col("_metadata.file_path").alias("path"), F.monotonically_increasing_id().alias("line"), "value")
+    return parsed_lines(rows, schema)
+
+
+def parsed_lines(rows: DataFrame, schema: str) -> DataFrame:
+    """path, line and the fields of the schema of well-formed lines; rows: path, line, value."""
+    # the corrupt column must be read with the others, so the text is parsed here and malformed lines are null
     parsed = F.from_json("value", f"{schema}, _corrupt string", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"})
     out = rows.where(F.trim("value") != "").withColumn("r", parsed).where("r IS NOT NULL AND r._corrupt IS NULL")
     return out.select("path", "line", "r.*").drop("_corrupt")
