@@ -18,8 +18,8 @@ n - ceil(t n) + 1 shingles. Each such shingle is a neighbourhood. The steps:
 4. Neighbourhoods with members left to be done recurse with a new pivot from these. Members that are already in its
    component, or outside the window that the triangle inequality leaves them by their distances to the last pivot,
    are not compared.
-5. After ROUNDS pivots, the pairs that are still open in small remainders are compared one by one, under the same
-   tests.
+5. After ROUNDS pivots, the pairs that are still open in what remains of a neighbourhood are compared, under the same
+   tests, by groups of at most about REGION x REGION pairs, so that no task holds a large neighbourhood.
 
 So a group of thousands of near copies costs a comparison with its pivot for each member, not all pairs; and a link
 between documents of different components is never lost. Components of all links come last.
@@ -43,6 +43,8 @@ from .components import components
 SHINGLE, PERCENT = 4, 85
 STAGE_SHINGLE, STAGE_PERCENT = 5, 80
 ROUNDS = 2
+#: Members of a neighbourhood's remainder that meet in one group, on either side.
+REGION = 256
 #: Share of documents in which shingles are counted, and how many of the most frequent ones order the rest. Which ones are
 #: known changes costs, not results.
 COUNTED, COMMON = 0.1, 1 << 20
@@ -278,7 +280,7 @@ def links(docs: DataFrame, first: DataFrame, members: DataFrame, shingle: int, p
         best = F.min(F.when(F.col("todo"), F.struct(-F.col("pop"), "x", "n", "at", "component", "d")))
         pivots = members.groupBy("shingle").agg(best.alias("p"), F.min("component").alias("a"), F.max("component").alias("b")).where("p IS NOT NULL AND a != b")
         pivots = pivots.select("shingle", *[F.col(f"p.{c}").alias(a) for c, a in (("x", "y"), ("n", "pn"), ("at", "pat"), ("component", "pc"), ("d", "pd"))])
-        near = C.written(members.join(pivots, "shingle"))
+        near = C.written(C.looked_up(members, C.written(pivots), "shingle", F.col("x")))
         fit = may_link(F.col("n"), F.col("at"), F.col("pn"), F.col("pat"), percent) & within_window(F.col("d"), F.col("pd"), percent)
         pairs = plausible(near.where((F.col("component") != F.col("pc")) & fit).select("x", "y").distinct(), first, percent)
         made = compared(docs, first, pairs, shingle, percent)
@@ -291,11 +293,14 @@ def links(docs: DataFrame, first: DataFrame, members: DataFrame, shingle: int, p
         rest = rest.join(label.select(F.col("node").alias("x"), F.col("label").alias("component")), "x", "left")
         rest = rest.join(label.select(F.col("node").alias("home"), F.col("label").alias("at_home")), "home", "left")
         rest = rest.withColumn("component", F.coalesce("component", "x")).withColumn("todo", F.col("component") != F.coalesce("at_home", "home"))
-        left = rest.groupBy("shingle").agg(F.max("todo").alias("open"), F.count("*").alias("size")).where("open AND size > 1").select("shingle")
-        rest = rest.join(left, "shingle", "left_semi").join(made.select("x", "y", "d"), ["x", "y"], "left")
-        members = C.written(rest.select("shingle", "x", "n", "at", "pop", "component", "todo", "d", "home"))
-    z = members.select("shingle", *[F.col(c).alias(f"z_{c}") for c in ("x", "n", "at", "component", "todo", "d")])
-    pairs = members.where("todo").join(z, "shingle").where((F.col("component") != F.col("z_component")) & (~F.col("z_todo") | (F.col("x") < F.col("z_x"))))
+        left = rest.groupBy("shingle").agg(F.max("todo").alias("open"), F.count("*").alias("size")).where("open AND size > 1").select("shingle", "size")
+        rest = C.looked_up(rest, C.written(left), "shingle", F.col("x")).join(made.select("x", "y", "d"), ["x", "y"], "left")
+        members = C.written(rest.select("shingle", "x", "n", "at", "pop", "component", "todo", "d", "home", (F.floor(F.col("size") / REGION) + 1).cast("int").alias("parts")))
+    # a remainder is dealt into parts; each part meets each other one in a group of its own, which has a bounded size
+    part, parts = F.pmod(F.xxhash64("x"), F.col("parts")).cast("int"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
+    z = members.select("shingle", parts.alias("i"), part.alias("j"), *[F.col(c).alias(f"z_{c}") for c in ("x", "n", "at", "component", "todo", "d")])
+    mine = members.where("todo").select("*", part.alias("i"), parts.alias("j"))
+    pairs = mine.join(z, ["shingle", "i", "j"]).where((F.col("component") != F.col("z_component")) & (~F.col("z_todo") | (F.col("x") < F.col("z_x"))))
     pairs = pairs.where(may_link(F.col("n"), F.col("at"), F.col("z_n"), F.col("z_at"), percent) & within_window(F.col("d"), F.col("z_d"), percent))
     pairs = plausible(pairs.select("x", F.col("z_x").alias("y")).distinct(), first, percent)
     return found.unionByName(compared(docs, first, pairs, shingle, percent).where("link").select("x", "y"))

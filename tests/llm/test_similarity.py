@@ -58,9 +58,11 @@ def components(docs):
     return {i: (i, len(sets[i]), find(i)) for i in ids}
 
 
-@pytest.mark.parametrize("rounds", [1, 2])
-def test_join_against_all_pairs(spark, monkeypatch, rounds):
+@pytest.mark.parametrize(("rounds", "region", "broadcast"), [(1, 2, 0), (2, 256, 200_000)])
+def test_join_against_all_pairs(spark, monkeypatch, rounds, region, broadcast):
     monkeypatch.setattr(ngramjoin, "ROUNDS", rounds)
+    monkeypatch.setattr(ngramjoin, "REGION", region)
+    monkeypatch.setattr(C, "BROADCAST_ROWS", broadcast)
     docs = near_copies(60)
     got = ngramjoin.joined(spark.createDataFrame(docs, "doc_id long, text string").repartition(5)).collect()
     assert sorted(map(tuple, got)) == sorted(components(docs).values())
