@@ -102,7 +102,7 @@ def folded(events: DataFrame) -> DataFrame:
     """STATE of each rule after its events in order: (rule, at, kind, source), kind being violation, activation, day or sleep.
 
     The state after an event depends on the one before, with limits at both ends, so each rule's events are folded one
-    by one; rules are dealt out over tasks. A rule's events of one day are first reduced to what the fold needs.
+    by one; rules are dealt out over tasks. `n` lets a caller give days without events as one row.
     """
 
     def fold(pdf: pd.DataFrame) -> pd.DataFrame:

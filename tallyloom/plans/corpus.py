@@ -271,9 +271,18 @@ def _profiles(spark, sf_dir):
     return table(spark, sf_dir, "documents").select("source", F.explode(words).alias("word"))
 
 
-@query()
+@query("""
+WITH RECURSIVE d AS (SELECT DISTINCT source AS k, word AS i FROM (SELECT source, unnest(regexp_extract_all(lower(text), '[a-z]{9,}')) AS word FROM documents)),
+s AS (SELECT k, count(*) AS n FROM d GROUP BY k), o AS (SELECT list(k ORDER BY n DESC, k) AS l FROM s),
+p AS (SELECT x.k AS a, y.k AS b, count(*) AS shared FROM d x JOIN d y ON x.i = y.i AND x.k <> y.k GROUP BY ALL),
+n AS (SELECT a, list(b) AS near FROM p JOIN s sa ON sa.k = a JOIN s sb ON sb.k = b WHERE round(shared / (sa.n + sb.n - shared), 6) > 0.04 GROUP BY a),
+r(num, members, taken) AS (SELECT CAST(0 AS BIGINT), CAST([] AS VARCHAR[]), CAST([] AS VARCHAR[])
+  UNION ALL SELECT num + 1, m, list_concat(taken, m) FROM (SELECT num, taken, list_filter(free, lambda x: x = free[1] OR list_contains(coalesce(near, []), x)) AS m
+    FROM (SELECT num, taken, list_filter(l, lambda x: NOT list_contains(taken, x)) AS free FROM r, o) f LEFT JOIN n ON n.a = f.free[1] WHERE len(free) > 0))
+SELECT unnest(members) AS source, num AS cluster FROM r WHERE num > 0
+""")
 def source_clusters(spark, sf_dir):
-    """Greedy clusters of sources; a pass in order, which SQL can't write."""
+    """Greedy clusters of sources, which are few: a pass in order."""
     rows = _profiles(spark, sf_dir)
     sizes = rows.distinct().groupBy(F.col("source").alias("k")).agg(F.count("*").alias("n"))
     return C.greedy_clusters(C.profile_overlaps(rows, "source", "word"), sizes, least=0.04)
@@ -305,7 +314,12 @@ def sentence_counts(spark, sf_dir):
     return table(spark, sf_dir, "documents").select("doc_id", F.size(X.sentences(F.col("text"))).cast("long").alias("n_sentences"))
 
 
-@query()
+@query(r"""
+WITH RECURSIVE l AS (SELECT doc_id, list_filter(list_transform(string_split_regex(regexp_replace(text, '([.!?])\s+', '\1' || chr(1), 'g'), chr(1)), lambda x: trim(x)), lambda x: x <> '') AS l FROM documents),
+s AS (SELECT doc_id, i, l[i] AS s, len(list_filter(string_split_regex(l[i], '[ \t\n\f\r]+'), lambda x: x <> '')) AS w FROM (SELECT doc_id, l, unnest(range(1, len(l) + 1)) AS i FROM l)),
+r(doc_id, i, n, chunk) AS (SELECT doc_id, i, w, 0 FROM s WHERE i = 1 UNION ALL SELECT r.doc_id, s.i, CASE WHEN r.n + s.w > 500 THEN s.w ELSE r.n + s.w END, r.chunk + CASE WHEN r.n + s.w > 500 THEN 1 ELSE 0 END FROM r JOIN s ON s.doc_id = r.doc_id AND s.i = r.i + 1)
+SELECT doc_id, chunk, string_agg(s.s, ' ' ORDER BY r.i) AS text FROM r JOIN s USING (doc_id, i) GROUP BY doc_id, chunk
+""")
 def chunk_sentences(spark, sf_dir):
     """Greedy chunks of sentences: each depends on all before it in the text."""
     return C.chunks(table(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -489,9 +503,13 @@ def budgeted_package(spark, sf_dir):
     return table(spark, sf_dir, "documents").select("doc_id", (F.length("text") > 900).alias("cut"), checks.package(sections, 800, ("tail", "head")).alias("package"))
 
 
-@query()
+_KEY = b"key"
+_PADS = ["".join(f"{b ^ pad:02x}" for b in _KEY.ljust(64, b"\0")) for pad in (0x36, 0x5C)]
+
+
+@query(f"SELECT doc_id, sha256(unhex('{_PADS[1]}') || unhex(sha256(unhex('{_PADS[0]}') || encode(text)))) AS signature FROM documents")
 def signed_documents(spark, sf_dir):
-    """A keyed signature of each text; the other side has no such function."""
+    """A keyed signature of each text."""
     from ..operators import checks
 
-    return table(spark, sf_dir, "documents").select("doc_id", checks.signature(F.col("text"), b"key").alias("signature"))
+    return table(spark, sf_dir, "documents").select("doc_id", checks.signature(F.col("text"), _KEY).alias("signature"))

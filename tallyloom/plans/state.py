@@ -106,13 +106,27 @@ def _rule_events(spark, sf_dir):
     return _events(spark, sf_dir).select(F.col("user_id").cast("string").alias("rule"), at.alias("at"), kind.alias("kind"), source.alias("source"), F.lit(1).cast("long").alias("n"))
 
 
-@query()
+_STATES = """
+WITH RECURSIVE e AS (SELECT CAST(user_id AS VARCHAR) AS rule, CASE WHEN event_type = 'purchase' THEN 'violation' WHEN event_type = 'view' THEN 'activation' WHEN event_type = 'error' AND value > 150 THEN 'sleep' ELSE 'day' END AS kind,
+  CAST(CASE WHEN event_id % 2 = 0 THEN 0.15 ELSE 0.06 END AS DOUBLE) AS gain, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS i FROM events),
+r(rule, i, spike, dormant, idle_days, activations, reactivations) AS (
+  SELECT DISTINCT rule, CAST(0 AS BIGINT), CAST(0 AS DOUBLE), FALSE, CAST(0 AS BIGINT), CAST(0 AS BIGINT), CAST(0 AS BIGINT) FROM e
+  UNION ALL SELECT r.rule, e.i,
+    CASE WHEN kind = 'violation' AND dormant THEN CAST(0.2 AS DOUBLE) WHEN kind = 'violation' THEN least(spike + gain, CAST(0.15 AS DOUBLE)) WHEN kind = 'day' THEN CASE WHEN spike - CAST(0.01 AS DOUBLE) <= CAST(0.001 AS DOUBLE) THEN CAST(0 AS DOUBLE) ELSE spike - CAST(0.01 AS DOUBLE) END ELSE spike END,
+    CASE WHEN kind = 'violation' THEN FALSE WHEN kind = 'sleep' THEN TRUE ELSE dormant END,
+    CASE kind WHEN 'activation' THEN 0 WHEN 'day' THEN idle_days + 1 ELSE idle_days END, activations + CASE WHEN kind = 'activation' THEN 1 ELSE 0 END, reactivations + CASE WHEN kind = 'violation' AND dormant THEN 1 ELSE 0 END
+  FROM r JOIN e ON e.rule = r.rule AND e.i = r.i + 1),
+s AS (SELECT rule, spike, dormant, idle_days, activations, reactivations FROM r QUALIFY i = max(i) OVER (PARTITION BY rule))
+"""
+
+
+@query(_STATES + "SELECT * FROM s")
 def rule_state_fold(spark, sf_dir):
     """State after all events: each event's effect depends on the state before it."""
     return R.folded(_rule_events(spark, sf_dir))
 
 
-@query()
+@query(_STATES + "SELECT count(*) AS total, count(*) FILTER (NOT dormant) AS active, count(*) FILTER (dormant) AS dormant, count(*) FILTER (NOT dormant AND spike > 0) AS spiked, count(*) FILTER (NOT dormant AND idle_days >= 60) AS inactive FROM s")
 def rule_lifecycle(spark, sf_dir):
     return R.lifecycle(R.folded(_rule_events(spark, sf_dir)))
 
