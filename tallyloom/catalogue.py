@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from .plans import conversations, corpus, files, pages, quality, schedule, state, usage  # noqa: F401
+from .plans import conversations, corpus, files, pages, quality, retrieval, schedule, state, usage  # noqa: F401
 from .plans.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

@@ -97,7 +97,8 @@ def ranked(docs: DataFrame, terms: Mapping[str, float], weight: Column, recency:
     """doc_id, score, rank of documents that contain a term.
 
     The order is that of match x weight; then the first `top` rows are scored anew as match x recency and sorted among
-    themselves, the rest follows with its match alone. So the dynamic weight decides who is eligible and ties, no more.
+    themselves, and only they are returned (`ranked_all` has the rest, too). So the dynamic weight decides who is eligible
+    and ties, no more.
     """
     found = docs.withColumn("matched", matched(F.col("text"), terms)).where("matched > 0").select("doc_id", "matched", weight.alias("weight"), recency.alias("recency"))
     # only the first rows need a total order among all; a limit finds them without sorting the rest
@@ -107,6 +108,13 @@ def ranked(docs: DataFrame, terms: Mapping[str, float], weight: Column, recency:
     return scored.select("doc_id", "score", F.row_number().over(Window.orderBy(F.desc("score"), "pre")).cast("long").alias("rank"))
 
 
+def ranked_all(docs: DataFrame, terms: Mapping[str, float], weight: Column, recency: Column, top: int = 20) -> DataFrame:
+    """doc_id, bucket, score of all documents that contain a term: the rows of `ranked` in bucket 0, the others in bucket 1 with match x weight; order by bucket, then score. Nothing is sorted as a whole."""
+    head = ranked(docs, terms, weight, recency, top).select("doc_id", F.lit(0).alias("bucket"), "score")
+    found = docs.withColumn("matched", matched(F.col("text"), terms)).where("matched > 0").select("doc_id", F.lit(1).alias("bucket"), (F.col("matched") * weight).alias("score"))
+    return head.unionByName(found.join(F.broadcast(head.select("doc_id")), "doc_id", "left_anti"))  # at most top rows
+
+
 def capped(rows: DataFrame, group: str, order: Sequence[Column], most: int = 3) -> DataFrame:
     """At most so many rows of each group; rows without a group stay."""
     place = F.row_number().over(Window.partitionBy(group).orderBy(*order))
