@@ -24,8 +24,9 @@ def events(spark: SparkSession, path: str, schema, files_per_trigger: int = 16)
 
 
 def sliding_usage(rows: DataFrame, hours: int = 5, step: str = "1 minute", late: str = "10 minutes") -> DataFrame:
-    """start, end, n, total of every window of so many hours, moved by a step."""
-    out = rows.withWatermark("ts", late).groupBy(F.window("ts", f"{hours} hours", step).alias("w")).agg(F.count("*").alias("n"), F.sum("value").alias("total"))
+    """start, end, n, total of every window of so many hours, moved by a step. Events are first summed by step, so that each step, not each event, is copied to the windows that hold it."""
+    steps = rows.withWatermark("ts", late).groupBy(F.window("ts", step).alias("step")).agg(F.count("*").alias("n"), F.sum("value").alias("total"))
+    out = steps.groupBy(F.window(F.window_time("step"), f"{hours} hours", step).alias("w")).agg(F.sum("n").alias("n"), F.sum("total").alias("total"))
     return out.select("w.start", "w.end", "n", "total")
 
 
