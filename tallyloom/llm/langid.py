@@ -7,6 +7,7 @@ The pipeline's stage asks of each text whether the model of its language explain
 likelier under that model than under both of two models of no language, one with all buckets alike (for letters that
 the model never saw) and one with the language's letters in random order (for strings of letters that form no words).
 A text goes if the weight of evidence against its language exceeds a threshold set from a sample of labelled texts.
+Parts with a digit, @ or = (keys, addresses, numbers) are no words and don't count.
 
 Defined results: a null text or one without a letter gives `und` and 0.0; a null language is not learned from; ties go
 to the first language in alphabetical order; with nothing to learn from, every text is `und`; repeated rows get equal
@@ -31,7 +32,9 @@ SMOOTHING = 0.1
 #: Labelled texts that the stage's threshold is set from, at most (about), and the share of them that it keeps.
 CALIBRATION, KEPT = 2000, 0.999
 #: Evidence against a text's language, in natural logarithms, that never suffices to reject it.
-EVIDENCE = 12.0
+EVIDENCE = 20.0
+#: Parts between white space that are no words.
+NO_WORD = r"(?<!\S)[^\s0-9@=]*+[0-9@=]\S*+"
 
 
 @cache
@@ -151,10 +154,12 @@ def scored(data, offs, model) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return np.where(has, best, -1), np.where(has, score, 0.0), np.where(has, evidence, 0.0)
 
 
-def predict(docs: DataFrame, model, keep: list[str]) -> tuple[DataFrame, list[str]]:
-    """Columns keep of docs (under the names given back), then lang_pred, score and evidence."""
+def predict(docs: DataFrame, model, keep: list[str], words_only: bool = False) -> tuple[DataFrame, list[str]]:
+    """Columns keep of docs (under the names given back), then lang_pred, score and evidence; of words only, by NO_WORD, if so wished."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
     rows, names = C.numbered(docs, keep)
+    if words_only:
+        rows = rows.withColumn("text", F.regexp_replace("text", NO_WORD, " "))
     schema = ", ".join([*(f"{n} {rows.schema[n].dataType.simpleString()}" for n in names), "lang_pred string", "score double", "evidence double"])
 
     def score(batches):
@@ -186,7 +191,7 @@ def threshold(labelled: DataFrame, model) -> float:
     some = labelled.where("lang IS NOT NULL AND text IS NOT NULL").select("text")
     n = some.count()
     share = int((1 << 20) * min(1.0, CALIBRATION / max(n, 1)))
-    judged, _ = predict(some.where(F.pmod(F.xxhash64("text"), F.lit(1 << 20)) < share), model, [])
+    judged, _ = predict(some.where(F.pmod(F.xxhash64("text"), F.lit(1 << 20)) < share), model, [], words_only=True)
     found = judged.where("lang_pred != 'und'").agg(F.percentile("evidence", 1 - KEPT)).first()[0]
     return min(-EVIDENCE, found if found is not None else -EVIDENCE)
 
@@ -198,11 +203,12 @@ def stage_language(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """
     labelled = docs.where(F.coalesce(C.remainder("doc_id", 4) != 2, F.lit(True)))
     model = train(labelled)
+    lettered = docs.where(F.coalesce(F.col("`text`").rlike(r"\p{L}"), F.lit(False)))
     if not model[0]:
-        lettered = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
-        return docs.where(lettered)
+        return lettered
     least = threshold(labelled, model)
-    out, names = predict(docs, model, docs.columns)
-    kept = out.where((F.col("lang_pred") != "und") & (F.col("evidence") >= least))
+    out, names = predict(lettered, model, docs.columns, words_only=True)
+    # a text with letters, but without words, says nothing about its language; evidence is 0 there, and it stays
+    kept = out.where(F.col("evidence") >= least)
     lang = names[docs.columns.index("lang")]
-    return C.renamed(kept.withColumn(lang, F.coalesce(lang, "lang_pred")), names, docs.columns)
+    return C.renamed(kept.withColumn(lang, F.coalesce(lang, F.nullif("lang_pred", F.lit("und")))), names, docs.columns)
