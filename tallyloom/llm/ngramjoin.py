@@ -332,10 +332,9 @@ def stage_near_duplicates(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     id_, text = (F.col(names[docs.columns.index(c)]) for c in ("doc_id", "text"))
     found = joined(rows.select("doc_id", text.alias("text")), STAGE_SHINGLE, STAGE_PERCENT).select("doc_id", "component_id")
     of = C.written(found.join(rows.select("doc_id", id_.alias("id")), "doc_id"))
-    copies = of.where("doc_id != component_id").select("component_id").distinct()
     keep = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "doc_id"))["doc_id"].alias("kept")
-    least = of.join(copies, "component_id", "left_semi").groupBy("component_id").agg(keep)
-    gone = C.written(of.join(least, "component_id").where("doc_id != kept").select("doc_id"))
+    least = C.written(of.groupBy("component_id").agg(keep, F.count("*").alias("size")).where("size > 1").select("component_id", "kept"))
+    gone = C.written(C.looked_up(of, least, "component_id", F.col("doc_id")).where("doc_id != kept").select("doc_id"))
     return C.renamed(C.without(rows, gone, "doc_id"), names, docs.columns)
 
 
