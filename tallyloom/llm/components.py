@@ -9,12 +9,13 @@ from .common import written
 
 
 def components(links: DataFrame) -> DataFrame:
-    """(node, label) for every node of links (a, b), null-free; label is the smallest node reachable.
+    """(node, label) for every node of links (a, b); label is the smallest node reachable. Rows with a null end are no links; without links there are no nodes.
 
     Each round takes the smallest label among a node and its neighbours, then that label's own label, and is written
     to the shared folder. Labels reach over twice the distance in each round, so rounds grow with the logarithm of the
     longest path. Nodes and links never reach the driver, only the number of labels that changed.
     """
+    links = links.where("a IS NOT NULL AND b IS NOT NULL")
     both = written(links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
     labels = written(both.groupBy(F.col("a").alias("node")).agg(F.least(F.first("a"), F.min("b")).alias("label")))
     while True:

@@ -25,7 +25,8 @@ So a group of thousands of near copies costs a comparison with its pivot for eac
 between documents of different components is never lost. Components of all links come last.
 
 Defined results: a null text or one without words has an empty set, and links with nothing; a text of fewer words than a
-shingle has its whole sequence as its one shingle; repeated rows are equal sets. Shingles and classes are identified
+shingle has its whole sequence as its one shingle; repeated rows are equal sets; a very long text is handled whole, in
+memory of about 100 bytes a word. Shingles and classes are identified
 by 64-bit hashes. Other columns are not read.
 """
 

@@ -10,6 +10,7 @@ import pytest
 
 from tallyloom.llm import common as C
 from tallyloom.llm import decontam, editprint, ngramjoin
+from tallyloom.llm.components import components as components_of
 
 from .conftest import DIR, needs_data
 
@@ -89,6 +90,14 @@ def test_stage_takes_five_words_and_four_fifths(spark):
     assert len({r["component_id"] for r in ngramjoin.joined(docs.where("doc_id < 3")).collect()}) == 2
 
 
+def test_components(spark):
+    links = lambda rows: components_of(spark.createDataFrame(rows, "a long, b long"))
+    assert links([]).count() == 0
+    chain = [(i, i + 1) for i in range(20)] + [(30, 31), (31, 30), (40, 40), (None, 3), (5, None)]
+    got = {r["node"]: r["label"] for r in links(chain).collect()}
+    assert got == {**dict.fromkeys(range(21), 0), 30: 30, 31: 30, 40: 40}
+
+
 @needs_data
 def test_join_against_sql(spark):
     c = duckdb.connect()
