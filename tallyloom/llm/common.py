@@ -116,13 +116,18 @@ def released(run):
 
     def whole(batches):
         yield from run(batches)
-        pa.default_memory_pool().release_unused()
-        with contextlib.suppress(OSError, AttributeError):
-            ctypes.CDLL("libc.so.6").malloc_trim(0)
+        give_back()
 
     return whole
 
 
+def give_back() -> None:
+    """Memory that is free goes back to the system."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
 def numbered(docs: DataFrame, keep: list[str]) -> tuple[DataFrame, list[str]]:
     """Columns keep of docs under names that clash with nothing, and text."""
     names = [f"c{i}" for i in range(len(keep))]

@@ -374,7 +374,7 @@ class Others:
             yield from rows(TABLE, [{"kind": 5, "keys": C.signed(self.first[far]), "second": C.signed(self.second[far]), "seen": self.c[far], "mass": self.p[far]}]).to_batches()
 
 
-def answered(received: DataFrame, model) -> DataFrame:
+def answered(received: DataFrame, model, n_buckets: int) -> DataFrame:
     """Written: TABLE rows, of which kinds 4, 5 and 7 are the table of pair counts."""
     shared = received.sparkSession.sparkContext.broadcast(model)
 
@@ -428,8 +428,10 @@ def answered(received: DataFrame, model) -> DataFrame:
         yield from sums(h[stored], cs, u.p[w[stored]])
         yield from rows(TABLE, [{"kind": 4, "keys": C.signed(distinct[stored]), "seen": cs}]).to_batches()
         yield from more.stored()
+        C.give_back()
 
-    return C.written(received.groupBy("bucket").applyInArrow(count, TABLE), partition_by="kind")
+    # a task for each bucket, so that what a task reads is bounded, too
+    return C.written(received.repartition(n_buckets, "bucket").groupBy("bucket").applyInArrow(count, TABLE), partition_by="kind")
 
 
 def backoff(table: DataFrame, u: Unigrams) -> tuple[np.ndarray, np.ndarray]:
@@ -504,7 +506,8 @@ def scored(docs: DataFrame, held_out: Column, vocabulary: int | None = None) ->
     pairs = frequent_pairs(training)
     u = Unigrams(counts(training, pairs), CACHE if vocabulary is None else vocabulary, vocabulary is None, pairs)
     n = u.n * docs.count() / max(1, training.count())
-    table = answered(sent(docs, held_out, u, max(1, int(n / BUCKET))), u)
+    n_buckets = max(1, int(n / BUCKET))
+    table = answered(sent(docs, held_out, u, n_buckets), u, n_buckets)
     return summed(table, u, *backoff(table, u))
 
 
