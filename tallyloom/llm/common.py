@@ -43,12 +43,12 @@ def shared_dir(spark: SparkSession) -> str:
     return found
 
 
-def written(df: DataFrame, partition_by: str | None = None) -> DataFrame:
+def written(df: DataFrame, partition_by: str | None = None, options: dict[str, str] | None = None) -> DataFrame:
     """df as a Parquet table in the shared folder: lineage ends there and lost executors cost nothing that is written."""
     spark = df.sparkSession
     path = f"{shared_dir(spark).rstrip('/')}/{uuid.uuid4().hex}"
     writer = df.write.partitionBy(partition_by) if partition_by else df.write
-    writer.parquet(path)
+    writer.options(**(options or {})).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
