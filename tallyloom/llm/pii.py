@@ -8,10 +8,11 @@ of a format different ones. An e-mail address, which is no number, becomes a key
 A domain of m1 x m2 values is split into halves; ten rounds add a keyed hash of one half to the other, modulo its size.
 
 What is looked for: e-mail addresses; dates from 1000 to 2999, as yyyy-mm-dd; IPv4 addresses; social security numbers
-(those from 900 on are never given out); telephone numbers as 3-3-4 digits, or of 8 to 15 digits after a +; card numbers of 13 to 19 digits. A run of groups of digits that is no card number as a whole may hold
-one beside other groups (an expiry date, a check value, an order number): the longest run of whole groups that passes
-the check is one. Such a run counts once. Not looked for: names, postal addresses, dates of other layouts, other telephone
-numbers without a +.
+(those from 900 on are never given out); telephone numbers as 3-3-4 digits, or of 8 to 15 digits after a +; card numbers
+with a right check digit in an issuer's range, as one run of 13 to 19 digits or in the layouts that cards have: 4-4-4-4,
+4-4-4-4-3, 4-6-5, 4-6-4, with one kind of separator. Other groups may stand beside a card number (an expiry date, a
+check value, an order number). A row of more than five groups of four digits is a table, unless all of it is card
+numbers. Not looked for: names, postal addresses, dates and cards of other layouts, other telephone numbers without a +.
 
 Defined results: a null text stays null; a text without personal data stays as it is, byte for byte; a number that
 fails its check (a card number's check digit, a byte above 255 in an address, a date that no calendar has) isn't
@@ -39,9 +40,18 @@ ADDRESS = r"(?<![0-9.])(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?![0-9]|\.[0-9])"
 SOCIAL = r"(?<![0-9-])[0-8][0-9]{2}-[0-9]{2}-[0-9]{4}(?![0-9-])"
 WORLD = r"(?<![0-9A-Za-z+])\+[1-9][0-9]{0,2}(?:[ .-]?\(?[0-9]{1,5}\)?){2,6}(?![0-9])"
 PHONE = r"(?<![0-9+])(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{3}\) ?|(?<=\+[0-9]{1,3}[ .-])[0-9]{3}[ .-]|(?<![0-9+] )[0-9]{3}[.-])[0-9]{3}[ .-][0-9]{4}(?![0-9])"
-#: A run of groups of digits, with single separators; card numbers are whole groups of it.
-CARD = r"(?<![0-9])(?=[0-9](?:[ -]?[0-9]){12})[0-9]++(?:[ -](?![12][0-9]{3}-[01][0-9]-[0-3][0-9](?![0-9-])|[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])|[0-9]{3}-[0-9]{3}[ -][0-9]{4}(?![0-9]))[0-9]++)*+"
-CARD_DIGITS = (13, 19)
+#: Digits that are no part of a longer number, in one run or in groups. A group doesn't begin a date.
+LONG = r"(?<![0-9])[0-9]{13,19}(?![0-9])"
+_END = r"(?![0-9]|-[0-9])"
+IN_GROUPS = "|".join(
+    f"(?<![0-9])(?:3[0-9]{{3}}{s}[0-9]{{6}}{s}[0-9]{{4,5}}{end}|[0-9]{{4}}(?:{s}[0-9]{{4}}{end}){{3,}}+(?:{s}[0-9]{{3}}{end})?)" for s, end in ((" ", _END), ("-", "(?![0-9])"))
+)
+CARD = f"{LONG}|{IN_GROUPS}"
+#: How card numbers begin, and how many digits they then have.
+ISSUERS = (
+    ("4", (13, 16, 19)), ("5[1-5]|222[1-9]|22[3-9]|2[3-6]|27[01]|2720", (16,)), ("3[47]", (15,)), ("30[0-5]|3[689]", (14, 16, 19)),
+    ("352[89]|35[3-8]", (16, 17, 18, 19)), ("6011|64[4-9]|65|62|50|5[6-8]|60|6[37]", (16, 17, 18, 19)),
+)
 ANY = "|".join((EMAIL, DATE, ADDRESS, SOCIAL, PHONE, WORLD, CARD))
 KINDS = ("email", "date", "address", "social", "phone", "card")
 
@@ -112,50 +122,44 @@ def once(value: Column, f) -> Column:
     return F.transform(F.array(value), f)[0]
 
 
-def card_runs(groups: Column) -> Column:
-    """For each group of digits, the most groups from it on that are a card number together; null if none are."""
-    least, most = CARD_DIGITS
-    number = lambda i, n: F.array_join(F.slice(groups, i + 1, n), "")
-    valid = lambda d: F.length(d).between(least, most) & (check_sum(d) % 10 == 0)
-    sizes = lambda i: F.sequence(F.lit(1), F.least(F.size(groups) - i, F.lit(most)))
-    return F.transform(groups, lambda _, i: F.array_max(F.filter(sizes(i), lambda n: once(number(i, n), valid))))
+def is_card(digits: Column) -> Column:
+    """Whether digits are in an issuer's range, as many as its cards have, and right by their check digit."""
+    issued = F.lit(False)
+    for begins, sizes in ISSUERS:
+        issued = issued | (digits.rlike(f"^(?:{begins})") & F.length(digits).isin(*sizes))
+    return issued & (check_sum(digits) % 10 == 0)
 
 
-def digit_groups(x: Column) -> Column:
-    return F.regexp_extract_all(x, F.lit("[0-9]+"), F.lit(0))
+def card_parts(x: Column) -> Column:
+    """x, a match of CARD, in parts (t, card), of which some are card numbers; null if none is."""
+    part = lambda t, card: F.struct(t.alias("t"), F.lit(card).alias("card"))
+    whole = F.when(is_card(digits_of(x)), F.array(part(x, True)))
+    if_valid = lambda t, parts: once(t, lambda t: F.when(is_card(digits_of(t)), parts(t)))
+    after = lambda n: F.substr(x, F.lit(n + 1), F.length(x))
+    first = if_valid(F.left(x, F.lit(19)), lambda t: F.array(part(t, True), part(after(19), False)))
+    last = if_valid(F.substr(x, F.lit(6), F.lit(19)), lambda t: F.array(part(F.left(x, F.lit(5)), False), part(t, True), part(after(24), False)))
+    # of more groups either all are card numbers or none
+    fours = F.regexp_extract_all(x, F.lit("(?:[0-9]{4}[ -]?){4}"), F.lit(0))
+    every = once(fours, lambda f: F.when(F.forall(f, lambda t: is_card(digits_of(t))), F.concat(F.transform(f, lambda t: part(t, True)), F.array(part(F.substr(x, 20 * F.size(f) + 1, F.length(x)), False)))))
+    groups = F.floor((F.length(x) + 1) / 5)
+    in_fours = F.when(groups == 4, F.coalesce(first, whole)).when(groups == 5, F.coalesce(first, last)).when(groups % 4 == 0, every)
+    return F.when(x.rlike("^[0-9]{4}[ -][0-9]{4}[ -]"), in_fours).otherwise(whole)
 
 
 def has_card(x: Column) -> Column:
-    return once(digit_groups(x), lambda g: F.exists(card_runs(g), lambda n: n.isNotNull()))
+    return card_parts(x).isNotNull()
 
 
 def cards(key: str, x: Column) -> Column:
-    """x, groups of digits with single separators, with another number for each card number in it, from the left."""
-    separators = F.regexp_extract_all(x, F.lit("[^0-9]"), F.lit(0))
-    parts = F.zip_with(digit_groups(x), F.concat(F.array(F.lit("")), separators), lambda g, s: F.struct(g.alias("g"), s.alias("s")))
-
-    def of(p: Column) -> Column:
-        text = lambda i, n: F.concat(p[i]["g"], F.array_join(F.transform(F.slice(p, i + 2, n - 1), lambda q: F.concat(q["s"], q["g"])), ""))
-        runs = F.transform(card_runs(F.transform(p, lambda q: q["g"])), lambda n, i: F.struct(n.alias("n"), i.alias("i")))
-        start = F.struct(F.lit(0).alias("until"), F.lit("").alias("out"))
-
-        def put(acc: Column, r: Column) -> Column:
-            inside = r["i"] < acc["until"]
-            until = F.when(inside | r["n"].isNull(), acc["until"]).otherwise(r["i"] + r["n"])
-            new = F.when(inside, "").when(r["n"].isNull(), F.concat(p[r["i"]]["s"], p[r["i"]]["g"])).otherwise(F.concat(p[r["i"]]["s"], card(key, text(r["i"], r["n"]))))
-            return F.struct(until.alias("until"), F.concat(acc["out"], new).alias("out"))
-
-        return F.aggregate(runs, start, put)["out"]
-
-    return once(parts, of)
+    """x, a match of CARD, with another number for each card number in it."""
+    return F.array_join(F.transform(card_parts(x), lambda p: F.when(p["card"], card(key, p["t"])).otherwise(p["t"])), "")
 
 
 def card(key: str, x: Column) -> Column:
     """Another number of the same length with a right check digit, in x's layout."""
-    digits = digits_of(x)
-    body = permuted(key, "card", F.left(digits, F.length(digits) - 1))
-    check = (10 - check_sum(F.concat(body, F.lit("0"))) % 10) % 10
-    return in_layout(x, F.concat(body, check.cast("string")))
+    check = lambda body: ((10 - check_sum(F.concat(body, F.lit("0"))) % 10) % 10).cast("string")
+    body = once(F.left(digits_of(x), F.length(digits_of(x)) - 1), lambda d: permuted(key, "card", d))
+    return once(once(body, lambda b: F.concat(b, check(b))), lambda new: in_layout(x, new))
 
 
 def address(key: str, x: Column) -> Column:
@@ -195,7 +199,7 @@ def kind_of(x: Column) -> Column:
         .when(only(r"[0-9]{1,3}(?:\.[0-9]{1,3}){3}"), F.when(F.forall(F.split(x, "\\."), lambda c: c.cast("int") <= 255), "address"))
         .when(only("[0-9]{3}-[0-9]{2}-[0-9]{4}"), F.when(~only("(?:000|666).*|.*-00-.*|.*-0000"), "social"))
         .when(only(r"(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}"), "phone")
-        .when(x.startswith("+"), F.when(F.length(digits_of(x)).between(8, 15), "phone"))
+        .when(x.startswith("+"), F.when(F.length(digits_of(x)).between(8, 15) & (~x.contains(".") | only(r"\+[0-9]{1,3}(?:\.[0-9]{1,5}){2,6}")), "phone"))
         .otherwise(F.when(has_card(x), "card"))
     )
 
