@@ -7,13 +7,13 @@ is live; one that many owners hold, or that stands in many repositories of howev
 copied. Each place where a live value stands, in an assignment or not, is a span of its own kind unless a base span
 covers it. Hashes, never the values, are shuffled, and a hash's rows are dealt over groups where they are judged.
 
-Here a document's source is the owner, and source and language name the repository, unless the table has a column
-`repo`.
+Here a document's source is the owner, and source and language name the repository, unless the caller names a column
+that does.
 
 Defined results: a null text is empty and has no spans; a null source counts as an owner of its own; repeated rows count
 once as owners and get equal results; a value seen with OWNERS owners or more, or in REPOS repositories or more, is an
-example; a very long text is handled whole, in time and memory in proportion to its length and its matches. Other
-columns aren't read.
+example; a very long text is handled whole, in memory in proportion to its length and its matches and in time that
+grows with matches as a sort does. Other columns aren't read, whatever their names.
 """
 
 from __future__ import annotations
@@ -85,15 +85,31 @@ def of_kind(spans: Column, kind: str) -> Column:
 
 
 def looks_random(x: Column) -> Column:
-    return x.rlike("[0-9].*[0-9].*[0-9]") & x.rlike("[A-Za-z].*[A-Za-z].*[A-Za-z]")
+    """Digits among letters, or a long token of letters that change case more than names do."""
+    return (x.rlike("[0-9].*[0-9].*[0-9]") & x.rlike("[A-Za-z].*[A-Za-z].*[A-Za-z]")) | ((F.length(x) >= 32) & x.rlike("[a-z][A-Z]+[a-z]+[A-Z]+[a-z]+[A-Z]"))
 
 
-def scanned(docs: DataFrame) -> DataFrame:
-    """doc_id, owner, repo, base spans and candidate spans of every row; one scan, nothing shuffled."""
+def apart(tokens: Column, spans: Column) -> Column:
+    """The tokens (start, end, value) that overlap none of the spans; both are sorted and disjoint, so only the span before a token and the one after it are looked at."""
+    entry = lambda x, token: F.struct(x["start"].alias("start"), F.lit(token).alias("token"), x["end"].alias("end"), x["value"].alias("value"))
+
+    def of(spans: Column) -> Column:
+        merged = F.array_sort(F.concat(F.transform(spans, lambda x: entry(x, 0)), F.transform(tokens, lambda x: entry(x, 1))))
+        placed = F.filter(F.transform(merged, lambda x, i: F.struct(x.alias("x"), i.alias("i"))), lambda p: p["x"]["token"] == 1)
+        # of what stands before a token in the merged list, all but the tokens are spans
+        ranked = F.transform(placed, lambda p, j: F.struct(p["x"]["start"].alias("start"), p["x"]["end"].alias("end"), p["x"]["value"].alias("value"), (p["i"] - j).alias("n")))
+        free = F.filter(ranked, lambda t: F.coalesce(F.get(spans, t["n"] - 1)["end"] <= t["start"], F.lit(True)) & F.coalesce(F.get(spans, t["n"])["start"] >= t["end"], F.lit(True)))
+        return F.transform(free, lambda t: F.struct(t["start"].alias("start"), t["end"].alias("end"), t["value"].alias("value")))
+
+    return once(spans, of)
+
+
+def scanned(docs: DataFrame, repo: str | None = None) -> DataFrame:
+    """doc_id, owner, repo, base spans and candidate spans of every row; one scan, nothing shuffled. repo: a column that names the repository."""
     text = F.coalesce("text", F.lit(""))
     empty = F.expr("cast(array() as array<struct<start:int,end:int,value:string>>)")
-    repo = F.col("repo") if "repo" in docs.columns else F.concat_ws("/", "source", "lang")
-    rows = docs.select("doc_id", F.coalesce("source", F.lit("")).alias("owner"), F.coalesce(repo, F.lit("")).alias("repo"), text.alias("text"))
+    named = F.col(f"`{repo}`").cast("string") if repo else F.concat_ws("/", "source", "lang")
+    rows = docs.select("doc_id", F.coalesce("source", F.lit("")).alias("owner"), F.coalesce(named, F.lit("")).alias("repo"), text.alias("text"))
     value = lambda x: F.regexp_extract(x, ASSIGN, 2)
     assign = F.when(F.col("text").rlike(ASSIGN), F.filter(places(F.col("text"), ASSIGN), lambda s: F.length(value(s["value"])) >= 12)).otherwise(empty)
     access = F.when(F.col("text").contains("AKIA"), places(F.col("text"), ACCESS)).otherwise(empty)
@@ -103,10 +119,9 @@ def scanned(docs: DataFrame) -> DataFrame:
     base = F.array_sort(F.concat(of_kind(F.col("a"), "assign"), of_kind(F.col("k"), "access"), of_kind(F.col("h"), "hex")))
     hashed = lambda x: F.sha2(x, 256)
     plain = lambda s: F.struct(s["start"].alias("start"), s["rank"].alias("rank"), s["end"].alias("end"))
-    rows = rows.withColumn("base", base).withColumn("b", F.col("base"))
-    inside = lambda s: F.exists("b", lambda b: (s["start"] < b["end"]) & (b["start"] < s["end"]))
-    own = F.transform("b", lambda b: F.struct(F.lit(None).cast("int").alias("start"), F.lit(None).cast("int").alias("end"), hashed(F.when(b["rank"] == 0, value(b["value"])).otherwise(b["value"])).alias("hash")))
-    bare = F.transform(F.filter("t", lambda s: ~inside(s)), lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), hashed(s["value"]).alias("hash")))
+    rows = rows.withColumn("base", base)
+    own = F.transform("base", lambda b: F.struct(F.lit(None).cast("int").alias("start"), F.lit(None).cast("int").alias("end"), hashed(F.when(b["rank"] == 0, value(b["value"])).otherwise(b["value"])).alias("hash")))
+    bare = F.transform(reduce(apart, [F.col("a"), F.col("k"), F.col("h")], F.col("t")), lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), hashed(s["value"]).alias("hash")))
     return rows.select(F.monotonically_increasing_id().alias("row"), "doc_id", "owner", "repo", F.transform("base", plain).alias("base"), F.concat(own, bare).alias("candidates"))
 
 
@@ -123,9 +138,9 @@ def listed(spans: Column) -> Column:
     return F.array_join(F.transform(F.array_sort(spans), lambda s: F.concat_ws(":", name(s), s["start"].cast("string"), s["end"].cast("string"))), ",")
 
 
-def scan(docs: DataFrame, owners: int = OWNERS, repos: int = REPOS) -> DataFrame:
-    """Every row's base spans, all its spans, and how many of its candidates are live or examples."""
-    rows = C.written(scanned(docs))
+def scan(docs: DataFrame, owners: int = OWNERS, repos: int = REPOS, repo: str | None = None) -> DataFrame:
+    """Every row's base spans, all its spans, and how many of its candidates are live or examples. docs: doc_id, text, source, lang, and the column repo if one is named."""
+    rows = C.written(scanned(docs, repo))
     held = C.written(ownership(rows))
     each = rows.where(F.size("candidates") > 0).select("row", F.explode("candidates").alias("c")).select("row", "c.*")
     judged = C.looked_up(each, held, "hash", F.col("row")).withColumn("live", (F.col("owners") < owners) & (F.col("repos") < repos))
