@@ -45,7 +45,7 @@ def test_the_rest_stands_alone(tmp_path):
     for part in ("tallyloom", "tests", "__spark_entry__.py"):
         subprocess.run(["cp", "-r", ROOT / part, tmp_path], check=True)
     subprocess.run(["rm", "-r", tmp_path / "tallyloom/llm", tmp_path / "tests/llm"], check=True)
-    alone = {**os.environ, "PYTHONPATH": str(tmp_path)}
+    alone = {**os.environ, "PYTHONPATH": os.pathsep.join([str(tmp_path), *(p for p in sys.path if p and Path(p).resolve() != ROOT)])}
     code = "import __spark_entry__ as e; q = e.queries(); assert len(q) > 80 and not any(k.startswith('op') and k[2].isdigit() for k in q) and set(e.oracle_sql()) <= set(q)"
     subprocess.run([sys.executable, "-c", code], cwd=tmp_path, check=True, env=alone)
     every = subprocess.run([sys.executable, "-m", "pytest", "tests", "-q", "--collect-only", "-p", "no:cacheprovider"], cwd=tmp_path, env=alone, capture_output=True, text=True)
