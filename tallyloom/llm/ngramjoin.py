@@ -34,7 +34,8 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import common as C
@@ -324,12 +325,23 @@ def op8_ngram_jaccard(spark, sf_dir) -> DataFrame:
     return joined(C.table(spark, sf_dir, "documents"))
 
 
+def numbered_rows(docs: DataFrame) -> tuple[DataFrame, list[str]]:
+    """docs with a number of its own for each row, as doc_id, and its columns under names that are given back. Rows of files are numbered by file and place, where they stand; others are written first."""
+    names = [f"c{i}" for i in range(len(docs.columns))]
+    columns = [F.col(f"`{c}`").alias(n) for c, n in zip(docs.columns, names, strict=True)]
+    spread = lambda n: n + F.shiftright(n, 33) * 10368889  # noqa: E731  so that rows of all files or partitions spread over a map of BITS
+    try:
+        placed = docs.select(*columns, F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("place"))
+    except AnalysisException:
+        return C.written(docs.select(spread(F.monotonically_increasing_id()).alias("doc_id"), *columns)), names
+    files = placed.select("file").distinct().withColumn("at", F.row_number().over(Window.orderBy("file")).cast("long"))  # a row for each file
+    both = C.looked_up(placed, C.written(files), "file", F.col("place"))
+    return both.select(spread(F.shiftleft("at", 33) + F.col("place")).alias("doc_id"), *names), names
+
+
 def stage_near_duplicates(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each component: that with the smallest doc_id, a null one last. Rows are told apart by a number of their own, so unlike rows that share a doc_id both stay."""
-    names = [f"c{i}" for i in range(len(docs.columns))]
-    number = F.monotonically_increasing_id()
-    number = number + F.shiftright(number, 33) * 10368889  # so that rows of all partitions spread over a map of BITS
-    rows = C.written(docs.select(number.alias("doc_id"), *[F.col(f"`{c}`").alias(n) for c, n in zip(docs.columns, names, strict=True)]))
+    rows, names = numbered_rows(docs)
     id_, text = (F.col(names[docs.columns.index(c)]) for c in ("doc_id", "text"))
     found = joined(rows.select("doc_id", text.alias("text")), STAGE_SHINGLE, STAGE_PERCENT).select("doc_id", "component_id")
     of = C.written(found.join(rows.select("doc_id", id_.alias("id")), "doc_id"))
