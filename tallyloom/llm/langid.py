@@ -164,7 +164,7 @@ def predict(docs: DataFrame, model, keep: list[str], words_only: bool = False) -
 
     def score(batches):
         langs = shared.value[0]
-        limit = max(1 << 16, (1 << 22) // max(4, len(langs)))
+        limit = max(1 << 16, (1 << 21) // max(4, len(langs)))
         for batch in batches:
             for part in C.slices(batch, limit):
                 best, value, evidence = scored(*C.utf8(part.column("text")), shared.value)
