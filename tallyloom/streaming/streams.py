@@ -98,3 +98,21 @@ def alert_changes(rows: DataFrame) -> DataFrame:
 def process_once(rows: DataFrame, handle: Callable[[DataFrame, int], None], checkpoint: str):
     """Starts a query that hands each batch of new rows to `handle` once, and stops when all are done."""
     return rows.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def append_once(rows: DataFrame, path: str, checkpoint: str, form: str = "json"):
+    """Starts a query that appends each batch to a folder of files once, however often the batch is tried, and stops when all is done.
+
+    A batch has a folder of its own, named by its number, which a second try replaces: whether the first one died
+    before, while or after writing it, the batch is there once. `read_appended` leaves out what a dead try has begun.
+    """
+
+    def write(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").format(form).save(f"{path}/batch={number}")
+
+    return rows.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def read_appended(spark: SparkSession, path: str, schema, form: str = "json") -> DataFrame:
+    """All rows that `append_once` has written, and batch, the number of each row's batch."""
+    return spark.read.schema(schema).option("basePath", path).format(form).load(f"{path}/batch=*")
