@@ -47,10 +47,11 @@ def holds(text: Column, words: Sequence[str] = (), any_of: Sequence[str] = (), n
     return reduce(and_, conditions, F.lit(True))
 
 
-def topics(index: DataFrame, terms: Sequence[str], top: int = 3) -> DataFrame:
-    """topic, score: the topics whose names hold the most of the terms. index: topic."""
+def topics(index: DataFrame, terms: Sequence[str], top: int | None = 3) -> DataFrame:
+    """topic, score: the topics whose names hold the most of the terms; all that hold one, in no order, without `top`. index: topic."""
     score = sum((F.lower("topic").contains(t.lower()).cast("long") for t in terms), F.lit(0).cast("long"))
-    return index.select("topic", score.alias("score")).where("score > 0").orderBy(F.desc("score"), "topic").limit(top)
+    found = index.select("topic", score.alias("score")).where("score > 0")
+    return found if top is None else found.orderBy(F.desc("score"), "topic").limit(top)
 
 
 def confidence(rows: DataFrame, group: str, hit: Column, least_rows: int = 25, least_hits: int = 3) -> DataFrame:
