@@ -382,3 +382,22 @@ def test_urls_of_empty_tables(spark):
     assert urls.judged(none).count() == 0
     one = spark.createDataFrame([(1, "http://a.org/"), (1, "http://a.org/"), (None, None)], "page_id long, url string")
     assert {r["verdict"] for r in urls.judged(one).collect()} == {"allow"}
+
+
+@needs_data
+def test_trees_judge_urls_that_they_have_not_seen(spark):
+    pages = spark.read.parquet(f"{DIR.replace('0.001', '0.1')}/pages.parquet")
+    blocked, allowed = urls.held_out_accuracy(urls.labelled_by_rules(urls.ruled(pages)))
+    assert blocked > 0.95 and allowed > 0.95
+    got = urls.judged(pages).where("rule IS NULL").groupBy("verdict").count().collect()
+    assert {r["verdict"] for r in got} == {"allow", "block"} and min(r["count"] for r in got) > 50
+
+
+def test_trees_learn_given_labels(spark):
+    """Labels that only a folder, a query key or the digits tell; judged are other URLs, on hosts that no label has."""
+    rows = [(f"https://h{i % 9}.test/{'ads' if i % 2 else 'news'}/{i}?{'q' if i % 3 else 'track'}={i}", bool(i % 2)) for i in range(400)]
+    asked = [(i, f"http://other{i}.site/{'ads' if i % 2 else 'news'}/x{i}") for i in range(20)] + [(100, None), (101, "no url"), (102, "http://y.z/" + "a" * 300_000), (103, "http://y.z/ads/" + "b/" * 50_000)]
+    pages = spark.createDataFrame([(*r, 1, "z", 0.5) for r in asked], "page_id long, url string, suffix int, decided string, p_blocked double")
+    got = {r["page_id"]: r for r in urls.judged(pages, rules=(), labelled=spark.createDataFrame(rows, "url string, blocked boolean")).collect()}
+    assert len(got) == len(asked) and all(got[i]["verdict"] == ("block" if i % 2 else "allow") for i in range(20))
+    assert got[100]["host"] == got[101]["path"] == "" and got[102]["path"] == "/" + "a" * 300_000 and got[103]["verdict"] == "block"
