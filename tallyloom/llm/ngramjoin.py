@@ -26,8 +26,8 @@ between documents of different components is never lost. Components of all links
 
 Defined results: a null text or one without words has an empty set, and links with nothing; a text of fewer words than a
 shingle has its whole sequence as its one shingle; repeated rows are equal sets; a very long text is handled whole, in
-memory of about 100 bytes a word. Shingles and classes are identified
-by 64-bit hashes. Other columns are not read.
+memory of about 100 bytes a word; an empty table gives no rows; of pivots that fit equally the one with the least hash
+is taken, which changes no result. Shingles and classes are identified by 64-bit hashes. Other columns are not read.
 """
 
 from __future__ import annotations
@@ -252,14 +252,15 @@ def plausible(pairs: DataFrame, first: DataFrame, percent: int) -> DataFrame:
 
 def compared(docs: DataFrame, first: DataFrame, pairs: DataFrame, shingle: int, percent: int) -> DataFrame:
     """Written: (x, y, d, link) with the exact distance of each pair."""
-    own = wanted_sets(docs, first, pairs, shingle)
+    # a set for each class here, not a distinct pair after the joins: those can then be split where a pivot has many rows
+    own = wanted_sets(docs, first, pairs, shingle).dropDuplicates(["x"])
     other = own.select(F.col("x").alias("y"), F.col("set").alias("other"))
     both = pairs.join(own, "x").join(other, "y")
     shared = F.size(F.array_intersect("set", "other"))
     union = F.size("set") + F.size("other") - shared
     link = F.lit(100) * shared >= F.lit(percent) * union
     out = both.select("x", "y", (1 - shared / union).alias("d"), link.alias("link"))
-    return C.written(out.distinct())
+    return C.written(out)
 
 
 def may_link(n1, at1, n2, at2, percent: int):
