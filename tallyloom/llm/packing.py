@@ -12,7 +12,7 @@ task and class). The one bin of each class that stays incomplete (fewer than CAP
 the corpus) is packed again by next fit, those of all classes together.
 
 Defined results: a null or empty text has the one token id END; a piece never spans documents; repeated rows are
-packed as many times; a very long text is tokenised whole, in memory of about 50 bytes a token; other columns are not read. A document's pieces may lie in several sequences.
+packed as many times; an empty table gives no rows; a very long text is tokenised whole, in memory of about 50 bytes a token; other columns are not read. A document's pieces may lie in several sequences.
 """
 
 from __future__ import annotations
@@ -157,4 +157,5 @@ def op4_harmonic_packing(spark, sf_dir) -> DataFrame:
 
 
 def stage_pack(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all documents, packed; no document goes, and an empty table gives no rows."""
     return pack(docs, default_tokenizer())

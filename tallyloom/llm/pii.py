@@ -16,7 +16,7 @@ numbers. Not looked for: names, postal addresses, dates and cards of other layou
 
 Defined results: a null text stays null; a text without personal data stays as it is, byte for byte; a number that
 fails its check (a card number's check digit, a byte above 255 in an address, a date that no calendar has) isn't
-personal data and stays; a very long text is handled whole, in time in proportion to its length and its matches. Other
+personal data and stays; an empty table gives no rows; rows that repeat get equal results; a very long text is handled whole, in time in proportion to its length and its matches. Other
 columns pass through, whatever their names. The key decides the pseudonyms, and who has it can undo them: a deployment
 passes its own; the one in this file, KEY, or in the session's setting `spark.tallyloom.key`, is for the queries.
 """
@@ -243,4 +243,5 @@ def op7_pseudonyms(spark, sf_dir) -> DataFrame:
 
 
 def stage_pseudonyms(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, with pseudonyms in their texts; the other columns stay as they are."""
     return pseudonymised(docs, key_of(spark))
