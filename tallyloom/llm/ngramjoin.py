@@ -252,15 +252,15 @@ def plausible(pairs: DataFrame, first: DataFrame, percent: int) -> DataFrame:
 
 def compared(docs: DataFrame, first: DataFrame, pairs: DataFrame, shingle: int, percent: int) -> DataFrame:
     """Written: (x, y, d, link) with the exact distance of each pair."""
-    # a set for each class here, not a distinct pair after the joins: those can then be split where a pivot has many rows
-    own = wanted_sets(docs, first, pairs, shingle).dropDuplicates(["x"])
+    own = wanted_sets(docs, first, pairs, shingle)
     other = own.select(F.col("x").alias("y"), F.col("set").alias("other"))
     both = pairs.join(own, "x").join(other, "y")
     shared = F.size(F.array_intersect("set", "other"))
     union = F.size("set") + F.size("other") - shared
     link = F.lit(100) * shared >= F.lit(percent) * union
     out = both.select("x", "y", (1 - shared / union).alias("d"), link.alias("link"))
-    return C.written(out)
+    # pairs are made distinct in a step of its own, so that the joins can be split where a pivot has many rows
+    return C.written(C.written(out).distinct())
 
 
 def may_link(n1, at1, n2, at2, percent: int):
