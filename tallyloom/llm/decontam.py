@@ -30,6 +30,8 @@ from pyspark.sql import functions as F
 from . import common as C
 
 WINDOW = 10
+#: Bytes of text that a task handles at once.
+SLICE = 1 << 20
 SHINGLE = 3
 #: Places whose words a task holds at once.
 RUN = 4096
@@ -58,7 +60,7 @@ def windows(benchmark: DataFrame) -> DataFrame:
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in C.slices(batch):
+            for part in C.slices(batch, SLICE):
                 w = Words(*C.utf8(part.column("text")))
                 keys = {n: C.signed(w.shingles(n)) for n in range(1, SHINGLE + 1)}
                 rows: list[tuple] = []
@@ -91,7 +93,7 @@ def document_frequency(docs: DataFrame, shingles: DataFrame, sizes: list[int]) -
 
     def count(batches):
         for batch in batches:
-            for part in C.slices(batch):
+            for part in C.slices(batch, SLICE):
                 w = Words(*C.utf8(part.column("text")))
                 for _, key, _ in places(w, *shared.value):
                     key, c = np.unique(key, return_counts=True)
@@ -122,7 +124,7 @@ def scanned(rows: DataFrame, names: list[str], prefix: DataFrame, sizes: list[in
     def scan(batches):
         task, turn = TaskContext.get().partitionId() << 36, 0
         for batch in batches:
-            for part in C.slices(batch):
+            for part in C.slices(batch, SLICE):
                 w = Words(*C.utf8(part.column("text")))
                 n_rows = part.num_rows
                 rows_at = C.signed(C.mix((task + turn + np.arange(n_rows)).astype(np.uint64)))  # unlike numbers, spread over a map's bits
