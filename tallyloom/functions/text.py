@@ -55,7 +55,7 @@ def is_stub(text: Column, least: int = 150) -> Column:
 
 
 def sentences(text: Column) -> Column:
-    return F.filter(F.transform(F.split(text, "(?<=[.!?])\\s+"), F.trim), lambda s: s != "")
+    return F.filter(F.transform(F.split(text, f"(?<=[.!?]){SPACE}"), lambda s: F.trim(s)), lambda s: s != "")
 
 
 def excerpt(text: Column, lines: int = 8) -> Column:

@@ -236,17 +236,17 @@ def repeated_lines(docs: DataFrame, least_chars: int = 20) -> DataFrame:
 def chunks(docs: DataFrame, words: int = 500) -> DataFrame:
     """doc_id, chunk, text: sentences gathered up to so many words; a longer sentence is a chunk of its own."""
     parts = F.transform(X.sentences(F.col("text")), lambda s: F.struct(s.alias("s"), F.size(X.words(s)).alias("n")))
-    start = F.struct(F.array().cast("array<string>").alias("done"), F.lit("").alias("now"), F.lit(0).alias("n"))
+    start = F.struct(F.array().cast("array<string>").alias("done"), F.lit(None).cast("string").alias("now"), F.lit(0).alias("n"))
 
     def add(acc: Column, p: Column) -> Column:
-        full = (acc["n"] > 0) & (acc["n"] + p["n"] > words)
+        full = acc["now"].isNotNull() & (acc["n"] + p["n"] > words)
         return F.struct(
             F.when(full, F.concat(acc["done"], F.array(acc["now"]))).otherwise(acc["done"]).alias("done"),
-            F.when(full | (acc["n"] == 0), p["s"]).otherwise(F.concat_ws(" ", acc["now"], p["s"])).alias("now"),
+            F.when(full, p["s"]).otherwise(F.concat_ws(" ", acc["now"], p["s"])).alias("now"),
             F.when(full, p["n"]).otherwise(acc["n"] + p["n"]).alias("n"),
         )
 
-    all_ = F.aggregate(parts, start, add, lambda acc: F.when(acc["n"] > 0, F.concat(acc["done"], F.array(acc["now"]))).otherwise(acc["done"]))
+    all_ = F.aggregate(parts, start, add, lambda acc: F.when(acc["now"].isNotNull(), F.concat(acc["done"], F.array(acc["now"]))).otherwise(acc["done"]))
     return docs.select("doc_id", F.posexplode(all_).alias("chunk", "text"))
 
 

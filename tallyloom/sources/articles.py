@@ -44,7 +44,7 @@ def front_matter(text: Column) -> Column:
 def header(text: Column) -> Column:
     """A map from a `# Title`, `**Author:** ...`, `---` header within fifteen lines; null without its end."""
     lines = F.slice(F.split(text, "\\r?\\n"), 1, 16)
-    end = F.array_position(F.transform(lines, F.trim), "---")
+    end = F.array_position(F.transform(lines, lambda x: F.trim(x)), "---")
     top = F.slice(lines, F.lit(1), F.greatest(end - 1, F.lit(0)).cast("int"))
     title = F.regexp_extract(F.array_join(top, "\n"), "(?m)^# (.+)$", 1)
     field = lambda name: F.trim(F.regexp_extract(F.array_join(top, "\n"), f"(?m)^\\*\\*{name}:\\*\\*(.*)$", 1))
