@@ -1,18 +1,20 @@
 """License scans: a trained paragraph classifier, confirmed by templates. DataFrame and ML functions of the JVM only.
 
-A text falls into blocks at blank lines; line breaks and comment marks inside a block are joined. A paragraph is the
-words around a cue, a word that licences use: up to BEFORE words before it and AFTER after it; the next one begins after
-its end, so all cues of a text stand in one. Hashed words and word pairs of a paragraph go to a multinomial logistic
-regression, which says how likely each licence family is. The regression is trained here: on templates, whole, in halves
-and inside other words, and, as the class `unknown`, on paragraphs of the corpus without a cue, on such paragraphs with a
-cue word by chance, and on general sentences about licences. Its probabilities are calibrated by one temperature, fitted
+A text falls into blocks at blank lines; line breaks and comment marks inside a block are joined. A cue is a word that
+licences use, or a name of one: every run of PIECE + 1 words of a template holds one, but for runs that any text may
+hold, and so does every statement like FORMS. Each cue is judged for itself, by the words around it, up to BEFORE before
+and AFTER after it, whatever stands in other cues' words: so no statement is cut where another one ends. A paragraph is a
+run of cues of a block of which each has at most AFTER words to the one before. Hashed words and word pairs around a cue
+go to a multinomial logistic regression, which says how likely each licence family is. The regression is trained here: on
+templates, whole, in halves and inside other words, and, as the class `unknown`, on paragraphs of the corpus without a
+cue, on such paragraphs with a cue word by chance, and on general sentences about licences. Its probabilities are calibrated by one temperature, fitted
 on a fifth of the examples, which the regression isn't trained on (other surroundings of the templates, other
 paragraphs).
 
-A family is found in a paragraph if its calibrated probability reaches LEAST and a template confirms it: the paragraph
-holds CONTAINED of the template's word pairs, or, being a piece of a licence's text, the template holds as much of the
-paragraph's. A paragraph may name several licences, between which the probability is divided: a further family is found
-if it is likelier than `unknown` and the paragraph holds all of one of its templates.
+A family is found around a cue if its calibrated probability reaches LEAST and a template confirms it: the words hold
+CONTAINED of the template's word pairs, or, being a piece of a licence's text, the template holds as much of theirs. The
+words may name several licences, between which the probability is divided: a further family is found if it is likelier
+than `unknown` and the words hold all of one of its templates.
 
 A statement that only names a licence is a few words among many others, so the words next to the cue (NEAR before, BEYOND
 after it) are judged for themselves, too; there a template of NAMES and FORMS may confirm the family, too.
@@ -25,11 +27,14 @@ that stands twice in a text is counted twice; a very long text is read whole. Ot
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
+from functools import reduce
+from operator import or_
 
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.feature import HashingTF
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import common as C
@@ -37,7 +42,7 @@ from . import common as C
 FEATURES = 1 << 14
 #: Corpus paragraphs in the training set, and those of them whose words go before templates, at most: the first ones in the order of their hashes.
 BACKGROUND, LEADS = 2000, 80
-#: Words of a paragraph before and after its cue.
+#: Words before and after a cue that are judged with it.
 BEFORE, AFTER = 8, 40
 #: Words next to the cue that are judged for themselves.
 NEAR, BEYOND = 7, 8
@@ -174,8 +179,13 @@ OTHER = (
     "Copyright law protects the works of living authors.",
     "The proprietary recipe of the bakery is known to two people.",
 )
-# Fixed stems: a paragraph without any of them has no feature of a template.
+# Fixed stems that speak of licences; those of two words stand for neighbours.
 CUES = ("licens", "licenc", "copyright", "permission", "redistribut", "public domain", "creative commons", "cc by", "cc-by", "cc0", "rights reserved", "applicable law", "spdx", "gpl", "proprietary", "unauthorized copying")
+# Fixed stems of names, and of pieces of templates in which none of these stands. Then names that are words, too, after a grant.
+MORE_CUES = ("software", "gnu", "modif", "commercial", "materials", "granted", "disclaimer", "obtaining", "compliance", "prohibited", "publication", "permitted", "except", "associated", "writing", "distribut", "source", "copies", "purpose", "apache", "mozilla", "eclipse", "bsd", "mpl", "epl", "zlib", "conditions", "binary", "medium", "received", "dedicated", "restrictions", "subject")
+SHORT = "(?:under|the|of){0}(?:mit|isc)"
+#: What may part neighbours in a text whose lines aren't joined yet.
+GAP = r"[\s#*/;]+"
 FAMILIES = tuple(TEMPLATES)
 #: Between the words that grant and a name, in text of which only words are left.
 GRANT = r"(?:licen[sc]ed|released|distributed|available|published|shared|covered|provided|usable) under (?:the )?(?:terms (?:and conditions )?of )?(?:the )?"
@@ -191,6 +201,23 @@ def has_cue(text: Column) -> Column:
     return found
 
 
+def may_have_cue(text: Column) -> Column:
+    """Whether a whole text may hold a cue: one of the stems, however lines are wrapped."""
+    stems = [*(c for c in CUES if " " not in c), *(c.split(" ")[1] for c in CUES if " " in c and c != "cc by"), *MORE_CUES]
+    pairs = rf"\b(?:cc{GAP}by|{SHORT.format(GAP)}\b)"
+    return once(F.lower(text), lambda low: reduce(or_, [low.contains(c) for c in stems]) | low.rlike(pairs))
+
+
+def is_cue(word: Column, two: Column) -> Column:
+    """Whether a word, of which two is it and the next one, is a cue; both in lower case."""
+    return reduce(or_, [(two if " " in c else word).contains(c) for c in (*CUES, *MORE_CUES)]) | two.rlike(rf"\b{SHORT.format(' ')}\b")
+
+
+def once(value: Column, f: Callable[[Column], Column]) -> Column:
+    """f of a value that is computed once, however often f uses it."""
+    return F.transform(F.array(value), f)[0]
+
+
 def words(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit("[a-z0-9]+"), F.lit(0))
 
@@ -202,18 +229,23 @@ def pairs(w: Column) -> Column:
     return F.when(F.size(w) > 1, two).otherwise(w)
 
 
-def features(rows: DataFrame) -> DataFrame:
-    w = words(F.col("paragraph"))
-    return HashingTF(numFeatures=FEATURES, inputCol="grams", outputCol="x", binary=True).transform(rows.withColumn("grams", F.concat(w, pairs(w))))
+def features(rows: DataFrame, column: str = "paragraph") -> DataFrame:
+    grams = once(words(F.col(column)), lambda w: F.concat(w, pairs(w)))
+    return HashingTF(numFeatures=FEATURES, inputCol="grams", outputCol="x", binary=True).transform(rows.withColumn("grams", grams))
 
 
-def paragraphs(text: Column) -> Column:
-    """The paragraphs of a text, in order."""
-    blocks = F.filter(F.split(text, r"\n[ \t\r]*\n"), has_cue)
-    joined = F.transform(blocks, lambda b: F.regexp_replace(b, r"\s*\n[\s#*/;]*", " "))
-    cue = "|".join(CUES)
-    window = rf"(?i)(?:[^\s]{{1,60}}\s+){{0,{BEFORE}}}[^\s]{{0,60}}?(?:{cue})[^\s]*(?:\s+[^\s]+){{0,{AFTER}}}"
-    return F.flatten(F.transform(joined, lambda b: F.regexp_extract_all(b, F.lit(window), F.lit(0))))
+def cues(rows: DataFrame) -> DataFrame:
+    """row, block, i (the word's place in its block), wide and near (the words around it) of every cue of rows (row, text)."""
+
+    def around(w: Column) -> Column:
+        low = F.transform(w, lambda x, i: F.struct(F.lower(x).alias("word"), F.lower(F.concat_ws(" ", x, F.get(w, i + 1))).alias("two")))
+        at = F.filter(F.transform(low, lambda x, i: F.when(is_cue(x["word"], x["two"]), i)), lambda i: i.isNotNull())
+        cut = lambda i, a, b: F.array_join(F.slice(w, F.greatest(i - a, F.lit(0)) + 1, F.least(i, F.lit(a)) + b + 1), " ")
+        return F.transform(at, lambda i: F.struct(i.alias("i"), cut(i, BEFORE, AFTER).alias("wide"), cut(i, NEAR, BEYOND).alias("near")))
+
+    blocks = rows.select("row", F.posexplode(F.split("text", r"\n[ \t\r]*\n")).alias("block", "b"))
+    split = F.filter(F.split(F.regexp_replace("b", r"\s*\n[\s#*/;]*", " "), r"\s+"), lambda x: x != "")
+    return blocks.select("row", "block", F.explode(once(split, around)).alias("cue")).select("row", "block", "cue.i", "cue.wide", "cue.near")
 
 
 def examples(spark: SparkSession, docs: DataFrame) -> DataFrame:
@@ -234,12 +266,12 @@ def examples(spark: SparkSession, docs: DataFrame) -> DataFrame:
     # templates before, after and between words of corpus text, as they stand in documents
     lead = some.select(F.regexp_extract("paragraph", rf"^((?:\S+\s+){{1,{BEFORE}}})((?:\S+\s+){{1,{AFTER}}})", 1).alias("lead"), F.regexp_extract("paragraph", rf"^((?:\S+\s+){{1,{BEFORE}}})((?:\S+\s+){{1,{AFTER}}})", 2).alias("trail"))
     lead = lead.where("trail != ''").orderBy(F.xxhash64("lead", "trail"), "lead").limit(LEADS)
-    each = lambda some: F.explode(F.array(*[F.struct(F.lit(t).alias("t"), F.lit(f).alias("family")) for t, f in some])).alias("e")
+    each = lambda rows, some: rows.crossJoin(F.broadcast(spark.createDataFrame(some, "t string, family string")))
     few = lead.where(F.pmod(F.xxhash64("lead", "trail"), F.lit(10)) == 0)
-    inside = lead.select("lead", "trail", each(given + halves)).unionByName(few.select("lead", "trail", each(short)))
-    inside = inside.withColumn("side", F.pmod(F.xxhash64("lead", "trail", "e.t"), F.lit(3)))
-    around = F.concat(F.when(F.col("side") != 0, F.col("lead")).otherwise(""), "e.t", F.when(F.col("side") != 1, F.concat(F.lit(" "), F.rtrim("trail"))).otherwise(""))
-    inside = inside.select(around.alias("paragraph"), "e.family", F.lit(0).alias("copy"))
+    inside = each(lead, given + halves).unionByName(each(few, short))
+    inside = inside.withColumn("side", F.pmod(F.xxhash64("lead", "trail", "t"), F.lit(3)))
+    around = F.concat(F.when(F.col("side") != 0, F.col("lead")).otherwise(""), "t", F.when(F.col("side") != 1, F.concat(F.lit(" "), F.rtrim("trail"))).otherwise(""))
+    inside = inside.select(around.alias("paragraph"), "family", F.lit(0).alias("copy"))
     rows = alone.unionByName(inside).unionByName(background).unionByName(by_chance)
     return C.written(rows.select("paragraph", "family", (F.pmod(F.xxhash64("paragraph", "copy"), F.lit(5)) == 0).alias("held")))
 
@@ -248,7 +280,7 @@ class Model:
     def __init__(self, spark: SparkSession, docs: DataFrame):
         self.labels = [UNKNOWN, *FAMILIES]
         code = F.create_map(*[F.lit(x) for i, f in enumerate(self.labels) for x in (f, float(i))])
-        rows = features(examples(spark, docs)).withColumn("label", code[F.col("family")]).select("x", "label", "held")
+        rows = features(examples(spark, docs)).withColumn("label", code[F.col("family")]).select("x", "label", "held").coalesce(2)  # few rows: each task sends the whole gradient in each step
         self.lr: LogisticRegressionModel = LogisticRegression(featuresCol="x", labelCol="label", family="multinomial", regParam=0.001, maxIter=40).fit(rows.where("NOT held"))
         held = self.lr.transform(rows.where("held")).select("label", vector_to_array("rawPrediction").alias("raw"))
         losses = held.agg(*[F.avg(-F.log(self.softmax(F.col("raw"), t)[F.col("label").cast("int")] + 1e-12)).alias(f"t{i}") for i, t in enumerate(self.temperatures)]).first()
@@ -258,26 +290,29 @@ class Model:
 
     @staticmethod
     def softmax(raw: Column, temperature: float) -> Column:
-        top = F.array_max(raw)
-        e = F.transform(raw, lambda x: F.exp((x - top) / temperature))
-        return F.transform(e, lambda x: x / F.aggregate(e, F.lit(0.0), lambda a, b: a + b))
+        powers = lambda raw: F.transform(raw, lambda x: F.exp((x - F.array_max(raw)) / temperature))
+        shares = lambda e: once(F.aggregate(e, F.lit(0.0), lambda a, b: a + b), lambda all_: F.transform(e, lambda x: x / all_))
+        return once(once(raw, powers), shares)
 
-    def probabilities(self, rows: DataFrame, into: str) -> DataFrame:
-        """rows with the calibrated probabilities of their paragraph."""
-        made = self.lr.transform(features(rows))
+    def probabilities(self, rows: DataFrame, column: str, into: str) -> DataFrame:
+        """rows with the calibrated probabilities of a column's words."""
+        made = self.lr.transform(features(rows, column))
         return made.select(*rows.columns, self.softmax(vector_to_array("rawPrediction"), self.temperature).alias(into))
 
     def judged(self, rows: DataFrame) -> DataFrame:
-        """rows (paragraph) with found, the families as (family, probability)."""
-        cue = "|".join(CUES)
-        near = F.regexp_extract("wide", rf"(?i)(?:\S+\s+){{0,{NEAR}}}?\S*(?:{cue})\S*(?:\s+\S+){{0,{BEYOND}}}", 0)
-        made = rows.withColumn("wide", F.col("paragraph")).withColumn("paragraph", near)
-        made = self.probabilities(made, "near").withColumns({"plain": F.concat(F.lit(" "), F.array_join(words(F.col("paragraph")), " "), F.lit(" ")), "pairs_near": F.array_distinct(pairs(words(F.col("paragraph"))))})
-        made = self.probabilities(made.withColumn("paragraph", F.col("wide")), "p").withColumn("pairs", F.array_distinct(pairs(words(F.col("paragraph")))))
-        known = lambda i, f: ((F.col("p")[i] >= LEAST) & confirmed(F.col("pairs"), f, CONTAINED)) | ((F.col("p")[i] > F.col("p")[0]) & confirmed(F.col("pairs"), f, 1.0)) | ((F.col("near")[i] >= LEAST) & (named(F.col("plain"), f) | confirmed(F.col("pairs_near"), f, CONTAINED)))
-        stands = lambda i, f: known(i, f) & ~F.col("paragraph").rlike(NOT_RESERVED) if f == "Proprietary" else known(i, f)
-        found = [F.when(stands(i, f), F.struct(F.lit(f).alias("family"), F.col("p")[i].alias("probability"))) for i, f in enumerate(self.labels) if i]
-        return made.select(*rows.columns, F.filter(F.array(*found), lambda x: x.isNotNull()).alias("found"))
+        """rows (wide, near) with found, the families as (family, probability)."""
+        made = self.probabilities(self.probabilities(rows, "near", "q"), "wide", "p")
+        plain = once(F.concat(F.lit(" "), F.array_join(words(F.col("near")), " "), F.lit(" ")), lambda x: F.array_compact(F.array(*[F.when(named(x, f), F.lit(f)) for f in NAMES])))
+        made = made.withColumns({"names": plain, "by_near": confirmed(F.col("near")), "by_wide": confirmed(F.col("wide")), "reserved": F.col("wide").rlike(NOT_RESERVED)})
+        p, q, by_near, by_wide = (F.col(c) for c in ("p", "q", "by_near", "by_wide"))
+
+        def of(f: Column, i: Column) -> Column:
+            known = ((p[i + 1] >= LEAST) & F.array_contains(by_wide["some"], f)) | ((p[i + 1] > p[0]) & F.array_contains(by_wide["whole"], f))
+            known = known | ((q[i + 1] >= LEAST) & (F.array_contains("names", f) | F.array_contains(by_near["some"], f)))
+            return F.when(known & ~((f == "Proprietary") & F.col("reserved")), F.struct(f.alias("family"), p[i + 1].alias("probability")))
+
+        found = F.array_compact(F.transform(F.array(*[F.lit(f) for f in self.labels[1:]]), of))
+        return made.select(*rows.columns, found.alias("found"))
 
 
 def named(plain: Column, family: str) -> Column:
@@ -293,28 +328,34 @@ def named(plain: Column, family: str) -> Column:
     return plain.rlike(f" {GRANT}{name} | (?:licen[sc]e|licen[sc]ed|spdx license identifier) {name} | {name} licen[sc]ed? {alone}")
 
 
-def confirmed(own: Column, family: str, share: float) -> Column:
-    """Whether the word pairs of a paragraph are those of one of the family's templates, or, but for a share of 1, of a piece of one."""
-    out = F.lit(False)
-    for template in TEMPLATES[family]:
-        of = F.array_distinct(pairs(words(F.lit(template))))  # folded into the plan
-        shared = F.size(F.array_intersect(own, of))
-        out = out | (shared >= share * F.size(of))
-        if share < 1:
-            out = out | ((shared >= PIECE) & (shared >= share * F.size(own)))
-    return out
+def confirmed(text: Column) -> Column:
+    """some: the families of templates whose word pairs a text holds CONTAINED of, or that hold as much of its; whole: of those that it holds all of."""
+    given = [(f, "|".join(" ".join(two) for two in zip(w, w[1:], strict=False)) or w[0]) for f, ts in TEMPLATES.items() for t in ts if (w := re.findall("[a-z0-9]+", t.lower()))]
+    # folded into the plan as one value
+    table = F.array(*[F.struct(F.lit(f).alias("family"), F.array_distinct(F.split(F.lit(two), "\\|")).alias("pairs")) for f, two in given])
+
+    def of(own: Column) -> Column:
+        shared = F.transform(table, lambda t: F.struct(t["family"].alias("family"), F.size(t["pairs"]).alias("n"), F.size(F.array_intersect(own, t["pairs"])).alias("k")))
+        most = lambda t: (t["k"] >= CONTAINED * t["n"]) | ((t["k"] >= PIECE) & (t["k"] >= CONTAINED * F.size(own)))
+        families = lambda held, ok: F.array_distinct(F.transform(F.filter(held, ok), lambda t: t["family"]))
+        return once(shared, lambda held: F.struct(families(held, most).alias("some"), families(held, lambda t: t["k"] >= t["n"]).alias("whole")))
+
+    return once(once(words(text), lambda w: F.array_distinct(pairs(w))), of)
 
 
 def scan(docs: DataFrame) -> DataFrame:
     """doc_id, families (sorted, distinct), n_paragraphs with a cue, n_licensed of them, and the least probability among these; of every row."""
     model = Model(docs.sparkSession, docs)
-    text = F.when(has_cue(F.col("text")), paragraphs(F.col("text")))
-    rows = C.written(docs.select("doc_id", F.monotonically_increasing_id().alias("row"), text.alias("paragraphs")))
-    found = model.judged(rows.where(F.size("paragraphs") > 0).select("row", F.explode("paragraphs").alias("paragraph")))
+    rows = C.written(docs.select("doc_id", F.monotonically_increasing_id().alias("row"), F.when(may_have_cue(F.col("text")), F.col("text")).alias("text")))
+    found = model.judged(cues(rows.where("text IS NOT NULL").select("row", "text"))).select("row", "block", "i", "found")
+    upto = Window.partitionBy("row").orderBy("block", "i")
+    last = F.lag(F.struct("block", "i")).over(upto)
+    begins = last.isNull() | (last["block"] != F.col("block")) | (F.col("i") > last["i"] + AFTER)
+    found = found.withColumn("paragraph", begins.cast("long")).withColumn("paragraph", F.sum("paragraph").over(upto))
     per_row = found.groupBy("row").agg(
-        F.array_sort(F.array_distinct(F.flatten(F.collect_list(F.transform("found", lambda x: x["family"]))))).alias("families"),
-        F.count("*").alias("n_paragraphs"),
-        F.count_if(F.size("found") > 0).alias("n_licensed"),
+        F.array_sort(F.array_distinct(F.flatten(F.collect_set(F.transform("found", lambda x: x["family"]))))).alias("families"),
+        F.max("paragraph").alias("n_paragraphs"),
+        F.size(F.collect_set(F.when(F.size("found") > 0, F.col("paragraph")))).alias("n_licensed"),
         F.min(F.array_min(F.transform("found", lambda x: x["probability"]))).alias("probability"),
     )
     out = rows.select("row", "doc_id").join(per_row, "row", "left")

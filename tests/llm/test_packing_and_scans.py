@@ -429,3 +429,29 @@ def test_statements_of_licences(spark):
         pairs = [(got[1_000_000 * k + i], want) for i, (_, want) in enumerate(STATEMENTS)]
         found, asked = [p for p in pairs if p[0]], [p for p in pairs if p[1]]
         assert sum(a == b for a, b in found) >= 0.9 * len(found) and sum(a == b for a, b in asked) >= 0.9 * len(asked), [(s, got[1_000_000 * k + i]) for i, (s, w) in enumerate(STATEMENTS) if got[1_000_000 * k + i] != w]
+
+
+def test_every_piece_and_name_of_a_licence_has_a_cue(spark):
+    """Only around cues is anything judged; once, pieces without one were passed over."""
+    runs = [" ".join(w[i : i + 7]) for ts in licenses.TEMPLATES.values() for t in ts for w in [re.findall("[a-z0-9]+", t.lower())] for i in range(max(1, len(w) - 6))]
+    named = [form.format(n) for ns in licenses.NAMES.values() for n in ns for form in licenses.FORMS[1:]]
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(runs + named)], "row long, text string")
+    seen = {r["row"] for r in licenses.cues(rows).select("row").distinct().collect()}
+    assert seen <= {r["row"] for r in rows.where(licenses.may_have_cue(F.col("text"))).collect()}
+    anywhere = {"is available under the terms of the", "are made available under the terms of", "made available under the terms of the", "and by any means for more information", "by any means for more information please", "any means for more information please refer", "means for more information please refer to", "for more information please refer to the", "to the extent possible under law the", "the extent possible under law the author"}
+    anywhere |= {"extent possible under law the author has"}
+    assert {(runs + named)[i] for i in range(len(runs + named)) if i not in seen} <= anywhere
+
+
+def test_licences_at_every_place(spark):
+    """Beside other cues, where the words of one end; across lines; in every place of a long text."""
+    docs = spark.read.parquet(f"{DIR}/documents.parquet").select("doc_id", "text")
+    texts = {"The code is available under Apache-2.0.": "Apache-2.0", "All rights\n# reserved.": "Proprietary", "dedicated under Creative\n// Commons Attribution 4.0 License": "CC-BY"}
+    far = "you may not use this file except in compliance with the"
+    texts |= {f"{'word ' * 300}\n\n{far}": "Apache-2.0"}
+    # the n-th word after a first cue: any n, so also where that one's words end
+    texts |= {f"The license plate {'ana ' * n}is released under the MIT License, {'ono ' * 20}": "MIT" for n in range(25, 50, 3)}
+    texts |= {f"copyright {'ana ' * n}permission {'ana ' * 12}licensed under the GPL {'ono ' * 9}": "GPL" for n in (3, 9, 20)}
+    extra = spark.createDataFrame([(10**6 + i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    got = {r["doc_id"]: r["families"] for r in licenses.scan(docs.unionByName(extra)).collect()}
+    assert [(t, got[10**6 + i]) for i, t in enumerate(texts)] == list(texts.items())
