@@ -100,7 +100,8 @@ def confidence(text: Column, hedges=P.HEDGES, refusals=P.REFUSALS) -> Column:
 
 def masked_code(text: Column) -> Column:
     """text with code blocks, fenced or indented, replaced by a word."""
-    return F.regexp_replace(F.regexp_replace(text, "```[\\s\\S]*?```", "```CODE_BLOCK```"), "(?m)(?:^(?:    |\\t).+\\n){2,}", "INDENTED_CODE_BLOCK\n")
+    fenced = F.when(text.contains("```"), F.regexp_replace(text, "```[\\s\\S]*?```", "```CODE_BLOCK```")).otherwise(text)
+    return F.when(text.contains("    ") | text.contains("\t"), F.regexp_replace(fenced, "(?m)(?:^(?:    |\\t).+\\n){2,}", "INDENTED_CODE_BLOCK\n")).otherwise(fenced)
 
 
 def category_hits(scan: Column, low: Column, categories: dict = P.CONTAMINATION, needs: dict = P.CONTAMINATION_NEEDS) -> dict[str, Column]:
@@ -118,17 +119,27 @@ def category_hits(scan: Column, low: Column, categories: dict = P.CONTAMINATION,
     return {name: of(name) for name in categories}
 
 
-def decontaminated(text: Column, categories: dict = P.CONTAMINATION) -> Column:
-    """text without the patterns that occur outside code (they then go inside code, too); unchanged if it is blocked."""
-    scan = masked_code(text)
-    hit = {name: any_match(scan, found) for name, found in categories.items()}
-    n = sum((h.cast("int") for h in hit.values()), F.lit(0))
-    out = text
-    for found in categories.values():
-        for p in found:
-            # a pattern that isn't found outside code becomes one that matches nothing, so the expression stays a chain
-            out = F.regexp_replace(out, F.when(scan.rlike(p), p).otherwise("(?!)"), F.lit(""))
-    return F.when(n >= P.BLOCK_CATEGORIES, text).otherwise(F.regexp_replace(out, "\\n{3,}", "\n\n"))
+def decontaminated(text: Column, categories: dict = P.CONTAMINATION, needs: dict | None = None) -> Column:
+    """text without the patterns that occur outside code (they then go inside code, too); unchanged if it is blocked.
+
+    A pattern runs where one of the literals that it needs stands, and goes from texts in which it was found. needs: these
+    literals, as in P.CONTAMINATION_NEEDS, which holds those of P.CONTAMINATION.
+    """
+    needs = needs if needs is not None else P.CONTAMINATION_NEEDS if categories is P.CONTAMINATION else {}
+    given = [(name, p, needs[name][i] if i < len(needs.get(name, ())) else ()) for name, found in categories.items() for i, p in enumerate(found)]
+
+    def found_in(scan: Column) -> Column:
+        def of(low: Column) -> Column:
+            may = lambda literals: reduce(or_, [low.contains(x) for x in literals], F.lit(not literals))
+            return F.array_compact(F.array(*[F.when(may(literals) & scan.rlike(p), F.struct(F.lit(name).alias("name"), F.lit(p).alias("p"))) for name, p, literals in given]))
+
+        return once(F.lower(scan), of)
+
+    def without(found: Column) -> Column:
+        cut = F.aggregate(found, text, lambda t, x: F.regexp_replace(t, x["p"], F.lit("")))
+        return F.when(F.size(F.array_distinct(F.transform(found, lambda x: x["name"]))) >= P.BLOCK_CATEGORIES, text).otherwise(F.regexp_replace(cut, "\\n{3,}", "\n\n"))
+
+    return once(once(masked_code(text), found_in), without)
 
 
 def cleaned_response(text: Column) -> Column:
