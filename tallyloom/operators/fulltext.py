@@ -3,7 +3,8 @@
 The index is a folder of two tables. `postings` has a row for each term of each document, with the term's positions;
 it is partitioned by a hash of the term into SHARDS folders and sorted by term inside each file, so a word's query
 reads one folder and, by the files' statistics, the parts with that word; a prefix is a range of terms. A shard's rows
-are dealt over SALT tasks by document when they are written, since a common word has a row for each document.
+are dealt over tasks by document when they are written, since a common word has a row for each document: SALT tasks, or
+more, so that a task gets about TASK_WORDS however large the load is.
 `sizes` has the number of documents and of words of each load. Loads are appended; documents aren't read by queries.
 
 A query is made of `word`, `prefix`, `phrase` (of which the last word may be a prefix) and `near`, combined by `both`,
@@ -24,12 +25,14 @@ from operator import or_
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import scoring as S
 
 SHARDS, SALT = 16, 4
+#: Words of a shard's load for each task that sorts and writes them, about; words that a task inverts at once (a longer text is handled whole).
+TASK_WORDS, SLICE_WORDS = 1 << 20, 1 << 18
 
 
 @dataclass(frozen=True)
@@ -107,10 +110,18 @@ def leaves(query: Leaf | Pair) -> Iterator[Leaf]:
 
 
 def inverted(rows: DataFrame) -> DataFrame:
-    """doc, term, positions of rows (doc, words); within each batch, nothing is shuffled."""
+    """doc, term, positions of rows (doc, words); within each slice of a batch, nothing is shuffled."""
+
+    def slices(batch):
+        ends = np.cumsum(pc.list_value_length(batch.column("words")).to_numpy(zero_copy_only=False).astype(np.int64))
+        at = 0
+        while at < len(ends):
+            to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + SLICE_WORDS, side="right")))
+            yield batch.slice(at, to - at)
+            at = to
 
     def run(batches):
-        for batch in batches:
+        for batch in (part for b in batches for part in slices(b)):
             lists = batch.column("words")
             if not (n := len(lists.flatten())):
                 continue
@@ -137,11 +148,15 @@ class Index:
     def add(self, docs: DataFrame, key: str = "doc_id", text: str = "text") -> Index:
         """Appends documents (their keys must be new; null keys aren't indexed)."""
         rows = docs.where(F.col(key).isNotNull()).select(F.col(key).cast("long").alias("doc"), terms(F.col(text)).alias("words"))
-        postings = inverted(rows).withColumns({"shard": self.shard(F.col("term")), "salt": F.pmod(F.xxhash64("doc"), F.lit(SALT))})
-        dealt = postings.repartition(self.shards * SALT, "shard", "salt").drop("salt").sortWithinPartitions("shard", "term", "doc")
+        seen = Observation()
+        lengths = rows.select("doc", F.size("words").cast("long").alias("words"))
+        lengths.observe(seen, F.count(F.lit(1)).alias("docs"), F.coalesce(F.sum("words"), F.lit(0)).alias("words")).write.mode("append").parquet(f"{self.path}/lengths")
+        n = seen.get
+        self.spark.range(1).select(F.lit(n["docs"]).cast("long").alias("docs"), F.lit(n["words"]).cast("long").alias("words")).write.mode("append").parquet(f"{self.path}/sizes")
+        salt = max(SALT, -(-n["words"] // (self.shards * TASK_WORDS)))
+        postings = inverted(rows).withColumns({"shard": self.shard(F.col("term")), "salt": F.pmod(F.xxhash64("doc"), F.lit(salt))})
+        dealt = postings.repartition(self.shards * salt, "shard", "salt").drop("salt").sortWithinPartitions("shard", "term", "doc")
         dealt.write.mode("append").partitionBy("shard").parquet(f"{self.path}/postings")
-        rows.agg(F.count("*").alias("docs"), F.coalesce(F.sum(F.size("words")), F.lit(0)).cast("long").alias("words")).write.mode("append").parquet(f"{self.path}/sizes")
-        rows.select("doc", F.size("words").cast("long").alias("words")).write.mode("append").parquet(f"{self.path}/lengths")
         return self
 
     def shard(self, term: Column) -> Column:

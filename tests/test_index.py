@@ -68,6 +68,20 @@ def test_a_common_word_is_dealt_over_files(spark, tmp_path):
     assert len(files) > 1 and max(r["count"] for r in files) < 250
 
 
+def test_a_large_load_is_dealt_over_more_tasks_in_slices(spark, corpus, tmp_path, monkeypatch):
+    """Memory of a task doesn't grow with the load: words inverted at once, and words that a task sorts."""
+    _, docs, words = corpus
+    monkeypatch.setattr(T, "TASK_WORDS", 10)
+    monkeypatch.setattr(T, "SLICE_WORDS", 16)
+    index = T.Index(spark, str(tmp_path / "i")).add(docs)
+    files = index.postings().where("term = 'the'").select(F.col("_metadata.file_path").alias("f")).distinct().count()
+    assert files > 2 * T.SALT
+    assert sorted(r["doc"] for r in index.match(T.phrase("the other cat")).collect()) == [i for i, w in enumerate(words) if holds(T.phrase("the other cat"), w)]
+    assert [tuple(r) for r in spark.read.parquet(f"{tmp_path}/i/sizes").select("docs", "words").collect()] == [(len(words), sum(map(len, words)))]
+    got = {(r["doc"], r["term"]): sorted(r["positions"]) for r in index.postings().collect()}
+    assert got == {(i, t): [k for k, x in enumerate(w) if x == t] for i, w in enumerate(words) for t in w}
+
+
 def test_ranks(corpus):
     index, docs, words = corpus
     import math
