@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import contextlib
 import ctypes
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -16,6 +17,8 @@ from pyspark.sql import functions as F
 
 #: Bytes of text that a task handles at once (a longer single text is handled whole).
 SLICE_BYTES = 2 << 20
+#: Bytes of an Arrow batch that Spark hands to a Python step, beside its last row.
+BATCH_BYTES, BATCH_SETTING = 4 << 20, "spark.sql.execution.arrow.maxBytesPerBatch"
 
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
@@ -27,6 +30,13 @@ ALNUM = np.zeros(256, bool)
 ALNUM[0x30:0x3A] = ALNUM[0x61:0x7B] = ALNUM[0x80:] = True
 
 
+def bounded_batches(spark: SparkSession) -> None:
+    """From now on the session's batches hold BATCH_BYTES at most, unless its setting is lower already. By default they hold 64 MB, which executors keep several times outside their heap, beside the Python workers' copies."""
+    digits, unit = re.fullmatch(r"\s*(-?\d+)\s*([kmgtp]?)i?b?\s*", spark.conf.get(BATCH_SETTING).lower()).groups()
+    if not 0 < int(digits) << 10 * " kmgtp".index(unit or " ") <= BATCH_BYTES:
+        spark.conf.set(BATCH_SETTING, f"{BATCH_BYTES}b")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

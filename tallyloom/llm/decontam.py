@@ -186,6 +186,7 @@ def op6_benchmark_decontamination(spark, sf_dir) -> DataFrame:
 
 def stage_decontaminate(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents in which no benchmark window occurs; rows are told apart by a number of their own."""
+    C.bounded_batches(spark)
     rows, names, hits, _ = contamination(docs, C.table(spark, sf_dir, "benchmark"), docs.columns)
     return C.renamed(C.without(rows, hits.select("row").distinct(), "row"), names, docs.columns)
 

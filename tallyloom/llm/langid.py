@@ -201,6 +201,7 @@ def stage_language(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Without any labelled document nothing is known of languages, and all documents with a letter stay as they are.
     """
+    C.bounded_batches(spark)
     labelled = docs.where(F.coalesce(C.remainder("doc_id", 4) != 2, F.lit(True)))
     model = train(labelled)
     lettered = docs.where(F.coalesce(F.col("`text`").rlike(r"\p{L}"), F.lit(False)))

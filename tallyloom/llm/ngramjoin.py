@@ -311,6 +311,7 @@ def links(docs: DataFrame, first: DataFrame, members: DataFrame, shingle: int, p
 
 def joined(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles, component_id of every row."""
+    C.bounded_batches(docs.sparkSession)
     rows = scanned(docs, common_shingles(docs, shingle), shingle, percent)
     own = rows.where("kind = 0").select("doc_id", "n", "x")
     first = C.written(rows.where("kind = 0 AND x IS NOT NULL").groupBy("x").agg(F.min("doc_id").alias("first"), F.first("sketch").alias("sketch")))

@@ -158,4 +158,5 @@ def op4_harmonic_packing(spark, sf_dir) -> DataFrame:
 
 def stage_pack(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of all documents, packed; no document goes, and an empty table gives no rows."""
+    C.bounded_batches(spark)
     return pack(docs, default_tokenizer())

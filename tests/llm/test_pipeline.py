@@ -6,6 +6,9 @@ import sys
 from pathlib import Path
 
 import corpus_pipeline
+import pyarrow as pa
+import pytest
+from pyspark.sql import functions as F
 
 from tallyloom.llm import common as C
 from tallyloom.llm import packing
@@ -40,6 +43,27 @@ def test_odd_documents_pass(spark, odd, nothing, folder):
     assert corpus_pipeline.run(spark, f"{empty}/e").count() == 0
 
 
+@pytest.mark.parametrize("name", ["language", "near_duplicates", "decontaminate", "pack"])
+def test_stages_bound_the_batches_of_their_python_steps(spark, odd, folder, name):
+    """10,000 rows of 3 KB would else be one batch; a lower setting stays, and every row is handed over."""
+    sf = folder(benchmark=spark.createDataFrame([(1, "x")], "item_id long, text string"))
+    docs = spark.range(0, 10_000, 1, 1).select(F.format_string("%03000d", "id").alias("text"))
+
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_pydict({"n": pa.array([b.num_rows]), "bytes": pa.array([b.nbytes])})
+
+    before = spark.conf.get(C.BATCH_SETTING)
+    try:
+        for setting, least, most in (("64m", 7, C.BATCH_BYTES + 4096), ("1m", 28, (1 << 20) + 4096)):
+            spark.conf.set(C.BATCH_SETTING, setting)
+            dict(corpus_pipeline.STAGES)[name](spark, odd, sf)
+            got = docs.mapInArrow(sizes, "n long, bytes long").collect()
+            assert sum(r["n"] for r in got) == 10_000 and len(got) >= least and max(r["bytes"] for r in got) <= most
+    finally:
+        spark.conf.set(C.BATCH_SETTING, before)
+
+
 def test_the_rest_stands_alone(tmp_path):
     """A copy without the llm folders and the pipeline still imports, lists the other queries and passes their tests."""
     for part in ("tallyloom", "tests", "__spark_entry__.py"):
