@@ -145,8 +145,8 @@ def postings(docs: DataFrame, terms: Sequence[str] | None = None) -> DataFrame:
     return rows.select("doc_id", "length", F.explode("words").alias("term")).groupBy("term", "doc_id", "length").agg(F.count("*").alias("tf"))
 
 
-def bm25(docs: DataFrame, terms: Sequence[str], top: int = 20) -> DataFrame:
-    """doc_id, score of the best documents that hold all terms."""
+def bm25(docs: DataFrame, terms: Sequence[str], top: int = 20, digits: int = 9) -> DataFrame:
+    """doc_id, score of the best documents that hold all terms. Scores are rounded first, so those that are equal as given go by doc_id, a null one last."""
     rows = docs.select("doc_id", F.lower("text").alias("low"))
     of = lambda pattern: F.regexp_count("low", F.lit(pattern)).cast("long")
     tf = lambda t: F.when(F.col("low").contains(t), of(f"(?<![a-z0-9]){t}(?![a-z0-9])")).otherwise(F.lit(0).cast("long"))
@@ -154,7 +154,7 @@ def bm25(docs: DataFrame, terms: Sequence[str], top: int = 20) -> DataFrame:
     stats = counted.agg(F.count("*").alias("n"), F.avg("length").alias("mean"), *[F.count_if(F.col(f"tf{i}") > 0).alias(f"df{i}") for i in range(len(terms))])
     both = counted.where(" AND ".join(f"tf{i} > 0" for i in range(len(terms)))).join(F.broadcast(stats))  # one row
     score = sum((S.bm25_part(F.col(f"tf{i}"), F.col("length"), F.col("mean"), F.col("n"), F.col(f"df{i}")) for i in range(len(terms))), F.lit(0.0))
-    return both.select("doc_id", score.alias("score")).orderBy(F.desc(F.round("score", 9)), "doc_id").limit(top)
+    return both.select("doc_id", F.round(score, digits).alias("score")).orderBy(F.desc("score"), F.asc_nulls_last("doc_id")).limit(top)
 
 
 def term_statistics(docs: DataFrame, stop: Sequence[str] = ()) -> DataFrame:
