@@ -6,13 +6,14 @@ import random
 import re
 from zlib import crc32
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from tallyloom.llm import common as C
 from tallyloom.llm import katz, langid
 
-from .conftest import DIR, needs_data
+from .conftest import COLUMNS, DIR, needs_data
 
 
 @needs_data
@@ -71,6 +72,25 @@ def test_stage_without_labels_keeps_what_has_a_letter(spark, odd):
     assert kept.schema == none.schema and sorted(r["doc_id"] or 0 for r in kept.select("doc_id").collect()) == [0, 1, 6, 7, 7, 8, 9, 11]
 
 
+def test_stage_learns_from_all_labelled_texts(spark, odd):
+    text = "в начале было слово и слово было у бога и дом стоял на горе "
+    ids = [i for i in range(200) if crc32(str(i).encode()) % 4 == 2]  # those that op1 holds out
+    rows = [(i, text[i % 7 :] * 3, "ru", "s", 1) for i in ids] + [(1000 + i, "the cat sat on the mat and looked at the moon " * 3, "en", "s", 1) for i in range(200)]
+    kept = langid.stage_language(spark, spark.createDataFrame([*rows, (5000, text, None, "s", 1)], COLUMNS), "")
+    assert {r["doc_id"]: r["lang"] for r in kept.collect()} == {r[0]: r[2] for r in rows} | {5000: "ru"}
+
+
+def test_threshold_is_of_all_labelled_texts(spark, monkeypatch):
+    monkeypatch.setattr(langid, "EVIDENCE", -1e9)
+    rng = random.Random(8)
+    word = lambda: "".join(rng.choice(("ba", "no", "ri", "ste", "lu")) for _ in range(rng.randrange(1, 4)))
+    texts = [" ".join(word() if rng.random() < 0.9 else "".join(rng.sample("qxzjkvw", 5)) for _ in range(rng.randrange(1, 12))) for _ in range(4500)]
+    docs = spark.createDataFrame([(i, t, "xx", "s", 1) for i, t in enumerate(texts)], COLUMNS)
+    model = langid.train(docs)
+    evidence = sorted(langid.scored(*C.utf8(pa.array(texts)), model)[2])
+    assert langid.threshold(docs, model) == pytest.approx(evidence[4])
+
+
 def naive_bayes(texts, learn):
     """Predictions as the description says, with dictionaries over hashed n-grams."""
     def grams(text):
