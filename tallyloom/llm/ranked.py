@@ -98,6 +98,7 @@ class Index:
 
     def __init__(self, docs: DataFrame):
         """docs: doc_id, text."""
+        C.bounded_batches(docs.sparkSession)
         self.n, self.l = n, l = sizes(docs)
 
         def build(batches):
@@ -111,7 +112,8 @@ class Index:
                         yield pa.RecordBatch.from_arrays(rows, names=["docs", "terms", "offsets", "places", "impacts"])
 
         rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(C.released(build), SEGMENT)
-        self.segments = C.written(rows, options={"parquet.block.size": str(ROW_GROUP)})
+        # by default Parquet's writer looks at its size after 100 rows first, and holds, as do all who read, 100 segments
+        self.segments = C.written(rows, options={"parquet.block.size": str(ROW_GROUP)} | {f"parquet.page.size.row.check.{x}": "1" for x in ("min", "max")})
 
     def document_frequencies(self, terms: np.ndarray) -> np.ndarray:
         """In how many documents each of the sorted terms stands; a row for each of them reaches the driver."""

@@ -7,6 +7,7 @@ from collections import Counter
 from zlib import crc32
 
 import numpy as np
+import pyarrow.parquet as pq
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -23,6 +24,17 @@ from .conftest import COLUMNS, DIR, LONG, needs_data
 duckdb = pytest.importorskip("duckdb")
 
 
+def test_row_groups_of_the_index_are_bounded(spark, monkeypatch):
+    monkeypatch.setattr(ranked, "SEGMENT_BYTES", 1 << 14)
+    monkeypatch.setattr(ranked, "ROW_GROUP", 1 << 18)
+    rng = np.random.default_rng(3)
+    docs = spark.createDataFrame([(i, " ".join(map(str, rng.integers(0, 1 << 40, 300)))) for i in range(400)], "doc_id long, text string").coalesce(1)
+    (file,) = ranked.Index(docs).segments.inputFiles()
+    found = pq.ParquetFile(file.removeprefix("file://")).metadata
+    groups = [found.row_group(i) for i in range(found.num_row_groups)]
+    assert sum(g.num_rows for g in groups) > 90 and max(g.total_byte_size for g in groups) < 2 << 18
+
+
 @needs_data
 @pytest.mark.parametrize("name", ["op11_ranked_search", "op13_fill_in_middle"])
 def test_same_rows_as_sql(spark, name):
