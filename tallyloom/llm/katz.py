@@ -18,8 +18,8 @@ How it runs: words and cached pairs are counted; then every document is read aga
 distinct pairs, with the documents that hold them, to a bucket, of which there are as many as hold BUCKET tokens each: pairs of cached words to that of the first word (frequent first words
 are spread over several buckets by the second), pairs with a second word outside the cache to the second word's, others
 to the first word's. The bucket counts the training documents among them (and so the words outside the cache, each of
-which it sees with all its pairs), stores its counts, and answers each slice with sums by document. What needs the
-corpus-wide discounts is answered as counts. A pair that wasn't seen is answered with its first word, whose backoff
+which it sees with all its pairs), stores its counts, and answers each slice with the count of each pair that it asked for,
+or with sums by document where these are fewer. A pair that wasn't seen is answered with its first word, whose backoff
 weight is looked up: in an array for cached words, by a join for all others. A last step adds up each slice's answers.
 
 `scored` with a vocabulary is a smaller model, of that many words and one class of all others, within which each word has
@@ -37,6 +37,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -200,11 +201,11 @@ class Unigrams:
 #: number in the slice, plus 1 if it is in training), then pairs with a word outside the cache (first, second: the symbol, or
 #: the word's hash); kind 1: the slice's documents, with what the slice knows itself.
 SENT = "bucket int, slice long, kind byte, keys array<long>, lens array<int>, docs array<int>, first array<long>, second array<long>, open_lens array<int>, open_docs array<int>, ids array<long>, held array<boolean>, n array<int>, known array<int>, base array<double>, score array<double>"
-#: What buckets write. kind 0: sums by document of a slice; kind 1: as sent; kind 2: counts of counts; kind 3: sums by first
+#: What buckets write. kind 0: answers to a slice, see answers; kind 1: as sent; kind 2: counts of counts; kind 3: sums by first
 #: word; kind 4: counts of pairs; kind 5: counts of pairs whose first word is outside the cache (mass: the second one's p);
 #: kind 6: documents of a slice and first words outside the cache of their unseen pairs; kind 7: counts of pairs of a cached
 #: first word with another.
-TABLE = "slice long, kind byte, ids array<long>, held array<boolean>, n array<int>, known array<int>, base array<double>, score array<double>, seen array<int>, docs array<int>, keys array<long>, second array<long>, mass array<double>"
+TABLE = "slice long, kind byte, ids array<long>, held array<boolean>, n array<int>, known array<int>, base array<double>, score array<double>, seen array<int>, low array<int>, high array<long>, high_docs array<int>, docs array<int>, keys array<long>, second array<long>, mass array<double>, rare array<long>, rare_docs array<int>"
 
 
 def schema_of(ddl: str) -> pa.Schema:
@@ -227,6 +228,17 @@ def rows(ddl: str, found: list[dict]) -> pa.Table:
     return pa.Table.from_arrays(columns, schema=schema)
 
 
+def filled(ddl: str, n: int, found: dict[str, pa.Array]) -> pa.Table:
+    """n rows with the columns found; all others are null."""
+    schema = schema_of(ddl)
+    return pa.Table.from_arrays([found[f.name].cast(f.type) if f.name in found else pa.nulls(n, f.type) for f in schema], schema=schema)
+
+
+def listed(sizes: np.ndarray, values: np.ndarray) -> pa.ListArray:
+    """A list for each size, of values that stand one after the other."""
+    return pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(sizes)), pa.int32()), pa.array(values))
+
+
 def lists(column) -> tuple[np.ndarray, np.ndarray]:
     """All values of a list column, and the bounds of each row's."""
     column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
@@ -239,8 +251,8 @@ def holders(held: np.ndarray, doc: np.ndarray) -> np.ndarray:
     return doc * 2 + ~held[doc]
 
 
-def runs(bucket: np.ndarray, keys: list[np.ndarray], holder: np.ndarray, n_buckets: int):
-    """For each bucket in use: its distinct keys, how many holders each has, and the holders."""
+def runs(bucket: np.ndarray, keys: list[np.ndarray], holder: np.ndarray, n_buckets: int) -> list[pa.ListArray]:
+    """Lists for each bucket: of its distinct keys, of how many holders each has, and of the holders."""
     order = np.lexsort((holder, *keys[::-1], bucket))
     bucket, holder, keys = bucket[order], holder[order], [k[order] for k in keys]
     new = np.ones(len(bucket), bool)
@@ -248,12 +260,9 @@ def runs(bucket: np.ndarray, keys: list[np.ndarray], holder: np.ndarray, n_bucke
     for k in keys:
         new[1:] |= k[1:] != k[:-1]
     first = np.flatnonzero(new)
-    ends = np.append(first, len(bucket))
-    lens = np.diff(ends)
-    edges = np.searchsorted(bucket[first], np.arange(n_buckets + 1, dtype=np.uint64))
-    for b, (lo, hi) in enumerate(zip(edges[:-1], edges[1:], strict=True)):
-        if hi > lo:
-            yield b, [k[first[lo:hi]] for k in keys], lens[lo:hi], holder[ends[lo] : ends[hi]]
+    size = lambda x: np.bincount(x.astype(np.int64), minlength=n_buckets)
+    n = size(bucket[first])
+    return [*(listed(n, C.signed(k[first])) for k in keys), listed(n, np.diff(np.append(first, len(bucket)))), listed(size(bucket), holder)]
 
 
 def sent(docs: DataFrame, held_out: Column, model, n_buckets: int) -> DataFrame:
@@ -287,21 +296,23 @@ def sent(docs: DataFrame, held_out: Column, model, n_buckets: int) -> DataFrame:
                 key = np.concatenate([pair[plain], w[alone] | RARE])
                 bucket = np.concatenate([C.mix((hu[plain] << np.uint64(24)) + iu[plain] % spread[h[plain]]), C.mix(w[alone])]) % np.uint64(n_buckets)
                 n_docs = part.num_rows
-                found = {}
-                for b, (k,), lens, docs in runs(bucket, [key], holders(held, np.concatenate([doc[plain], doc[alone]])), n_buckets):
-                    found[b] = {"keys": C.signed(k), "lens": lens, "docs": docs}
+                found = dict(zip(("keys", "lens", "docs"), runs(bucket, [key], holders(held, np.concatenate([doc[plain], doc[alone]])), n_buckets), strict=True))
                 if u.open:
                     at = np.flatnonzero(rare | before)
                     second = np.where(rare[at], w[at], iu[at])
                     first = np.where(before[at], w[at - 1], hu[at])
                     bucket = C.mix(np.where(rare[at], second, first)) % np.uint64(n_buckets)
-                    for b, (k, m), lens, docs in runs(bucket, [first, second], holders(held, doc[at]), n_buckets):
-                        found.setdefault(b, {}).update(first=C.signed(k), second=C.signed(m), open_lens=lens, open_docs=docs)
-                found = [{"bucket": b, "slice": number, "kind": 0, **x} for b, x in found.items()]
+                    found |= zip(("first", "second", "open_lens", "open_docs"), runs(bucket, [first, second], holders(held, doc[at]), n_buckets), strict=True)
+                found |= {"bucket": pa.array(range(n_buckets)), "slice": pa.array(np.full(n_buckets, number)), "kind": pa.array(np.zeros(n_buckets, np.int8))}
+                used = pc.greater(pc.add(pc.list_value_length(found["docs"]), pc.list_value_length(found["open_docs"]) if u.open else 0), 0)
+                yield from filled(SENT, n_buckets, found).filter(used).to_batches()
                 known = np.bincount(doc[~rare & (u.count[i] > 0)], minlength=n_docs)
                 base = np.bincount(doc[~rare], weights=log_base[i[~rare]], minlength=n_docs)
-                found.append({"bucket": number % n_buckets, "slice": number, "kind": 1, "ids": part.column("doc_id").fill_null(NO_ID).to_numpy(zero_copy_only=False), "held": held, "n": np.bincount(doc, minlength=n_docs), "known": known, "base": base, "score": np.bincount(doc[hot], weights=np.log10(c) - np.log10(u.count[h[hot]] + 1), minlength=n_docs)})
-                yield from rows(SENT, found).to_batches()
+                # all that a first word in the cache divides by is known here
+                over = np.ones_like(hot) if not u.open else ~before
+                score = np.bincount(doc[hot], weights=np.log10(c), minlength=n_docs) - np.bincount(doc[over], weights=np.log10(u.count[h[over]] + 1), minlength=n_docs)
+                own = {"bucket": number % n_buckets, "slice": number, "kind": 1, "ids": part.column("doc_id").fill_null(NO_ID).to_numpy(zero_copy_only=False), "held": held, "n": np.bincount(doc, minlength=n_docs), "known": known, "base": base, "score": score}
+                yield from rows(SENT, [own]).to_batches()
 
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", held_out.alias("held"))
     return texts.mapInArrow(C.released(run), SENT)
@@ -320,6 +331,56 @@ def levels(c: np.ndarray) -> np.ndarray:
     return np.bincount(np.minimum(c, CUT + 2), minlength=CUT + 3)[: CUT + 2]
 
 
+def row_of(at: np.ndarray) -> np.ndarray:
+    return np.repeat(np.arange(len(at) - 1), np.diff(at))
+
+
+def dense(row: np.ndarray, place: np.ndarray, sizes: np.ndarray, weights: np.ndarray | None = None) -> pa.ListArray:
+    """For each row a list of so many sums, by place."""
+    start = np.cumsum(sizes) - sizes
+    return listed(sizes, np.bincount(start[row] + place, weights=weights, minlength=int(sizes.sum())))
+
+
+def answers(number: np.ndarray, pairs: dict[str, np.ndarray], rare: list[np.ndarray], u: Unigrams) -> Iterator[pa.RecordBatch]:
+    """A bucket's rows of kinds 0 and 6 for slices of those numbers. What they hold grows with the pairs, not with buckets x documents: a list of what is known of each pair, or sums by document where these are fewer.
+
+    pairs: row, document, count, first symbol, whether the first word is cached, the word, log10 p of the second. rare: row,
+    document and count of words outside the cache.
+    low: document * CUT + count - 1 of seldom seen pairs, or seen: how many there are of each such number; high_docs, high: count
+    of other seen pairs, or score: sums of their logarithms; docs, keys, mass: of unseen ones, to which the first symbol's backoff
+    weight is added (u.size: the word is outside the cache, and its weight looked up, by kind 6); rare_docs, rare: of words.
+    """
+    n = len(number)
+    order = np.argsort(pairs["row"], kind="stable")
+    row, d, c, h, cached, first, log_p = (pairs[k][order] for k in ("row", "d", "c", "h", "cached", "first", "log_p"))
+    size = lambda some: np.bincount(row[some], minlength=n)
+    docs = np.zeros(n, np.int64)
+    np.maximum.at(docs, row, d + 1)
+    low, high, open_ = (c > 0) & (c <= CUT), c > CUT, c == 0
+    many_low, many_high = 4 * size(low) > CUT * docs, 2 * size(high) > 3 * docs
+    few = lambda some, many: some & ~many[row]
+    full = lambda some, many: some & many[row]
+    found = {"slice": pa.array(number), "kind": pa.array(np.zeros(n, np.int8))}
+    at = full(low, many_low)
+    found["seen"] = dense(row[at], d[at] * CUT + c[at] - 1, np.where(many_low, CUT * docs, 0))
+    at = few(low, many_low)
+    found["low"] = listed(size(at), d[at] * CUT + c[at] - 1)
+    at = full(high, many_high)
+    found["score"] = dense(row[at], d[at], np.where(many_high, docs, 0), np.log10(c[at]))
+    at = few(high, many_high)
+    found["high"], found["high_docs"] = listed(size(at), c[at]), listed(size(at), d[at])
+    found["docs"], found["keys"] = listed(size(open_), d[open_]), listed(size(open_), np.where(cached, h, u.size)[open_])
+    found["mass"] = listed(size(open_), (log_p + np.where(cached, np.log10(u.count[h] + 1), 0.0))[open_])
+    order = np.argsort(rare[0], kind="stable")
+    words = np.bincount(rare[0], minlength=n)
+    found["rare"], found["rare_docs"] = listed(words, rare[2][order]), listed(words, rare[1][order])
+    yield from filled(TABLE, n, found).to_batches(max_chunksize=1024)
+    far = open_ & ~cached
+    if far.any():
+        found = {"slice": pa.array(number), "kind": pa.array(np.full(n, 6, np.int8)), "docs": listed(size(far), d[far]), "keys": listed(size(far), C.signed(first[far]))}
+        yield from filled(TABLE, n, found).filter(pa.array(size(far) > 0)).to_batches()
+
+
 class Others:
     """A bucket's pairs with a word outside the cache. It holds all pairs of such a second word, and so its count."""
 
@@ -343,25 +404,14 @@ class Others:
         total = np.bincount(word, weights=self.c)[word] if len(word) else np.empty(0)
         symbol = np.where(self.rare, 0, self.second).astype(np.int64)
         self.p = np.where(self.rare, np.where(total > 0, u.g * u.discounted(total), u.unknown), u.p[symbol])
-        h = np.where(self.cached, self.first, 0).astype(np.int64)
-        seen = self.c > 0
+        self.total = np.where(self.rare, total, 0).astype(np.int64)
+
+    def entries(self) -> tuple[dict[str, np.ndarray], np.ndarray, np.ndarray, np.ndarray]:
+        """See answers: the pairs of all slices, and row, document and count of the words outside the cache that are second ones."""
+        e = np.repeat(self.of, self.lens)
+        row, d, rare = row_of(self.doc_at), self.docs >> 1, self.rare[e]
         # what a first word outside the cache divides by comes from its own bucket, where it is the second word
-        self.value = np.where(seen, np.log10(np.maximum(self.c, 1)) - np.where(self.cached, np.log10(u.count[h] + 1), 0.0), np.log10(self.p))
-        self.value -= np.where(self.rare, np.log10(total + 1), 0.0)
-        self.base = np.where(self.rare, np.log10(total + 0.5) - u.scale, 0.0)
-        self.known = self.rare & (total > 0)
-
-    def answer(self, r: int) -> dict[str, np.ndarray]:
-        """What slice r is sent; low: document * CUT + count - 1 of seldom seen pairs; docs, heads: of unseen ones, far_docs, far: if the first word isn't cached."""
-        at = slice(self.key_at[r], self.key_at[r + 1])
-        e = np.repeat(self.of[at], self.lens[at])
-        d = self.docs[self.doc_at[r] : self.doc_at[r + 1]] >> 1
-        c, cached = self.c[e], self.cached[e]
-        low, near, far = (c > 0) & (c <= CUT), (c == 0) & cached, (c == 0) & ~cached
-        return {
-            "d": d, "value": self.value[e], "base": self.base[e], "known": self.known[e], "low": d[low] * CUT + c[low] - 1,
-            "docs": d[near], "heads": self.first[e[near]].astype(np.int64), "far_docs": d[far], "far": self.first[e[far]],
-        }
+        return {"row": row, "d": d, "c": self.c[e], "h": np.where(self.cached, self.first, 0).astype(np.int64)[e], "cached": self.cached[e], "first": self.first[e], "log_p": np.log10(self.p)[e]}, row[rare], d[rare], self.total[e[rare]]
 
     def stored(self):
         seen = self.c > 0
@@ -397,32 +447,17 @@ def answered(received: DataFrame, model, n_buckets: int) -> DataFrame:
         pair = distinct < RARE
         h, w = (x.astype(np.int64) for x in np.divmod(np.where(pair, distinct, 0), np.uint64(u.size)))
         seen = c > 0
-        with np.errstate(divide="ignore"):
-            log_p = np.log10(u.p)
-            # pairs seen, without their discount; pairs unseen, without their backoff weight; rare words within their class
-            value = np.where(pair, np.where(seen, np.log10(np.maximum(c, 1)) - np.log10(u.count[h] + 1), log_p[w]), np.where(seen, np.log10(u.g * u.discounted(np.maximum(c, 1))), np.log10(u.unknown)) - log_p[-1])
-        level = np.where(pair & seen & (c <= CUT), c, 0)
-        base = np.where(pair, 0.0, np.log10(c + 0.5) - u.scale)
         more = Others(own, u)
         del own
-        for r in range(len(number)):
-            e = np.repeat(of[key_at[r] : key_at[r + 1]], lens[key_at[r] : key_at[r + 1]])
-            d = docs[doc_at[r] : doc_at[r + 1]] >> 1
-            other = more.answer(r)
-            n = int(max(d.max(initial=-1), other["d"].max(initial=-1))) + 1
-            low = level[e] > 0
-            open_ = (pair & ~seen)[e]
-            rare = ~pair[e]
-            yield from rows(TABLE, [{
-                "slice": number[r], "kind": 0,
-                "score": np.bincount(d, weights=value[e], minlength=n) + np.bincount(other["d"], weights=other["value"], minlength=n),
-                "base": np.bincount(d[rare], weights=base[e[rare]], minlength=n) + np.bincount(other["d"], weights=other["base"], minlength=n),
-                "known": np.bincount(d[rare & seen[e]], minlength=n) + np.bincount(other["d"][other["known"]], minlength=n),
-                "seen": np.bincount(d[low] * CUT + level[e[low]] - 1, minlength=n * CUT) + np.bincount(other["low"], minlength=n * CUT),
-                "docs": np.concatenate([d[open_], other["docs"]]), "keys": np.concatenate([h[e[open_]], other["heads"]]),
-            }]).to_batches()
-            if len(other["far_docs"]):
-                yield from rows(TABLE, [{"slice": number[r], "kind": 6, "docs": other["far_docs"], "keys": C.signed(other["far"])}]).to_batches()
+        e = np.repeat(of, lens)
+        row, d, p = row_of(doc_at), (docs >> 1).astype(np.int64), pair[e]
+        with np.errstate(divide="ignore"):
+            log_p = np.log10(u.p)
+        mine = {"row": row[p], "d": d[p], "c": c[e[p]], "h": h[e[p]], "cached": np.ones(p.sum(), bool), "first": h[e[p]].astype(np.uint64), "log_p": log_p[w[e[p]]]}
+        alone = row[~p], d[~p], c[e[~p]]
+        others, *words = more.entries()
+        yield from answers(number, {k: np.concatenate([mine[k], others[k]]) for k in mine}, [np.concatenate(x) for x in zip(alone, words, strict=True)], u)
+        del mine, others, alone, words, e, row, d, p
         stored = pair & seen
         cs = c[stored]
         yield from sums(h[stored], cs, u.p[w[stored]])
@@ -469,24 +504,33 @@ RESULT = "doc_id long, held_out boolean, n_tokens long, n_known long, train_toke
 
 def summed(table: DataFrame, u: Unigrams, d: np.ndarray, log_a: np.ndarray) -> DataFrame:
     """The result rows of each slice's documents."""
-    total = u.n
-    shared = table.sparkSession.sparkContext.broadcast((np.log10(d[1:]), log_a))
+    total, scale = u.n, u.scale
+    # the weight of what is looked up elsewhere is 0 here; a class of words shares what it has by each word's own
+    shared = table.sparkSession.sparkContext.broadcast((np.log10(d[1:]), np.append(log_a, 0.0), u.open, u.g, u.d, u.unknown, u.p[-1]))
 
     def add(part: pa.Table) -> pa.Table:
-        log_d, log_a = shared.value
+        log_d, log_a, open_, g, d_words, unknown, rest = shared.value
         kind = np.asarray(part.column("kind"))
         top = part.slice(int(np.flatnonzero(kind == 1)[0]), 1)
         ids, held, n, known, base, score = (lists(top[c])[0] for c in ("ids", "held", "n", "known", "base", "score"))
         known, base, score = known.astype(np.int64), base.astype(np.float64), score.astype(np.float64)
         own = part.filter(pa.array(kind == 0))
-        columns = {c: lists(own[c]) for c in ("score", "base", "known", "seen", "docs", "keys")}
-        of = lambda c, r: columns[c][0][columns[c][1][r] : columns[c][1][r + 1]]
-        for r in range(own.num_rows):
-            x = of("score", r)
-            score[: len(x)] += x + of("seen", r).reshape(-1, CUT) @ log_d
-            base[: len(x)] += of("base", r)
-            known[: len(x)] += of("known", r)
-            score += np.bincount(of("docs", r).astype(np.int64), weights=log_a[of("keys", r).astype(np.int64)], minlength=len(n))
+        flat = lambda c, kind: lists(own[c])[0].astype(kind, copy=False)
+        place = lambda at: np.arange(at[-1]) - np.repeat(at[:-1], np.diff(at))
+        sums = lambda docs, weights, k=1: np.bincount(docs, weights=weights, minlength=len(n) * k)
+        (seen, at), (high, high_at) = lists(own["seen"]), lists(own["score"])
+        seldom = sums(place(at), seen.astype(np.int64), CUT) + sums(flat("low", np.int64), None, CUT)
+        score += seldom.reshape(-1, CUT) @ (np.log10(np.arange(1, CUT + 1)) + log_d)
+        score += sums(place(high_at), high.astype(np.float64)) + sums(flat("high_docs", np.int64), np.log10(flat("high", np.int64)))
+        score += sums(flat("docs", np.int64), flat("mass", np.float64) + log_a[flat("keys", np.int64)])
+        words, c = flat("rare_docs", np.int64), flat("rare", np.int64)
+        known += sums(words[c > 0], None)
+        base += sums(words, np.log10(c + 0.5) - scale)
+        if open_:
+            score -= sums(words, np.log10(c + 1))  # what follows such a word is over its count
+        else:
+            share = np.where(c > 0, g * np.where(c <= CUT, d_words[np.minimum(c, CUT)], 1.0) * c, unknown)
+            score += sums(words, np.log10(share) - np.log10(rest))
         for r in np.flatnonzero(kind == 6):
             own = part.slice(r, 1)
             score += np.bincount(lists(own["docs"])[0].astype(np.int64), weights=lists(own["score"])[0], minlength=len(n))

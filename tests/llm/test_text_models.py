@@ -6,7 +6,9 @@ import random
 import re
 from zlib import crc32
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 from pyspark.sql import functions as F
 
@@ -213,3 +215,13 @@ def test_katz_is_the_same_with_whatever_cache(spark, monkeypatch, cache, hot, bu
         w = want[r["doc_id"]]
         assert tuple(r)[:5] == w[:5]
         assert r["base_score"] == pytest.approx(w[5], abs=1e-6) and r["score"] == pytest.approx(w[6], abs=1e-6)
+
+
+def test_katz_answers_grow_with_pairs_not_with_buckets_and_documents():
+    u = type("Model", (), {"size": 10, "count": np.ones(10)})()
+    docs, rows = 400, 50
+    pairs = {k: np.array([0] * rows) for k in ("h", "c", "d")} | {"row": np.arange(rows), "cached": np.ones(rows, bool), "first": np.zeros(rows, np.uint64), "log_p": np.zeros(rows)}
+    pairs |= {"c": np.arange(rows) % 12, "d": np.full(rows, docs - 1)}  # one pair of each slice, of its last document
+    found = pa.Table.from_batches(katz.answers(np.arange(rows), pairs, [np.zeros(0, np.int64)] * 3, u))
+    values = sum(pc.sum(pc.list_value_length(c)).as_py() or 0 for c in found.columns if pa.types.is_list(c.type))
+    assert found.num_rows == rows and values <= 3 * rows
