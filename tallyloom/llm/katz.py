@@ -33,6 +33,7 @@ Other columns are not read.
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -50,6 +51,8 @@ GATHER = 2_000_000
 HOT, SAMPLE = 1 << 16, 10_000
 #: Tokens of a bucket (about): what a task holds at once, whatever the corpus.
 BUCKET = 1_500_000
+#: Pairs that are answered at once (about, and at least a slice's).
+ANSWER = 100_000
 #: The end of a text, as a token.
 END = np.uint64(0xE4D0F7E87)
 RARE = np.uint64(1) << np.uint64(63)
@@ -374,7 +377,7 @@ def answers(number: np.ndarray, pairs: dict[str, np.ndarray], rare: list[np.ndar
     order = np.argsort(rare[0], kind="stable")
     words = np.bincount(rare[0], minlength=n)
     found["rare"], found["rare_docs"] = listed(words, rare[2][order]), listed(words, rare[1][order])
-    yield from filled(TABLE, n, found).to_batches(max_chunksize=1024)
+    yield from filled(TABLE, n, found).to_batches()
     far = open_ & ~cached
     if far.any():
         found = {"slice": pa.array(number), "kind": pa.array(np.full(n, 6, np.int8)), "docs": listed(size(far), d[far]), "keys": listed(size(far), C.signed(first[far]))}
@@ -406,12 +409,13 @@ class Others:
         self.p = np.where(self.rare, np.where(total > 0, u.g * u.discounted(total), u.unknown), u.p[symbol])
         self.total = np.where(self.rare, total, 0).astype(np.int64)
 
-    def entries(self) -> tuple[dict[str, np.ndarray], np.ndarray, np.ndarray, np.ndarray]:
-        """See answers: the pairs of all slices, and row, document and count of the words outside the cache that are second ones."""
-        e = np.repeat(self.of, self.lens)
-        row, d, rare = row_of(self.doc_at), self.docs >> 1, self.rare[e]
+    def entries(self, lo: int, hi: int) -> tuple[dict[str, np.ndarray], np.ndarray, np.ndarray, np.ndarray]:
+        """See answers, of slices lo to hi: their pairs, and row, document and count of the words outside the cache that are second ones."""
+        at = slice(self.key_at[lo], self.key_at[hi])
+        e = np.repeat(self.of[at], self.lens[at])
+        row, d, rare = row_of(self.doc_at[lo : hi + 1]), self.docs[self.doc_at[lo] : self.doc_at[hi]] >> 1, self.rare[e]
         # what a first word outside the cache divides by comes from its own bucket, where it is the second word
-        return {"row": row, "d": d, "c": self.c[e], "h": np.where(self.cached, self.first, 0).astype(np.int64)[e], "cached": self.cached[e], "first": self.first[e], "log_p": np.log10(self.p)[e]}, row[rare], d[rare], self.total[e[rare]]
+        return {"row": row, "d": d, "c": self.c[e], "h": np.where(self.cached[e], self.first[e], 0).astype(np.int64), "cached": self.cached[e], "first": self.first[e], "log_p": np.log10(self.p[e])}, row[rare], d[rare], self.total[e[rare]]
 
     def stored(self):
         seen = self.c > 0
@@ -449,15 +453,17 @@ def answered(received: DataFrame, model, n_buckets: int) -> DataFrame:
         seen = c > 0
         more = Others(own, u)
         del own
-        e = np.repeat(of, lens)
-        row, d, p = row_of(doc_at), (docs >> 1).astype(np.int64), pair[e]
         with np.errstate(divide="ignore"):
             log_p = np.log10(u.p)
-        mine = {"row": row[p], "d": d[p], "c": c[e[p]], "h": h[e[p]], "cached": np.ones(p.sum(), bool), "first": h[e[p]].astype(np.uint64), "log_p": log_p[w[e[p]]]}
-        alone = row[~p], d[~p], c[e[~p]]
-        others, *words = more.entries()
-        yield from answers(number, {k: np.concatenate([mine[k], others[k]]) for k in mine}, [np.concatenate(x) for x in zip(alone, words, strict=True)], u)
-        del mine, others, alone, words, e, row, d, p
+        asked = doc_at + more.doc_at
+        for lo, hi in itertools.pairwise(np.unique(np.append(np.searchsorted(asked, np.arange(0, asked[-1], ANSWER)), len(number)))):
+            at = slice(key_at[lo], key_at[hi])
+            e = np.repeat(of[at], lens[at])
+            row, d, p = row_of(doc_at[lo : hi + 1]), docs[doc_at[lo] : doc_at[hi]].astype(np.int64) >> 1, pair[e]
+            mine = {"row": row[p], "d": d[p], "c": c[e[p]], "h": h[e[p]], "cached": np.ones(p.sum(), bool), "first": h[e[p]].astype(np.uint64), "log_p": log_p[w[e[p]]]}
+            alone = row[~p], d[~p], c[e[~p]]
+            others, *words = more.entries(lo, hi)
+            yield from answers(number[lo:hi], {k: np.concatenate([mine[k], others[k]]) for k in mine}, [np.concatenate(x) for x in zip(alone, words, strict=True)], u)
         stored = pair & seen
         cs = c[stored]
         yield from sums(h[stored], cs, u.p[w[stored]])
@@ -545,6 +551,7 @@ def summed(table: DataFrame, u: Unigrams, d: np.ndarray, log_a: np.ndarray) -> D
 
 def scored(docs: DataFrame, held_out: Column, vocabulary: int | None = None) -> DataFrame:
     """RESULT for every row, from a model of those that aren't held out; given a vocabulary, with one class of all other words."""
+    C.bounded_batches(docs.sparkSession)
     held_out = F.coalesce(held_out, F.lit(False))  # a null doc_id isn't held out
     training = docs.where(~held_out)
     pairs = frequent_pairs(training)
